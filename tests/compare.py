@@ -1,0 +1,46 @@
+"""Run a query and its oracle side by side and compare every value."""
+
+from __future__ import annotations
+
+import glob
+import math
+import os
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in sorted(glob.glob(f"{sf_dir}/*.parquet")):
+        name = os.path.basename(path)[: -len(".parquet")]
+        con.execute(f"create view {name} as select * from read_parquet('{path}')")
+    return con
+
+
+def _normal(value):
+    if isinstance(value, float) and math.isnan(value):
+        return "nan"
+    return value
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(([_normal(row[i]) for i in order] for row in rows), key=repr)
+
+
+def differences(spark_df, con, sql: str, show: int = 3) -> list[str]:
+    """What differs between the two results; empty when nothing does."""
+    cursor = con.execute(sql)
+    names = [d[0] for d in cursor.description]
+    expected = _rows(names, cursor.fetchall())
+    actual = _rows(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    found = []
+    if sorted(names) != sorted(spark_df.columns):
+        found.append(f"columns {sorted(spark_df.columns)} vs {sorted(names)}")
+    if len(expected) != len(actual):
+        found.append(f"rows {len(actual)} vs {len(expected)}")
+    pairs = [(a, e) for a, e in zip(actual, expected) if a != e or [type(x) for x in a] != [type(x) for x in e]]
+    if pairs:
+        found.append(f"{len(pairs)} rows differ")
+        found += [f"spark  {a}\noracle {e}" for a, e in pairs[:show]]
+    return found
