@@ -8,6 +8,8 @@ combine on the map side, so no task receives a whole group.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,14 +39,16 @@ def dedup_exact(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def has_key(keys: Sequence[str]) -> Column:
+    """True where every key column is filled."""
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
 def split_rejects(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with a complete key, and the others with a ``reject_reason``."""
     missing = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
-    good = df.dropna(subset=list(keys))
-    bad = df.filter(missing != "").withColumn(
-        "reject_reason", F.concat(F.lit("missing or malformed key: "), missing)
-    )
-    return good, bad
+    reason = F.concat(F.lit("missing or malformed key: "), missing).alias("reject_reason")
+    return df.filter(has_key(keys)), df.filter(~has_key(keys)).select("*", reason)
 
 
 def key_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,7 +21,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], right_uniq
     if right_unique:
         return left.join(right, keys, "left")
     matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys).dropna().distinct(), keys, "left_anti")
+    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
     added = [f for f in right.schema.fields if f.name not in keys]
     unmatched = unmatched.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
     return matched.unionByName(unmatched)

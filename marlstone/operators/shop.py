@@ -109,10 +109,11 @@ def order_detail(orders: DataFrame, items: DataFrame, products: DataFrame, payme
     )
     names = products.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"), "category")
     lines = items.select("order_id", F.col("id").alias("item_id"), "product_id", "quantity", "unit_price")
-    # Products are unique per id and items are on the left: a hot product can be split.
+    # Products and payments are unique per key and on the right, so what can be hot, the
+    # item lines, is on the left where a partition can be split.
     named = left_join(lines, names, ["product_id"], right_unique=True)
     with_items = left_join(heads, named, ["order_id"])
-    detail = left_join(with_items, paid, ["order_id"])
+    detail = left_join(with_items, paid, ["order_id"], right_unique=True)
     line_total = (F.col("unit_price") * F.col("quantity").cast("decimal(10,0)")).cast("decimal(18,2)")
     return detail.withColumn("line_total", line_total)
 

@@ -5,15 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions.cleaning import add_date_parts
 from marlstone.operators import quality
-from marlstone.operators.dedup import dedup_latest
+from marlstone.operators.dedup import dedup_latest, has_key
 from marlstone.operators.metrics import RunSummary, iso, observed, summary_frame
 from marlstone.operators.windows import incremental_window
 from marlstone.plans import gold
@@ -110,9 +108,9 @@ def _load_silver(
     spark: SparkSession, lake: LakeConfig, spec: TableSpec, raw: DataFrame, run_id: str, replace: bool = False
 ) -> RunSummary:
     output = lake.path("silver", spec.name)
-    bad_key = reduce(or_, [F.col(k).isNull() for k in spec.keys])
-    typed, read = observed(typed_rows(raw, spec, lake.wide_keys), rejected=F.count_if(bad_key))
-    newest, kept = observed(dedup_latest(typed.dropna(subset=list(spec.keys)), spec.keys, spec.newest_by))
+    usable = has_key(spec.keys)
+    typed, read = observed(typed_rows(raw, spec, lake.wide_keys), rejected=F.count_if(~usable))
+    newest, kept = observed(dedup_latest(typed.filter(usable), spec.keys, spec.newest_by))
     batch = add_date_parts(newest, "created_at", spec.partition_by)
     if spec.partition_by and not replace:
         merge_partitions(batch, output, spec.keys, spec.newest_by, spec.partition_by, lake.track_moves)
