@@ -1,4 +1,4 @@
-"""Run summaries. Counts ride along with the write that needs them anyway."""
+"""Run summaries. Counts ride along with a write that is needed anyway."""
 
 from __future__ import annotations
 
@@ -37,7 +37,12 @@ def summary_frame(spark: SparkSession, summaries: Iterable[RunSummary]) -> DataF
 
 
 def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
-    """``df`` with a row count and ``metrics`` collected by whichever action runs it."""
+    """``df`` with a row count and ``metrics`` collected by the write that follows.
+
+    Write the result directly. Only the tasks of a job's last stage are counted
+    exactly once; observed below a shuffle, a map task rerun after an executor
+    was lost would count twice.
+    """
     watch = Observation()
     named = [metric.alias(name) for name, metric in metrics.items()]
     return df.observe(watch, F.count(F.lit(1)).alias("rows"), *named), watch

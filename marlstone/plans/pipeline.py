@@ -3,26 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions.cleaning import add_date_parts
 from marlstone.operators import quality
-from marlstone.operators.dedup import dedup_latest, has_key
+from marlstone.operators.dedup import dedup_latest, has_key, split_rejects
 from marlstone.operators.metrics import RunSummary, iso, observed, summary_frame
 from marlstone.operators.windows import incremental_window
 from marlstone.plans import gold
-from marlstone.plans.silver import silver_rejects, typed_rows
+from marlstone.plans.silver import typed_rows
 from marlstone.schemas import TABLES, TableSpec
 from marlstone.session import tune
 from marlstone.sinks.bronze import write_bronze
-from marlstone.sinks.tables import merge_partitions, overwrite_table
+from marlstone.sinks.tables import merge_stored, overwrite_table
 from marlstone.sources import watermarks
 from marlstone.sources.bronze import read_bronze
-from marlstone.storage import path_exists
+from marlstone.storage import path_exists, remove_path, stage
 
 #: A source is called with the window's bounds and returns the rows inside them.
 Source = Callable[[datetime, datetime], DataFrame]
@@ -109,20 +111,27 @@ def _load_silver(
 ) -> RunSummary:
     output = lake.path("silver", spec.name)
     usable = has_key(spec.keys)
-    typed, read = observed(typed_rows(raw, spec, lake.wide_keys), rejected=F.count_if(~usable))
-    newest, kept = observed(dedup_latest(typed.filter(usable), spec.keys, spec.newest_by))
-    batch = add_date_parts(newest, "created_at", spec.partition_by)
-    if spec.partition_by and not replace:
-        merge_partitions(batch, output, spec.keys, spec.newest_by, spec.partition_by, lake.track_moves)
-    else:
-        overwrite_table(batch, output, spec.partition_by)
-    rows_read, rejected, rows_kept = read.get["rows"], read.get["rejected"], kept.get["rows"]
-    if rejected:
-        # Rare enough to read the batch again rather than to stage every batch for it.
-        overwrite_table(silver_rejects(raw, spec, lake.wide_keys), f"{lake.path('rejects', spec.name)}/run_id={run_id}")
+    # Bronze text is parsed once; everything after works on the typed copy.
+    rows = add_date_parts(typed_rows(raw, spec, lake.wide_keys), "created_at", spec.partition_by)
+    watched, watch = observed(rows, rejected=F.count_if(~usable))
+    staged = stage(watched, output, "typed")
+    try:
+        read, rejected = watch.get["rows"], watch.get["rejected"]
+        typed = spark.read.schema(rows.schema).parquet(staged)
+        batch = typed.filter(usable)
+        if rejected:
+            _, bad = split_rejects(typed.drop(*spec.partition_by), spec.keys)
+            overwrite_table(bad, f"{lake.path('rejects', spec.name)}/run_id={run_id}")
+        if spec.partition_by and not replace:
+            merge_stored(batch, output, spec.keys, spec.newest_by, spec.partition_by, lake.track_moves)
+        else:
+            overwrite_table(dedup_latest(batch, spec.keys, spec.newest_by), output, spec.partition_by)
+        written = batch.select(*spec.keys).distinct().count()
+    finally:
+        remove_path(spark, staged)
     return RunSummary(
-        "silver", spec.name, run_id, rows_read=rows_read, rows_written=rows_kept,
-        duplicates_removed=rows_read - rejected - rows_kept, rows_rejected=rejected, output=output,
+        "silver", spec.name, run_id, rows_read=read, rows_written=written,
+        duplicates_removed=read - rejected - written, rows_rejected=rejected, output=output,
     )
 
 
@@ -163,14 +172,26 @@ def gold_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def build_marts(spark: SparkSession, lake: LakeConfig, run_id: str) -> list[RunSummary]:
-    summaries = []
-    for mart, df in gold_marts(_gold_inputs(spark, lake)).items():
-        watched, count = observed(df)
-        path = lake.path("gold", mart)
-        overwrite_table(watched, path, gold.GOLD_PARTITIONS[mart])
-        summaries.append(RunSummary("gold", mart, run_id, rows_written=count.get["rows"], output=path))
-    return summaries
+def build_mart(spark: SparkSession, lake: LakeConfig, mart: str, df: DataFrame, run_id: str) -> RunSummary:
+    path = lake.path("gold", mart)
+    overwrite_table(df, path, gold.GOLD_PARTITIONS[mart])
+    # Counted from the files' footers. The schema is given because an empty mart has no file.
+    rows = spark.read.schema(df.schema).parquet(path).count()
+    return RunSummary("gold", mart, run_id, rows_written=rows, output=path)
+
+
+def _side_by_side(
+    spark: SparkSession, job: Callable[[str], RunSummary], names: Iterable[str]
+) -> list[RunSummary]:
+    """Run a stage's jobs, which do not depend on each other, from one driver thread each.
+
+    Small tables need not wait for large ones. All of them finish before the
+    first failure, if any, is raised.
+    """
+    names = list(names)
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job), name) for name in names]
+    return [each.result() for each in running]
 
 
 def run_pipeline(
@@ -194,10 +215,12 @@ def run_pipeline(
     run_ts = run_ts.astimezone(timezone.utc)
     run_id = run_id or make_run_id(run_ts)
     names = list(tables) if tables is not None else [t for t in TABLES if t in sources]
-    summaries = [extract_table(spark, lake, t, sources[t], run_ts, run_id) for t in names if t in sources]
-    summaries += [refine_table(spark, lake, t, run_id) for t in names]
-    for table in quality.SUITES:
-        if path_exists(spark, lake.path("silver", table)):
-            summaries.append(check_table(spark, lake, table, run_id, gate))
-    summaries += build_marts(spark, lake, run_id)
+    summaries = _side_by_side(
+        spark, lambda t: extract_table(spark, lake, t, sources[t], run_ts, run_id), [t for t in names if t in sources]
+    )
+    summaries += _side_by_side(spark, lambda t: refine_table(spark, lake, t, run_id), names)
+    checked = [t for t in quality.SUITES if path_exists(spark, lake.path("silver", t))]
+    summaries += _side_by_side(spark, lambda t: check_table(spark, lake, t, run_id, gate), checked)
+    marts = gold_marts(_gold_inputs(spark, lake))
+    summaries += _side_by_side(spark, lambda m: build_mart(spark, lake, m, marts[m], run_id), marts)
     return summary_frame(spark, summaries)

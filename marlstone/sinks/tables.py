@@ -55,41 +55,55 @@ def merge_partitions(
 ) -> None:
     """Upsert ``df`` into the partitioned table at ``path``: newest row per key wins.
 
-    Only partitions the batch touches are read and rewritten. With
-    ``track_moves`` that includes partitions holding another version of one of
-    the batch's keys, found by a scan of the key columns alone; turn it off where
-    the source never changes the timestamp the partitions come from.
+    ``df`` may repeat keys. Only partitions the batch touches are read and
+    rewritten. With ``track_moves`` that includes partitions holding another
+    version of one of the batch's keys, found by a scan of the key columns alone;
+    turn it off where the source never changes the timestamp the partitions come
+    from.
 
     Repeating a merge changes nothing, so a failed run can simply be rerun.
     """
     spark = df.sparkSession
-    keys, partition_cols = list(keys), list(partition_cols)
     staged = stage(df, path, "merge")
     try:
         batch = spark.read.schema(df.schema).parquet(staged)
-        if not path_exists(spark, path):
-            overwrite_partitions(dedup_latest(batch, keys, order_by), path, partition_cols)
-            return
-        touched = set(_partition_values(batch, partition_cols))
-        holding = set()
-        if track_moves:
-            current = spark.read.schema(df.schema).parquet(path)
-            versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
-            holding = set(_partition_values(versions, partition_cols))
-        kept = read_partitions(spark, path, df.schema, touched | holding, partition_cols)
-        files = {row: file_names(spark, _directory(path, row, partition_cols)) for row in holding}
-        overwrite_partitions(dedup_latest(kept.unionByName(batch), keys, order_by), path, partition_cols)
-        # A partition whose every row moved elsewhere got no rows back, so it was not
-        # overwritten: its files are still the old ones and hold superseded versions.
-        for row, names in files.items():
-            directory = _directory(path, row, partition_cols)
-            if names and file_names(spark, directory) == names:
-                remove_path(spark, directory)
-        spark.catalog.refreshByPath(path)
+        merge_stored(batch, path, keys, order_by, partition_cols, track_moves)
     finally:
         remove_path(spark, staged)
 
 
+def merge_stored(
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    partition_cols: Sequence[str],
+    track_moves: bool = True,
+) -> None:
+    """``merge_partitions`` for a batch that is already stored, and so cheap to read repeatedly."""
+    spark, schema = batch.sparkSession, batch.schema
+    keys, partition_cols = list(keys), list(partition_cols)
+    if not path_exists(spark, path):
+        overwrite_partitions(dedup_latest(batch, keys, order_by), path, partition_cols)
+        return
+    touched = set(_partition_values(batch, partition_cols))
+    holding = set()
+    if track_moves:
+        current = spark.read.schema(schema).parquet(path)
+        versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
+        holding = set(_partition_values(versions, partition_cols))
+    kept = read_partitions(spark, path, schema, touched | holding, partition_cols)
+    files = {row: file_names(spark, _directory(path, row, partition_cols)) for row in holding}
+    overwrite_partitions(dedup_latest(kept.unionByName(batch), keys, order_by), path, partition_cols)
+    # A partition whose every row moved elsewhere got no rows back, so it was not
+    # overwritten: its files are still the old ones and hold superseded versions.
+    for row, names in files.items():
+        directory = _directory(path, row, partition_cols)
+        if names and file_names(spark, directory) == names:
+            remove_path(spark, directory)
+    spark.catalog.refreshByPath(path)
+
+
 def read_partitions(
     spark: SparkSession, path: str, schema: StructType, rows: set[tuple], partition_cols: Sequence[str]
 ) -> DataFrame:

@@ -22,14 +22,21 @@ WATERMARK_SCHEMA = (
 MERGED_SCHEMA = "run_id string, table_name string"
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if not path_exists(spark, path):
+def _of_table(path: str, table: str) -> str:
+    """Each table writes to its own directory, so tables can be extracted side by side."""
+    return f"{path.rstrip('/')}/table_name={table}"
+
+
+def _read(spark: SparkSession, path: str, schema: str, table: str | None) -> DataFrame:
+    wanted = path if table is None else _of_table(path, table)
+    if not path_exists(spark, wanted):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).option("basePath", path).parquet(wanted)
 
 
-def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, WATERMARK_SCHEMA)
+def read_watermarks(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+    """Every mark ever recorded, of one table or of all."""
+    return _read(spark, path, WATERMARK_SCHEMA, table)
 
 
 def latest_watermarks(marks: DataFrame) -> DataFrame:
@@ -49,8 +56,8 @@ def watermark_lookup(marks: DataFrame, tables: DataFrame) -> DataFrame:
 
 def get_watermark(spark: SparkSession, path: str, table: str) -> datetime:
     """The high-water mark of ``table`` in UTC; 1970-01-01 before its first run."""
-    marks = read_watermarks(spark, path).filter(F.col("table_name") == table)
-    row = latest_watermarks(marks).select(F.unix_micros("last_extracted_at").alias("micros")).first()
+    latest = latest_watermarks(read_watermarks(spark, path, table))
+    row = latest.select(F.unix_micros("last_extracted_at").alias("micros")).first()
     return EPOCH if row is None or row.micros is None else from_micros(row.micros)
 
 
@@ -74,9 +81,8 @@ def put_watermark(
         F.lit(run_id).alias("run_id"),
         F.date_format(instant(run_ts), "yyyy-MM-dd").alias("run_date"),
         F.current_timestamp().alias("written_at"),
-        F.lit(table).alias("table_name"),
     )
-    row.write.mode("append").partitionBy("table_name").parquet(path)
+    row.write.mode("append").parquet(_of_table(path, table))
 
 
 def pending_runs(spark: SparkSession, marks_path: str, merged_path: str, table: str) -> list[tuple[str, str]]:
@@ -84,13 +90,12 @@ def pending_runs(spark: SparkSession, marks_path: str, merged_path: str, table:
 
     Normally the run just made; more only after a failure between the layers.
     """
-    of_table = F.col("table_name") == table
-    extracted = read_watermarks(spark, marks_path).filter(of_table)
-    merged = _read(spark, merged_path, MERGED_SCHEMA).filter(of_table)
+    extracted = read_watermarks(spark, marks_path, table)
+    merged = _read(spark, merged_path, MERGED_SCHEMA, table)
     todo = extracted.join(merged, "run_id", "left_anti").select("run_date", "run_id", "written_at")
     return [(r.run_date, r.run_id) for r in todo.orderBy("written_at", "run_id").collect()]
 
 
 def mark_merged(spark: SparkSession, path: str, table: str, run_ids: list[str]) -> None:
-    rows = spark.createDataFrame([(run_id, table) for run_id in run_ids], MERGED_SCHEMA)
-    rows.coalesce(1).write.mode("append").partitionBy("table_name").parquet(path)
+    rows = spark.createDataFrame([(run_id,) for run_id in run_ids], "run_id string")
+    rows.coalesce(1).write.mode("append").parquet(_of_table(path, table))

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from marlstone.plans.silver import silver
+from marlstone.functions.cleaning import add_date_parts
+from marlstone.operators.dedup import has_key
+from marlstone.plans.silver import typed_rows
 from marlstone.schemas import TABLES
 from marlstone.sinks.tables import merge_partitions
 from marlstone.sources.bronze import CSV_OPTIONS, bronze_schema
@@ -29,7 +31,8 @@ def stream_bronze_to_silver(
         raise ValueError(f"{table} is refreshed as a whole and has no partitions to merge into")
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        merge_partitions(silver(batch, spec), silver_path, spec.keys, spec.newest_by, spec.partition_by)
+        rows = add_date_parts(typed_rows(batch, spec).filter(has_key(spec.keys)), "created_at", spec.partition_by)
+        merge_partitions(rows, silver_path, spec.keys, spec.newest_by, spec.partition_by)
 
     files = (
         spark.readStream.schema(bronze_schema(spec.bronze_columns))
