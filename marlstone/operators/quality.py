@@ -8,14 +8,15 @@ aggregate over one scan; each uniqueness check adds a count per value.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.joins import missing_references
-from marlstone.schemas import ORDER_STATUSES, PAYMENT_METHODS, PAYMENT_STATUSES
+from marlstone.schemas import FOREIGN_KEYS, ORDER_STATUSES, PAYMENT_METHODS, PAYMENT_STATUSES
 
 # Expectation names of the public suite format.
 EXISTS = "expect_column_to_exist"
@@ -93,6 +94,10 @@ SUITES = {
 }
 
 
+#: Constraints the source database enforces but files do not; reported, not part of the suites.
+UNIQUE_COLUMNS = {"customers": ("email",), "payments": ("order_id",)}
+
+
 def load_suite(path: str) -> list[Expectation]:
     """Read a suite file: configuration of a few dozen entries."""
     with open(path, encoding="utf-8") as handle:
@@ -228,6 +233,29 @@ def enforce(results: DataFrame, table: str = "table") -> None:
         raise QualityGateError(f"{table}: {len(failed)} expectation(s) failed: {names}")
 
 
+def constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations of the source's UNIQUE and foreign-key constraints, one row per constraint.
+
+    Constraints of tables not given are left out.
+    """
+    report = []
+    for table, columns in UNIQUE_COLUMNS.items():
+        for column in columns if table in tables else ():
+            unique = evaluate(tables[table], [Expectation(UNIQUE, {"column": column})])
+            report.append(_constraint("unique", f"{table}.{column}", unique, "unexpected_count"))
+    for child, column, parent in FOREIGN_KEYS:
+        if child in tables and parent in tables:
+            orphans = foreign_keys(tables[child], column, tables[parent])
+            report.append(_constraint("foreign key", f"{child}.{column}", orphans, "orphan_rows"))
+    return reduce(DataFrame.unionByName, report)
+
+
+def _constraint(kind: str, column: str, counted: DataFrame, count: str) -> DataFrame:
+    return counted.select(
+        F.lit(kind).alias("kind"), F.lit(column).alias("column_name"), F.col(count).alias("violating_rows")
+    )
+
+
 def foreign_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str = "id") -> DataFrame:
     """One row: how many child rows, and distinct values, point at no parent."""
     missing = missing_references(child, column, parent, parent_column)

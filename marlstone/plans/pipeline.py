@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -10,6 +10,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marlstone.functions.cleaning import add_date_parts
 from marlstone.operators import quality
@@ -136,10 +137,15 @@ def _load_silver(
 
 
 def check_table(
-    spark: SparkSession, lake: LakeConfig, table: str, run_id: str, gate: bool = True
+    spark: SparkSession,
+    lake: LakeConfig,
+    table: str,
+    run_id: str,
+    gate: bool = True,
+    suite: Sequence[quality.Expectation] | None = None,
 ) -> RunSummary:
-    """Run a Silver table's suite, store the results, and stop the run if one failed."""
-    results = quality.evaluate(spark.read.parquet(lake.path("silver", table)), quality.SUITES[table])
+    """Run a Silver table's suite, store the results, and stop the run if an expectation failed."""
+    results = quality.evaluate(read_silver(spark, lake, table), suite or quality.SUITES[table])
     path = quality.write_results(results, f"{lake.root.rstrip('/')}/quality", table, run_id)
     stored = spark.read.schema(results.schema).json(path)
     if gate:
@@ -151,16 +157,16 @@ def check_table(
     )
 
 
-def _gold_inputs(spark: SparkSession, lake: LakeConfig) -> dict[str, DataFrame]:
-    """Silver tables by name; one never loaded reads as empty."""
-    inputs = {}
-    for name, spec in TABLES.items():
-        path = lake.path("silver", name)
-        schema = spec.silver_schema(lake.wide_keys)
-        inputs[name] = (
-            spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
-        )
-    return inputs
+def read_silver(spark: SparkSession, lake: LakeConfig, table: str) -> DataFrame:
+    """A Silver table with its partition columns; empty if it was never loaded."""
+    spec = TABLES[table]
+    schema = spec.silver_schema(lake.wide_keys)
+    for part in spec.partition_by:
+        schema = schema.add(part, T.IntegerType())
+    path = lake.path("silver", table)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def gold_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -172,6 +178,12 @@ def gold_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def stored_marts(spark: SparkSession, lake: LakeConfig) -> dict[str, DataFrame]:
+    """The Gold tables that have been built, by name."""
+    paths = {mart: lake.path("gold", mart) for mart in gold.GOLD_PARTITIONS}
+    return {mart: spark.read.parquet(path) for mart, path in paths.items() if path_exists(spark, path)}
+
+
 def build_mart(spark: SparkSession, lake: LakeConfig, mart: str, df: DataFrame, run_id: str) -> RunSummary:
     path = lake.path("gold", mart)
     overwrite_table(df, path, gold.GOLD_PARTITIONS[mart])
@@ -221,6 +233,6 @@ def run_pipeline(
     summaries += _side_by_side(spark, lambda t: refine_table(spark, lake, t, run_id), names)
     checked = [t for t in quality.SUITES if path_exists(spark, lake.path("silver", t))]
     summaries += _side_by_side(spark, lambda t: check_table(spark, lake, t, run_id, gate), checked)
-    marts = gold_marts(_gold_inputs(spark, lake))
+    marts = gold_marts({t: read_silver(spark, lake, t) for t in TABLES})
     summaries += _side_by_side(spark, lambda m: build_mart(spark, lake, m, marts[m], run_id), marts)
     return summary_frame(spark, summaries)

@@ -17,13 +17,26 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hot output partitions: see sinks.tables.balanced.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+#: Shuffle bytes one task should handle before adaptive execution has seen any.
+BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply ``SETTINGS`` to an existing session and return it."""
+
+def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply ``SETTINGS`` to an existing session and return it.
+
+    ``shuffle_bytes``, the expected size of the largest shuffle, raises the
+    number of shuffle partitions to match. Adaptive execution merges partitions
+    that turn out small but cannot add any, so err on the high side.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes is not None:
+        wanted = -(-shuffle_bytes // BYTES_PER_SHUFFLE_TASK)
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, wanted)))
     return spark
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marlstone.operators.metrics import observed
 from marlstone.sources.bronze import CSV_OPTIONS, run_directory
 from marlstone.sources.watermarks import from_micros
+from marlstone.storage import remove_path
 
 #: Bounds the size of a Bronze file, and with it the work of one reading task.
 ROWS_PER_FILE = 500_000
@@ -28,14 +29,12 @@ def write_bronze(
 ) -> BronzeWrite:
     """Write one extraction batch and report its size and latest timestamp.
 
-    One pass over the source: the count and the maximum are observed by the
-    write. An empty batch writes nothing. Repeating a ``run_id`` replaces that
-    run's directory only.
+    The source is read once: the count and the maximum are observed by the
+    write. A batch that turns out empty leaves nothing behind. Repeating a
+    ``run_id`` replaces that run's directory only.
     """
     # The run's own directory: no later run can overwrite it.
     path = run_directory(root, run_ts.date(), run_id)
-    if df.isEmpty():
-        return BronzeWrite(0, None, path)
     watched, watch = observed(df, latest=F.max(F.unix_micros(F.col(ts_col).cast("timestamp"))))
     (
         watched.write.mode("overwrite")
@@ -44,5 +43,8 @@ def write_bronze(
         .csv(path)
     )
     seen = watch.get
+    if seen["rows"] == 0:
+        remove_path(df.sparkSession, path)
+        return BronzeWrite(0, None, path)
     latest = None if seen["latest"] is None else from_micros(seen["latest"])
     return BronzeWrite(seen["rows"], latest, path)

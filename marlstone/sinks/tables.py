@@ -89,7 +89,7 @@ def merge_stored(
     touched = set(_partition_values(batch, partition_cols))
     holding = set()
     if track_moves:
-        current = spark.read.schema(schema).parquet(path)
+        current = _within_key_range(spark.read.schema(schema).parquet(path), batch, keys[0])
         versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
         holding = set(_partition_values(versions, partition_cols))
     kept = read_partitions(spark, path, schema, touched | holding, partition_cols)
@@ -104,6 +104,18 @@ def merge_stored(
     spark.catalog.refreshByPath(path)
 
 
+def _within_key_range(current: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Stored rows that could share a key with the batch.
+
+    Keys are handed out in order, so a batch's lie close together and the
+    range, pushed to the scan, skips most row groups by their statistics.
+    """
+    low, high = batch.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return current.limit(0)
+    return current.filter(F.col(key).between(F.lit(low), F.lit(high)))
+
+
 def read_partitions(
     spark: SparkSession, path: str, schema: StructType, rows: set[tuple], partition_cols: Sequence[str]
 ) -> DataFrame:

@@ -95,3 +95,10 @@ def test_results_are_kept_per_run(spark, tmp_path, payments):
 def test_foreign_keys(spark, payments):
     orders = spark.createDataFrame([(1,), (2,)], "id int")
     assert tuple(ms.foreign_keys(payments, "order_id", orders).first()) == (1, 1)
+
+
+def test_source_constraints_are_reported(spark, payments):
+    orders = spark.createDataFrame([(1, 5), (2, None)], "id int, user_id int")
+    found = {(r.kind, r.column_name): r.violating_rows
+             for r in q.constraints({"payments": payments, "orders": orders}).collect()}
+    assert found == {("unique", "payments.order_id"): 0, ("foreign key", "payments.order_id"): 1}

@@ -74,7 +74,7 @@ def test_empty_batch_writes_nothing(spark, tmp_path):
     root = str(tmp_path / "bronze")
     df = spark.range(0).withColumn("created_at", F.lit(RUN))
     assert ms.write_bronze(df, root, RUN, "r1").rows == 0
-    assert not os.path.exists(root)
+    assert not [f for _, _, files in os.walk(root) for f in files]
     assert ms.read_bronze(spark, root, ["id", "created_at"]).count() == 0
 
 
