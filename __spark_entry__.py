@@ -762,7 +762,7 @@ def entry(spark: SparkSession) -> DataFrame:
     ms.tune(spark)
     orders = ms.silver_orders(view(spark, SMOKE_DIR, "fx_orders_raw"))
     payments = ms.silver_payments(view(spark, SMOKE_DIR, "fx_payments_raw"))
-    return gold.daily_sales(orders, payments)
+    return gold.daily_sales(orders, payments, unique_orders=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,7 +2,7 @@
 
 Each view is one SELECT that Spark and DuckDB both accept, so a query and its
 oracle start from the same rows. ``{table}`` names an input. Every view reads its
-input tables whole; the ``_raw`` views add dirty and repeated copies on top.
+input tables whole.
 """
 
 from __future__ import annotations
@@ -29,6 +29,13 @@ _PATH = (
 )
 _SESSION = "concat(cast(user_id as varchar(20)), '-', cast(cast(ts as date) as varchar(20)))"
 
+
+
+def _deliveries(table: str, times: int) -> str:
+    """The whole table repeated, as at-least-once extraction may deliver it."""
+    return " union all ".join(f"select *, {n} delivery from {{{table}}}" for n in range(1, times + 1))
+
+
 VIEWS = {
     "fx_users": """
         select cast(c_custkey as int) id, concat('  ', upper(c_name), '@Shop.Example ') email,
@@ -65,66 +72,57 @@ VIEWS = {
     "fx_cart_lines": """
         select l_orderkey cart_id, cast(l_partkey as int) product_id, cast(l_quantity as int) - 5 quantity
         from {lineitem}""",
-    # Raw tables: text columns, malformed ids, blanks, padded upper case, and later
-    # versions of some rows appended to the whole table.
-    "fx_users_raw": """
-        select case when c_custkey % 500 = 1 then concat('bad', cast(c_custkey as string))
+    # Raw tables: text columns, malformed ids, blanks, padded upper case. The whole table
+    # is delivered more than once, some rows in another version the second or third time.
+    "fx_users_raw": f"""
+        select case when delivery = 1 and c_custkey % 500 = 1 then concat('bad', cast(c_custkey as string))
                     else cast(c_custkey as string) end id,
-               concat('  ', upper(c_name), '@Shop.Example ') email,
-               case when c_custkey % 11 = 0 then '  ' else concat(c_name, ' ') end name, 'secret' password_hash,
+               case when delivery = 2 and c_custkey % 10 = 0 then concat(c_name, '@new.example')
+                    when delivery = 3 and c_custkey % 15 = 0 then concat(c_name, '@null.example')
+                    else concat('  ', upper(c_name), '@Shop.Example ') end email,
+               case when delivery = 1 and c_custkey % 11 = 0 then '  ' else concat(c_name, ' ') end name,
+               'secret' password_hash,
                cast(date '1995-01-01' + cast(c_custkey % 365 as int) as string) created_at,
-               cast(date '1995-01-01' + cast(c_custkey % 365 as int) as string) updated_at
-        from {customer}
-        union all
-        select cast(c_custkey as string), concat(c_name, '@new.example'), concat(c_name, ' v2'), 'secret',
-               cast(date '1995-01-01' + cast(c_custkey % 365 as int) as string),
-               cast(date '1995-01-02' + cast(c_custkey % 365 as int) as string)
-        from {customer} where c_custkey % 10 = 0
-        union all
-        select cast(c_custkey as string), concat(c_name, '@null.example'), concat(c_name, ' v0'), '',
-               cast(date '1995-01-01' + cast(c_custkey % 365 as int) as string), cast(null as string)
-        from {customer} where c_custkey % 15 = 0""",
+               case when delivery = 2 and c_custkey % 10 = 0
+                    then cast(date '1995-01-02' + cast(c_custkey % 365 as int) as string)
+                    when delivery = 3 and c_custkey % 15 = 0 then null
+                    else cast(date '1995-01-01' + cast(c_custkey % 365 as int) as string) end updated_at
+        from ({_deliveries("customer", 3)}) delivered""",
     "fx_orders_raw": f"""
         select cast(o_orderkey as string) id, cast(o_custkey as string) user_id,
-               concat(' ', upper({_STATUS})) status,
+               case when delivery = 2 and o_orderkey % 20 = 0 then 'CANCELLED'
+                    else concat(' ', upper({_STATUS})) end status,
                cast(cast({_TOTAL} - {_TAX} as decimal(10,2)) as string) subtotal,
                case when o_orderkey % 50 = 7 then 'n/a' else cast({_TAX} as string) end tax,
                cast({_TOTAL} as string) total,
-               case when o_orderkey % 9 = 0 then '   ' else concat(' Street ', cast(o_orderkey as string)) end
-                   shipping_address,
+               case when delivery = 2 and o_orderkey % 20 = 0 then '' when o_orderkey % 9 = 0 then '   '
+                    else concat(' Street ', cast(o_orderkey as string)) end shipping_address,
                cast(cast(o_orderdate as date) as string) created_at,
-               cast(cast(o_orderdate as date) + cast(o_orderkey % 5 as int) as string) updated_at
-        from {{orders}}
-        union all
-        select cast(o_orderkey as string), cast(o_custkey as string), 'CANCELLED',
-               cast(cast({_TOTAL} - {_TAX} as decimal(10,2)) as string), cast({_TAX} as string),
-               cast({_TOTAL} as string), '', cast(cast(o_orderdate as date) as string),
-               cast(cast(o_orderdate as date) + 30 as string)
-        from {{orders}} where o_orderkey % 20 = 0""",
+               cast(cast(o_orderdate as date) + case when delivery = 2 and o_orderkey % 20 = 0 then 30
+                    else cast(o_orderkey % 5 as int) end as string) updated_at
+        from ({_deliveries("orders", 2)}) delivered""",
     "fx_payments_raw": f"""
-        select case when o_orderkey % 700 = 5 then '' else cast(o_orderkey as string) end id,
+        select case when delivery = 1 and o_orderkey % 700 = 5 then '' else cast(o_orderkey as string) end id,
                cast({_PAID_ORDER} as string) order_id,
                case when o_orderkey % 60 = 1 then '12,50' else cast({_TOTAL} as string) end amount,
-               upper({_METHOD}) as method, concat({_PAY_STATUS}, '  ') status,
+               upper({_METHOD}) as method,
+               case when delivery = 2 and o_orderkey % 25 = 0 then 'Completed' else concat({_PAY_STATUS}, '  ') end
+                   status,
                case when o_orderkey % 8 = 0 then ' ' else concat(' ref-', cast(o_orderkey as string), ' ') end
                    transaction_ref,
-               cast(cast(o_orderdate as date) as string) created_at
-        from {{orders}}
-        union all
-        select cast(o_orderkey as string), cast({_PAID_ORDER} as string), cast({_TOTAL} as string),
-               {_METHOD}, 'Completed', 'retry', cast(cast(o_orderdate as date) + 1 as string)
-        from {{orders}} where o_orderkey % 25 = 0""",
-    "fx_products_raw": """
+               cast(cast(o_orderdate as date) + case when delivery = 2 and o_orderkey % 25 = 0 then 1 else 0 end
+                    as string) created_at
+        from ({_deliveries("orders", 2)}) delivered""",
+    "fx_products_raw": f"""
         select cast(p_partkey as string) id, concat(' ', p_name) name, concat(p_type, ' ') category,
                case when p_partkey % 6 = 0 then '  ' else concat(' ', p_brand) end description,
-               cast(cast(p_retailprice as decimal(10,2)) as string) price, cast(p_size as string) stock_qty,
+               case when delivery = 2 and p_partkey % 12 = 0 then 'free'
+                    else cast(cast(p_retailprice as decimal(10,2)) as string) end price,
+               cast(p_size + case when delivery = 2 and p_partkey % 12 = 0 then 1 else 0 end as string) stock_qty,
                'img.png' image_url,
-               cast(date '1995-01-01' + cast(p_partkey % 30 as int) as string) created_at
-        from {part}
-        union all
-        select cast(p_partkey as string), p_name, p_type, p_brand, 'free', cast(p_size + 1 as string), '',
-               cast(date '1995-02-01' + cast(p_partkey % 30 as int) as string)
-        from {part} where p_partkey % 12 = 0""",
+               cast(date '1995-01-01' + cast(p_partkey % 30 as int)
+                    + case when delivery = 2 and p_partkey % 12 = 0 then 31 else 0 end as string) created_at
+        from ({_deliveries("part", 2)}) delivered""",
     "fx_order_items_raw": """
         select cast(l_orderkey * 10 + l_linenumber as string) id, cast(l_orderkey as string) order_id,
                concat(' ', cast(l_partkey as string)) product_id, cast(cast(l_quantity as int) as string) quantity,

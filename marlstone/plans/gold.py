@@ -7,7 +7,7 @@ figures are those of the row-level join, repeated payments included.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.cleaning import add_date_parts
@@ -31,9 +31,16 @@ def _payments_per_order(payments: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales(orders: DataFrame, payments: DataFrame) -> DataFrame:
+def _count_ids(unique: bool) -> Column:
+    return F.count("id") if unique else F.count_distinct("id")
+
+
+def daily_sales(orders: DataFrame, payments: DataFrame, unique_orders: bool = False) -> DataFrame:
     """Sales per calendar day of the order.
 
+    ``unique_orders`` says that order ids do not repeat, as in a Silver table:
+    counting rows then gives the distinct count without grouping by id.
+
     An order with several payments counts once per payment in revenue and
     average, as in the row-level join; payments are unique per order at source
     and the quality checks watch that.
@@ -46,7 +53,7 @@ def daily_sales(orders: DataFrame, payments: DataFrame) -> DataFrame:
     revenue = F.sum(F.col("total") * F.col("weight")).cast("decimal(20,2)")
     priced = F.sum(F.when(F.col("total").isNotNull(), F.col("weight"))).cast("decimal(20,0)")
     daily = joined.groupBy("sale_date").agg(
-        F.count_distinct("id").alias("total_orders"),
+        _count_ids(unique_orders).alias("total_orders"),
         revenue.alias("total_revenue"),
         (revenue / priced).cast("decimal(14,6)").alias("avg_order_value"),
         F.coalesce(F.sum("completed"), F.lit(0)).alias("completed_payments"),
@@ -55,9 +62,13 @@ def daily_sales(orders: DataFrame, payments: DataFrame) -> DataFrame:
     return add_date_parts(daily, "sale_date", as_string=True)
 
 
-def customer_ltv(customers: DataFrame, orders: DataFrame, payments: DataFrame) -> DataFrame:
+def customer_ltv(
+    customers: DataFrame, orders: DataFrame, payments: DataFrame, unique_orders: bool = False
+) -> DataFrame:
     """Lifetime value per customer, customers without orders included.
 
+    ``unique_orders`` as in ``daily_sales``.
+
     Dates and order counts cover orders of any status, revenue only completed
     payments.
     """
@@ -74,7 +85,7 @@ def customer_ltv(customers: DataFrame, orders: DataFrame, payments: DataFrame) -
         .agg(
             F.min(placed).alias("first_order_date"),
             F.max(placed).alias("last_order_date"),
-            F.count_distinct("id").alias("total_orders"),
+            _count_ids(unique_orders).alias("total_orders"),
             F.sum("paid").alias("revenue"),
         )
     )

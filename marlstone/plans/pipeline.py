@@ -170,11 +170,13 @@ def read_silver(spark: SparkSession, lake: LakeConfig, table: str) -> DataFrame:
 
 
 def gold_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The four marts over Silver tables, whose order ids are unique."""
+    customers, orders, payments = tables["customers"], tables["orders"], tables["payments"]
     return {
-        "daily_sales": gold.daily_sales(tables["orders"], tables["payments"]),
-        "customer_ltv": gold.customer_ltv(tables["customers"], tables["orders"], tables["payments"]),
+        "daily_sales": gold.daily_sales(orders, payments, unique_orders=True),
+        "customer_ltv": gold.customer_ltv(customers, orders, payments, unique_orders=True),
         "top_products": gold.top_products(tables["order_items"], tables["products"]),
-        "funnel_analysis": gold.funnel(tables["page_views"], tables["orders"]),
+        "funnel_analysis": gold.funnel(tables["page_views"], orders),
     }
 
 

@@ -134,7 +134,7 @@ def read_partitions(
 
 def _partition_values(df: DataFrame, partition_cols: Sequence[str]) -> list[tuple]:
     """The distinct partitions of ``df``: metadata-sized, as in Spark's own file index."""
-    return [tuple(row) for row in df.select(*partition_cols).distinct().toLocalIterator()]
+    return [tuple(row) for row in df.select(*partition_cols).distinct().collect()]
 
 
 def _levels(row: tuple, partition_cols: Sequence[str]) -> list[str]:

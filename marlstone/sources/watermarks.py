@@ -73,13 +73,16 @@ def put_watermark(
     table: str,
     ts: datetime | str,
     run_id: str,
-    run_ts: datetime | str,
+    run_ts: datetime | str | None = None,
 ) -> None:
-    """Record a new mark. Call it only after the batch has been written."""
+    """Record a new mark. Call it only after the batch has been written.
+
+    ``run_ts`` dates the run's Bronze directory; the mark itself by default.
+    """
     row = spark.range(1).select(
         instant(ts).alias("last_extracted_at"),
         F.lit(run_id).alias("run_id"),
-        F.date_format(instant(run_ts), "yyyy-MM-dd").alias("run_date"),
+        F.date_format(instant(ts if run_ts is None else run_ts), "yyyy-MM-dd").alias("run_date"),
         F.current_timestamp().alias("written_at"),
     )
     row.write.mode("append").parquet(_of_table(path, table))
