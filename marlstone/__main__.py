@@ -89,16 +89,17 @@ def execute(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame
         return pipeline.run_pipeline(spark, lake, _sources(spark, args, lake, names), run_ts, run_id, names)
     if args.job == "extract":
         sources = _sources(spark, args, lake, names)
-        summaries = [pipeline.extract_table(spark, lake, n, sources[n], run_ts, run_id) for n in names]
+        job = lambda n: pipeline.extract_table(spark, lake, n, sources[n], run_ts, run_id)
     elif args.job == "silver":
-        job = pipeline.rebuild_table if args.rebuild else pipeline.refine_table
-        summaries = [job(spark, lake, n, run_id) for n in names]
+        load = pipeline.rebuild_table if args.rebuild else pipeline.refine_table
+        job = lambda n: load(spark, lake, n, run_id)
     elif args.job == "quality":
         suite = load_suite(args.suite) if args.suite else None
-        summaries = [pipeline.check_table(spark, lake, n, run_id, suite=suite) for n in names]
+        job = lambda n: pipeline.check_table(spark, lake, n, run_id, suite=suite)
     else:
         marts = pipeline.gold_marts({t: pipeline.read_silver(spark, lake, t) for t in TABLES})
-        summaries = [pipeline.build_mart(spark, lake, n, marts[n], run_id) for n in names]
+        job = lambda n: pipeline.build_mart(spark, lake, n, marts[n], run_id)
+    summaries = pipeline.side_by_side(spark, job, names)
     return summary_frame(spark, summaries)
 
 

@@ -194,7 +194,7 @@ def build_mart(spark: SparkSession, lake: LakeConfig, mart: str, df: DataFrame,
     return RunSummary("gold", mart, run_id, rows_written=rows, output=path)
 
 
-def _side_by_side(
+def side_by_side(
     spark: SparkSession, job: Callable[[str], RunSummary], names: Iterable[str]
 ) -> list[RunSummary]:
     """Run a stage's jobs, which do not depend on each other, from one driver thread each.
@@ -229,12 +229,12 @@ def run_pipeline(
     run_ts = run_ts.astimezone(timezone.utc)
     run_id = run_id or make_run_id(run_ts)
     names = list(tables) if tables is not None else [t for t in TABLES if t in sources]
-    summaries = _side_by_side(
+    summaries = side_by_side(
         spark, lambda t: extract_table(spark, lake, t, sources[t], run_ts, run_id), [t for t in names if t in sources]
     )
-    summaries += _side_by_side(spark, lambda t: refine_table(spark, lake, t, run_id), names)
+    summaries += side_by_side(spark, lambda t: refine_table(spark, lake, t, run_id), names)
     checked = [t for t in quality.SUITES if path_exists(spark, lake.path("silver", t))]
-    summaries += _side_by_side(spark, lambda t: check_table(spark, lake, t, run_id, gate), checked)
+    summaries += side_by_side(spark, lambda t: check_table(spark, lake, t, run_id, gate), checked)
     marts = gold_marts({t: read_silver(spark, lake, t) for t in TABLES})
-    summaries += _side_by_side(spark, lambda m: build_mart(spark, lake, m, marts[m], run_id), marts)
+    summaries += side_by_side(spark, lambda m: build_mart(spark, lake, m, marts[m], run_id), marts)
     return summary_frame(spark, summaries)
