@@ -28,17 +28,22 @@ def since(column: Column, as_of: date | str, days: int) -> Column:
     return column >= F.date_sub(F.lit(str(as_of)).cast("date"), days)
 
 
+def utc_text(value: datetime | str) -> str:
+    """Date and time in UTC with microseconds. Text and naive datetimes are read as UTC."""
+    if isinstance(value, str):
+        value = datetime.fromisoformat(value)
+    if value.tzinfo is not None:
+        value = value.astimezone(timezone.utc)
+    return value.strftime("%Y-%m-%d %H:%M:%S.%f")
+
+
 def instant(value: datetime | str, like: str = "timestamp") -> Column:
     """A timestamp literal. Text and naive datetimes are read as UTC.
 
     ``like`` is the type of the column it will be compared with: matching it
     keeps the comparison free of casts, so it can still reach the scan.
     """
-    if isinstance(value, str):
-        value = datetime.fromisoformat(value)
-    if value.tzinfo is not None:
-        value = value.astimezone(timezone.utc)
-    text = value.strftime("%Y-%m-%d %H:%M:%S.%f")
+    text = utc_text(value)
     if like == "timestamp_ntz":
         return F.lit(text).cast("timestamp_ntz")
     return F.lit(text + "+00:00").cast("timestamp")

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marlstone.functions.measures import utc_text
 from marlstone.operators.windows import incremental_window
 
 #: rows per round trip; without it some drivers fetch the whole result at once
@@ -46,20 +47,36 @@ def read_jdbc(
     """
     settings = _options(url, options)
     if partition_column and num_partitions > 1:
-        window = _scan(spark, settings, table, ts_col, low, high)
-        bounds = window.agg(F.min(partition_column), F.max(partition_column)).first()
-        if bounds[0] is not None:
+        lowest, highest = _key_range(spark, settings, table, partition_column, ts_col, low, high)
+        if lowest is not None:
             settings.update(
                 partitionColumn=partition_column,
-                lowerBound=str(bounds[0]),
-                upperBound=str(bounds[1] + 1),
+                lowerBound=str(lowest),
+                upperBound=str(highest + 1),
                 numPartitions=str(num_partitions),
             )
     return _scan(spark, settings, table, ts_col, low, high)
 
 
+def _key_range(spark, settings, table, key, ts_col, low, high) -> tuple[int | None, int | None]:
+    """Smallest and largest key in the window, computed by the database."""
+    dialect = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(settings["url"])
+    columns = {c.lower(): dialect.quoteIdentifier(c) for c in _table(spark, settings, table).columns}
+    key, ts_col = columns[key.lower()], columns[ts_col.lower()]
+    query = (
+        f"SELECT MIN({key}) AS lowest, MAX({key}) AS highest FROM {table} "
+        f"WHERE {ts_col} > {{ts '{utc_text(low)}'}} AND {ts_col} <= {{ts '{utc_text(high)}'}}"
+    )
+    row = spark.read.format("jdbc").options(**settings).option("query", query).load().first()
+    return row[0], row[1]
+
+
+def _table(spark, settings, table) -> DataFrame:
+    return spark.read.format("jdbc").options(**settings).option("dbtable", table).load()
+
+
 def _scan(spark, settings, table, ts_col, low, high) -> DataFrame:
-    source = spark.read.format("jdbc").options(**settings).option("dbtable", table).load()
+    source = _table(spark, settings, table)
     # Databases that fold names to upper case still get the lake's lower-case columns.
     source = source.select(*[F.col(c).alias(c.lower()) for c in source.columns])
     return incremental_window(source, ts_col, low, high)
