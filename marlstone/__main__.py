@@ -97,8 +97,7 @@ def execute(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame
         suite = load_suite(args.suite) if args.suite else None
         job = lambda n: pipeline.check_table(spark, lake, n, run_id, suite=suite)
     else:
-        marts = pipeline.gold_marts({t: pipeline.read_silver(spark, lake, t) for t in TABLES})
-        job = lambda n: pipeline.build_mart(spark, lake, n, marts[n], run_id)
+        job = lambda n: pipeline.refresh_mart(spark, lake, n, run_id)
     summaries = pipeline.side_by_side(spark, job, names)
     return summary_frame(spark, summaries)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,14 @@ from marlstone.plans.silver import typed_rows
 from marlstone.schemas import TABLES, TableSpec
 from marlstone.session import tune
 from marlstone.sinks.bronze import write_bronze
-from marlstone.sinks.tables import merge_stored, overwrite_table
+from marlstone.sinks.tables import (
+    merge_stored,
+    overwrite_table,
+    partition_values,
+    read_partitions,
+    replace_partitions,
+    within_range,
+)
 from marlstone.sources import watermarks
 from marlstone.sources.bronze import read_bronze
 from marlstone.storage import path_exists, remove_path, stage
@@ -44,6 +52,9 @@ class LakeConfig:
     track_moves: bool = True
     #: 64-bit ids in Silver
     wide_keys: bool = False
+    #: rebuild only the days of daily_sales and funnel_analysis whose input changed;
+    #: relies on a payment never changing its order, as at the source
+    incremental_gold: bool = False
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -56,6 +67,14 @@ class LakeConfig:
     def merged_runs(self) -> str:
         return self.path("state", "merged_runs")
 
+    @property
+    def touched_days(self) -> str:
+        return self.path("state", "touched_days")
+
+    @property
+    def built_marts(self) -> str:
+        return self.path("state", "built_marts")
+
 
 def dataframe_source(df: DataFrame, ts_col: str = "created_at") -> Source:
     """A source over a table already readable as a DataFrame."""
@@ -115,6 +134,9 @@ def _load_silver(
     # Bronze text is parsed once; everything after works on the typed copy.
     rows = add_date_parts(typed_rows(raw, spec, lake.wide_keys), "created_at", spec.partition_by)
     watched, watch = observed(rows, rejected=F.count_if(~usable))
+    note = None
+    if lake.incremental_gold and spec.name in DAILY_INPUTS:
+        note = partial(watermarks.note_touched, spark, lake.touched_days, spec.name, run_id)
     staged = stage(watched, output, "typed")
     try:
         read, rejected = watch.get["rows"], watch.get["rejected"]
@@ -124,8 +146,11 @@ def _load_silver(
             _, bad = split_rejects(typed.drop(*spec.partition_by), spec.keys)
             overwrite_table(bad, f"{lake.path('rejects', spec.name)}/run_id={run_id}")
         if spec.partition_by and not replace:
-            merge_stored(batch, output, spec.keys, spec.newest_by, spec.partition_by, lake.track_moves)
+            merge_stored(batch, output, spec.keys, spec.newest_by, spec.partition_by, lake.track_moves, note)
         else:
+            if note is not None:
+                before = read_silver(spark, lake, spec.name)
+                note({day for df in (before, batch) for day in partition_values(df, spec.partition_by)})
             overwrite_table(dedup_latest(batch, spec.keys, spec.newest_by), output, spec.partition_by)
         written = batch.select(*spec.keys).distinct().count()
     finally:
@@ -180,6 +205,74 @@ def gold_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+#: tables whose changed days the daily marts follow
+DAILY_INPUTS = ("orders", "payments", "page_views")
+
+
+def refresh_mart(spark: SparkSession, lake: LakeConfig, mart: str, run_id: str) -> RunSummary:
+    """Bring one mart up to date, by its changed partitions where that is possible and wanted.
+
+    Changed days are noted before Silver is rewritten and ticked off after the
+    mart is, so a failure in between only means that days are rebuilt again.
+    """
+    refresh = {"daily_sales": _changed_sales, "funnel_analysis": _changed_funnel}.get(mart)
+    if not lake.incremental_gold or refresh is None:
+        return build_mart(spark, lake, mart, gold_marts({t: read_silver(spark, lake, t) for t in TABLES})[mart], run_id)
+    runs, days = set(), {}
+    for table in DAILY_INPUTS:
+        table_runs, days[table] = watermarks.pending_days(spark, lake.touched_days, lake.built_marts, table, mart)
+        runs |= table_runs
+    path = lake.path("gold", mart)
+    if not path_exists(spark, path):
+        df = gold_marts({t: read_silver(spark, lake, t) for t in TABLES})[mart]
+        summary = build_mart(spark, lake, mart, df, run_id)
+    else:
+        df, changed = refresh(spark, lake, days)
+        rows = 0
+        if changed:
+            parts = gold.GOLD_PARTITIONS[mart]
+            replace_partitions(df, path, parts, changed)
+            rows = read_partitions(spark, path, df.schema, changed, parts).count()
+        summary = RunSummary("gold", mart, run_id, rows_written=rows, output=path)
+    if runs:
+        watermarks.mark_merged(spark, lake.built_marts, mart, sorted(runs))
+    return summary
+
+
+def _silver_days(spark: SparkSession, lake: LakeConfig, table: str, days: set[tuple], parts: Sequence[str]) -> DataFrame:
+    return read_partitions(spark, lake.path("silver", table), read_silver(spark, lake, table).schema, days, parts)
+
+
+def _changed_sales(
+    spark: SparkSession, lake: LakeConfig, days: Mapping[str, set[tuple]]
+) -> tuple[DataFrame, set[tuple]]:
+    """daily_sales for the days of changed orders and of orders whose payments changed."""
+    parts = TABLES["orders"].partition_by
+    changed = set(days["orders"])
+    if days["payments"]:
+        paid = _silver_days(spark, lake, "payments", days["payments"], parts).select(F.col("order_id").alias("id"))
+        orders = within_range(read_silver(spark, lake, "orders"), "id", paid, "id")
+        changed |= set(partition_values(orders.join(paid.distinct(), "id", "left_semi"), parts))
+    orders = _silver_days(spark, lake, "orders", changed, parts)
+    payments = within_range(read_silver(spark, lake, "payments"), "order_id", orders, "id")
+    return gold.daily_sales(orders, payments, unique_orders=True), {_padded(day) for day in changed}
+
+
+def _padded(day: tuple) -> tuple:
+    """A day as daily_sales spells its partitions."""
+    return tuple(None if value is None else f"{value:02d}" for value in day)
+
+
+def _changed_funnel(
+    spark: SparkSession, lake: LakeConfig, days: Mapping[str, set[tuple]]
+) -> tuple[DataFrame, set[tuple]]:
+    """funnel_analysis for the months with changed page views or orders."""
+    parts = gold.GOLD_PARTITIONS["funnel_analysis"]
+    months = {(year, month) for year, month, _ in days["page_views"] | days["orders"]}
+    views, orders = (_silver_days(spark, lake, table, months, parts) for table in ("page_views", "orders"))
+    return gold.funnel(views, orders), months
+
+
 def stored_marts(spark: SparkSession, lake: LakeConfig) -> dict[str, DataFrame]:
     """The Gold tables that have been built, by name."""
     paths = {mart: lake.path("gold", mart) for mart in gold.GOLD_PARTITIONS}
@@ -235,6 +328,5 @@ def run_pipeline(
     summaries += side_by_side(spark, lambda t: refine_table(spark, lake, t, run_id), names)
     checked = [t for t in quality.SUITES if path_exists(spark, lake.path("silver", t))]
     summaries += side_by_side(spark, lambda t: check_table(spark, lake, t, run_id, gate), checked)
-    marts = gold_marts({t: read_silver(spark, lake, t) for t in TABLES})
-    summaries += side_by_side(spark, lambda m: build_mart(spark, lake, m, marts[m], run_id), marts)
+    summaries += side_by_side(spark, lambda m: refresh_mart(spark, lake, m, run_id), gold.GOLD_PARTITIONS)
     return summary_frame(spark, summaries)

@@ -9,68 +9,66 @@ from pyspark.sql import functions as F
 
 from marlstone.functions.measures import since
 
+# The published columns of each report, in order, its period and its length.
+COLUMNS = {
+    "daily_revenue": ("sale_date", "total_revenue", "total_orders", "avg_order_value"),
+    "customer_ltv": ("email", "total_orders", "total_revenue", "avg_order_value", "days_as_customer"),
+    "top_products": ("product_name", "category", "units_sold", "total_revenue", "order_count"),
+    "funnel_analysis": (
+        "event_date", "unique_sessions", "product_views", "cart_views", "total_orders",
+        "product_to_cart_rate", "cart_to_purchase_rate",
+    ),
+}
+DAYS = 30
+TOP_CUSTOMERS = 100
+# End of fixed values.
+
 
-def report_daily_revenue(gold: DataFrame, as_of: date | str, days: int = 30) -> DataFrame:
+def report_daily_revenue(gold: DataFrame, as_of: date | str, days: int = DAYS) -> DataFrame:
     """Revenue per day for the last ``days`` days, newest first."""
     per_order = F.round(F.col("total_revenue") / F.nullif(F.col("total_orders"), F.lit(0)), 2)
-    return (
-        gold.filter(since(F.col("sale_date"), as_of, days))
-        .select("sale_date", "total_revenue", "total_orders", per_order.alias("avg_order_value"))
-        .orderBy(F.col("sale_date").desc())
-    )
+    recent = gold.filter(since(F.col("sale_date"), as_of, days)).withColumn("avg_order_value", per_order)
+    return recent.select(*COLUMNS["daily_revenue"]).orderBy(F.col("sale_date").desc())
 
 
-def report_customer_ltv(gold: DataFrame, n: int = 100) -> DataFrame:
+def report_customer_ltv(gold: DataFrame, n: int = TOP_CUSTOMERS) -> DataFrame:
     """The ``n`` customers with the highest revenue; the id settles ties."""
-    return (
-        gold.orderBy(F.col("total_revenue").desc_nulls_last(), "customer_id")
-        .limit(n)
-        .select("email", "total_orders", "total_revenue", "avg_order_value", "days_as_customer")
-    )
+    best = gold.orderBy(F.col("total_revenue").desc_nulls_last(), "customer_id").limit(n)
+    return best.select(*COLUMNS["customer_ltv"])
 
 
 def report_top_products(gold: DataFrame) -> DataFrame:
     """Every product by revenue, best first."""
-    return gold.orderBy(F.col("total_revenue").desc_nulls_last(), "product_id").select(
-        "product_name", "category", "units_sold", "total_revenue", "order_count"
-    )
+    ranked = gold.orderBy(F.col("total_revenue").desc_nulls_last(), "product_id")
+    return ranked.select(*COLUMNS["top_products"])
 
 
-def report_funnel(gold: DataFrame, as_of: date | str, days: int = 30) -> DataFrame:
+def report_funnel(gold: DataFrame, as_of: date | str, days: int = DAYS) -> DataFrame:
     """Funnel per day for the last ``days`` days, newest first."""
-    return (
-        gold.filter(since(F.col("event_date"), as_of, days))
-        .select(
-            "event_date", "unique_sessions", "product_views", "cart_views", "total_orders",
-            "product_to_cart_rate", "cart_to_purchase_rate",
-        )
-        .orderBy(F.col("event_date").desc())
-    )
+    recent = gold.filter(since(F.col("event_date"), as_of, days))
+    return recent.select(*COLUMNS["funnel_analysis"]).orderBy(F.col("event_date").desc())
+
+
+def _text(mart: str, report: str, tail: str, **replaced: str) -> str:
+    columns = ", ".join(f"{replaced[c]} AS {c}" if c in replaced else c for c in COLUMNS[report])
+    return f"SELECT {columns} FROM {{{mart}}} {tail}"
+
+
+def _recent(day: str) -> str:
+    return f"WHERE {day} >= date_sub(CAST(:as_of AS DATE), {DAYS}) ORDER BY {day} DESC"
 
 
 #: The same reports for SQL users, over the Gold tables; ``:as_of`` is a date.
 REPORT_SQL = {
-    "daily_revenue": """
-        SELECT sale_date, total_revenue, total_orders,
-               round(total_revenue / nullif(total_orders, 0), 2) AS avg_order_value
-        FROM {daily_sales}
-        WHERE sale_date >= date_sub(CAST(:as_of AS DATE), 30)
-        ORDER BY sale_date DESC""",
-    "customer_ltv": """
-        SELECT email, total_orders, total_revenue, avg_order_value, days_as_customer
-        FROM {customer_ltv}
-        ORDER BY total_revenue DESC NULLS LAST, customer_id
-        LIMIT 100""",
-    "top_products": """
-        SELECT product_name, category, units_sold, total_revenue, order_count
-        FROM {top_products}
-        ORDER BY total_revenue DESC NULLS LAST, product_id""",
-    "funnel_analysis": """
-        SELECT event_date, unique_sessions, product_views, cart_views, total_orders,
-               product_to_cart_rate, cart_to_purchase_rate
-        FROM {funnel_analysis}
-        WHERE event_date >= date_sub(CAST(:as_of AS DATE), 30)
-        ORDER BY event_date DESC""",
+    "daily_revenue": _text(
+        "daily_sales", "daily_revenue", _recent("sale_date"),
+        avg_order_value="round(total_revenue / nullif(total_orders, 0), 2)",
+    ),
+    "customer_ltv": _text(
+        "customer_ltv", "customer_ltv", f"ORDER BY total_revenue DESC NULLS LAST, customer_id LIMIT {TOP_CUSTOMERS}"
+    ),
+    "top_products": _text("top_products", "top_products", "ORDER BY total_revenue DESC NULLS LAST, product_id"),
+    "funnel_analysis": _text("funnel_analysis", "funnel_analysis", _recent("event_date")),
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +45,21 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
     _write(df, path, partition_cols, "dynamic")
 
 
+def replace_partitions(
+    df: DataFrame, path: str, partition_cols: Sequence[str], expected: Iterable[tuple]
+) -> None:
+    """Replace partitions by ``df``'s rows; those of ``expected`` it has no row for are removed."""
+    spark = df.sparkSession
+    files = {row: file_names(spark, _directory(path, row, partition_cols)) for row in expected}
+    overwrite_partitions(df, path, partition_cols)
+    # A partition that got no rows was not overwritten: its files are still the old ones.
+    for row, names in files.items():
+        directory = _directory(path, row, partition_cols)
+        if names and file_names(spark, directory) == names:
+            remove_path(spark, directory)
+    spark.catalog.refreshByPath(path)
+
+
 def merge_partitions(
     df: DataFrame,
     path: str,
@@ -79,41 +94,38 @@ def merge_stored(
     order_by: Sequence[str],
     partition_cols: Sequence[str],
     track_moves: bool = True,
+    announce: Callable[[set[tuple]], None] | None = None,
 ) -> None:
-    """``merge_partitions`` for a batch that is already stored, and so cheap to read repeatedly."""
+    """``merge_partitions`` for a batch that is already stored, and so cheap to read repeatedly.
+
+    ``announce`` is called with the partitions about to be rewritten.
+    """
     spark, schema = batch.sparkSession, batch.schema
     keys, partition_cols = list(keys), list(partition_cols)
-    if not path_exists(spark, path):
-        overwrite_partitions(dedup_latest(batch, keys, order_by), path, partition_cols)
-        return
-    touched = set(_partition_values(batch, partition_cols))
-    holding = set()
-    if track_moves:
-        current = _within_key_range(spark.read.schema(schema).parquet(path), batch, keys[0])
+    touched, holding = set(partition_values(batch, partition_cols)), set()
+    stored = path_exists(spark, path)
+    if stored and track_moves:
+        current = within_range(spark.read.schema(schema).parquet(path), keys[0], batch, keys[0])
         versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
-        holding = set(_partition_values(versions, partition_cols))
-    kept = read_partitions(spark, path, schema, touched | holding, partition_cols)
-    files = {row: file_names(spark, _directory(path, row, partition_cols)) for row in holding}
-    overwrite_partitions(dedup_latest(kept.unionByName(batch), keys, order_by), path, partition_cols)
-    # A partition whose every row moved elsewhere got no rows back, so it was not
-    # overwritten: its files are still the old ones and hold superseded versions.
-    for row, names in files.items():
-        directory = _directory(path, row, partition_cols)
-        if names and file_names(spark, directory) == names:
-            remove_path(spark, directory)
-    spark.catalog.refreshByPath(path)
+        holding = set(partition_values(versions, partition_cols))
+    if announce is not None:
+        announce(touched | holding)
+    if stored:
+        batch = read_partitions(spark, path, schema, touched | holding, partition_cols).unionByName(batch)
+    # Only a partition a row has moved out of can end up empty.
+    replace_partitions(dedup_latest(batch, keys, order_by), path, partition_cols, holding)
 
 
-def _within_key_range(current: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Stored rows that could share a key with the batch.
+def within_range(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` lies in the range of ``other_column``, as a join partner must.
 
-    Keys are handed out in order, so a batch's lie close together and the
+    Keys are handed out in order, so those of a batch lie close together and the
     range, pushed to the scan, skips most row groups by their statistics.
     """
-    low, high = batch.agg(F.min(key), F.max(key)).first()
+    low, high = other.agg(F.min(other_column), F.max(other_column)).first()
     if low is None:
-        return current.limit(0)
-    return current.filter(F.col(key).between(F.lit(low), F.lit(high)))
+        return df.limit(0)
+    return df.filter(F.col(column).between(F.lit(low), F.lit(high)))
 
 
 def read_partitions(
@@ -132,7 +144,7 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", path).parquet(*directories)
 
 
-def _partition_values(df: DataFrame, partition_cols: Sequence[str]) -> list[tuple]:
+def partition_values(df: DataFrame, partition_cols: Sequence[str]) -> list[tuple]:
     """The distinct partitions of ``df``: metadata-sized, as in Spark's own file index."""
     return [tuple(row) for row in df.select(*partition_cols).distinct().collect()]
 

@@ -1,11 +1,12 @@
-"""The extraction ledger: high-water marks, and which Bronze runs Silver has taken.
+"""The ledgers: high-water marks, Bronze runs that Silver has taken, Silver days a run rewrote.
 
-Both are small append-only Parquet tables, one row per table and run. They are
-partitioned by table name so a lookup opens only its own table's files.
+All are small append-only Parquet tables, partitioned by table name so a lookup
+opens only its own table's files.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ WATERMARK_SCHEMA = (
     "last_extracted_at timestamp, run_id string, run_date string, written_at timestamp, table_name string"
 )
 MERGED_SCHEMA = "run_id string, table_name string"
+TOUCHED_SCHEMA = "run_id string, year int, month int, day int, table_name string"
 
 
 def _of_table(path: str, table: str) -> str:
@@ -102,3 +104,19 @@ def pending_runs(spark: SparkSession, marks_path: str, merged_path: str, table:
 def mark_merged(spark: SparkSession, path: str, table: str, run_ids: list[str]) -> None:
     rows = spark.createDataFrame([(run_id,) for run_id in run_ids], "run_id string")
     rows.coalesce(1).write.mode("append").parquet(_of_table(path, table))
+
+
+def note_touched(spark: SparkSession, path: str, table: str, run_id: str, days: Iterable[tuple]) -> None:
+    """Record the Silver days a run is about to rewrite, for the marts built from them."""
+    rows = spark.createDataFrame([(run_id, *day) for day in days], "run_id string, year int, month int, day int")
+    rows.coalesce(1).write.mode("append").parquet(_of_table(path, table))
+
+
+def pending_days(
+    spark: SparkSession, touched_path: str, built_path: str, table: str, mart: str
+) -> tuple[set[str], set[tuple]]:
+    """Runs whose changes to ``table`` are not in ``mart`` yet, and the days they rewrote."""
+    touched = _read(spark, touched_path, TOUCHED_SCHEMA, table)
+    built = _read(spark, built_path, MERGED_SCHEMA, mart)
+    todo = touched.join(built, "run_id", "left_anti").select("run_id", "year", "month", "day").collect()
+    return {r.run_id for r in todo}, {(r.year, r.month, r.day) for r in todo}
