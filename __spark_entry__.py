@@ -8,7 +8,8 @@ and timestamps as text.
 
 from __future__ import annotations
 
-import tempfile
+import importlib
+import importlib.util
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
@@ -75,9 +76,12 @@ def _query(name: str, sql: str, gaps: Sequence[str] = ()):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new directory for queries whose subject is writing: shared storage on a cluster."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-")
+    """A new directory for queries whose subject is writing, on storage that all executors share.
+
+    ``spark.checkpoint.dir`` names it; the warehouse, shared as well, stands in where that is unset.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
 
 
 # --- scans, sources, sinks ---------------------------------------------------
@@ -772,9 +776,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return gold.daily_sales(orders, payments, unique_orders=True)
 
 
+def _corpus(part: str) -> dict:
+    """Queries or oracles of the corpus operators and their pipeline, where those are installed."""
+    found = {}
+    for name in ("marlstone.llm.queries", "corpus_pipeline"):
+        top = name.rpartition(".")[0]
+        if importlib.util.find_spec(top or name) is not None:
+            found |= getattr(importlib.import_module(name), part)
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _corpus("QUERIES")
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _corpus("ORACLES")
