@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import mixing, quality_rules
+from marlstone.llm import mixing, quality_rules, token_records, warc
 from marlstone.llm.common import staged, table
 
 QUERIES = {}
@@ -102,3 +103,30 @@ def mixing_sql(documents: str, columns: str) -> str:
 ORACLES["op9_mixing"] = f"""
     select doc_id, size, source_size, target, size * copies as taken, copies
     from ({mixing_sql('documents', 'doc_id, size, source_size, target')}) mixed"""
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "metadata.page_id", "response.payload_bytes", "response.payload_digest", "response.record_type", "response.refers_to",
+        F.col("request").isNotNull().alias("has_request"),
+    )
+
+
+ORACLES["op10_warc"] = """
+    with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+                      sha256(coalesce(html, '')) as payload_digest from pages),
+    firsts as (select payload_digest, min(page_id) as first_page from p where payload_bytes >= 100 group by payload_digest)
+    select p.page_id, p.payload_bytes::bigint as payload_bytes, p.payload_digest,
+           case when f.first_page <> p.page_id then 'revisit' else 'response' end as record_type,
+           case when f.first_page <> p.page_id then f.first_page end as refers_to, true as has_request
+    from p left join firsts f on f.payload_digest = p.payload_digest and p.payload_bytes >= 100"""
+
+
+#: Vocabulary of the published token files.
+TOKENIZER = "word_bpe_49k.json"
+
+
+@_query
+def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
