@@ -34,11 +34,9 @@ from pyspark.sql import functions as F
 from marlstone.llm.common import scratch_path
 
 MAGIC = b"TOKREC1\n"
-HEAD = struct.Struct("<BQ")
-LENGTH = struct.Struct("<Q")
-CHECK = struct.Struct("<I")
-OWNER = struct.Struct("<?q")
-FRAME_BYTES = LENGTH.size + 2 * CHECK.size
+HEAD, LENGTH, CHECK, OWNER = "<BQ", "<Q", "<I", "<?q"
+LENGTH_BYTES, CHECK_BYTES = struct.calcsize(LENGTH), struct.calcsize(CHECK)
+FRAME_BYTES = LENGTH_BYTES + 2 * CHECK_BYTES
 #: A file is closed once it holds this much.
 FILE_BYTES = 32 << 20
 #: A worker forgets the words it has encoded beyond this many; that only costs time.
@@ -53,8 +51,8 @@ def masked(data) -> int:
 
 
 def framed(payload: bytes) -> bytes:
-    length = LENGTH.pack(len(payload))
-    return b"".join((length, CHECK.pack(masked(length)), payload, CHECK.pack(masked(payload))))
+    length = struct.pack(LENGTH, len(payload))
+    return b"".join((length, struct.pack(CHECK, masked(length)), payload, struct.pack(CHECK, masked(payload))))
 
 
 class Encoder:
@@ -92,14 +90,14 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
         parts, size = [], 0
 
         def closed():
-            head = MAGIC + HEAD.pack(encoder.width, size)
+            head = MAGIC + struct.pack(HEAD, encoder.width, size)
             return pa.RecordBatch.from_arrays([pa.array([b"".join([head, *parts])], pa.binary())], names=["file"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 ids, texts = (column.to_pylist() for column in batch.slice(at, 500).columns)
                 for doc_id, tokens in zip(ids, encoder(texts)):
-                    record = framed(OWNER.pack(doc_id is not None, doc_id or 0) + tokens + end)
+                    record = framed(struct.pack(OWNER, doc_id is not None, doc_id or 0) + tokens + end)
                     parts.append(record)
                     size += len(record)
                     if size >= file_bytes:
@@ -124,27 +122,27 @@ def parse_file(data: bytes, check: bool) -> Iterator[tuple[int, int, int | None,
         return
     if not data.startswith(MAGIC):
         raise ValueError("not a file of token records")
-    width, size = HEAD.unpack_from(data, len(MAGIC))
-    at = len(MAGIC) + HEAD.size
+    width, size = struct.unpack_from(HEAD, data, len(MAGIC))
+    at = len(MAGIC) + struct.calcsize(HEAD)
     end, view = at + size, memoryview(data)
     if len(data) < end:
         raise ValueError("the file is cut off")
     while at < end:
         yield parse_record(view, at, width, check)
-        at += FRAME_BYTES + LENGTH.unpack_from(view, at)[0]
+        at += FRAME_BYTES + struct.unpack_from(LENGTH, view, at)[0]
 
 
 def parse_record(view, at: int, width: int, check: bool = True) -> tuple[int, int, int | None, np.ndarray]:
     """The record at an offset, as the index gives it."""
-    (length,) = LENGTH.unpack_from(view, at)
-    start = at + LENGTH.size + CHECK.size
+    (length,) = struct.unpack_from(LENGTH, view, at)
+    start = at + LENGTH_BYTES + CHECK_BYTES
     payload = view[start : start + length]
     if check:
-        stated = CHECK.unpack_from(view, at + LENGTH.size)[0], CHECK.unpack_from(view, start + length)[0]
-        if stated != (masked(view[at : at + LENGTH.size]), masked(payload)):
+        stated = struct.unpack_from(CHECK, view, at + LENGTH_BYTES)[0], struct.unpack_from(CHECK, view, start + length)[0]
+        if stated != (masked(view[at : at + LENGTH_BYTES]), masked(payload)):
             raise ValueError(f"checksum of the record at byte {at} does not match")
-    owned, doc_id = OWNER.unpack_from(payload)
-    return at, FRAME_BYTES + length, doc_id if owned else None, np.frombuffer(payload, f"<u{width}", offset=OWNER.size)
+    owned, doc_id = struct.unpack_from(OWNER, payload)
+    return at, FRAME_BYTES + length, doc_id if owned else None, np.frombuffer(payload, f"<u{width}", offset=struct.calcsize(OWNER))
 
 
 _SCANNED = "file string, doc_id long, offset long, length long, n_tokens long, start_in_file long, ids_crc32 long"
