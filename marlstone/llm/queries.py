@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import mixing, quality_rules, token_records, warc
+from marlstone.llm import decontaminate, mixing, quality_rules, token_records, warc
 from marlstone.llm.common import staged, table
 
 QUERIES = {}
@@ -130,3 +130,49 @@ TOKENIZER = "word_bpe_49k.json"
 @_query
 def op7_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@_query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = F.array_sort(F.transform("items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", named), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_PHRASE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _ascii_lower(text: str) -> str:
+    return f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def contamination_sql(documents: str) -> str:
+    """Common table expressions ending in hit_words (doc_id, item_id, word) of a table of documents."""
+    return f"""
+    phrase_docs as (select doc_id, regexp_extract_all({_ascii_lower('text')}, '{_PHRASE_WORD}') as ws from {documents}),
+    phrase_items as (
+        select item_id, regexp_extract_all({_ascii_lower('text')}, '{_PHRASE_WORD}') as ws from benchmark where item_id is not null),
+    item_windows as (
+        select distinct item_id, least(len(ws), 10) as n, array_to_string(ws[i:i + least(len(ws), 10) - 1], ' ') as w
+        from (select item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) as i from phrase_items where len(ws) > 0) starts),
+    doc_windows as (
+        select doc_id, i, n, array_to_string(ws[i:i + n - 1], ' ') as w
+        from (select doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) as i
+              from phrase_docs, (select distinct n from item_windows) lengths) starts),
+    hit_words as (
+        select doc_id, item_id, unnest(range(i, i + n)) as word
+        from doc_windows join item_windows using (n, w))"""
+
+
+ORACLES["op1_decontamination"] = f"""
+    with {contamination_sql('documents')},
+    per_doc as (
+        select doc_id, count(distinct word) as n_hit, count(distinct item_id) as n_items,
+               string_agg(distinct item_id::varchar, ',' order by item_id::varchar) as named
+        from hit_words group by doc_id)
+    select d.doc_id, len(d.ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+           sha256(coalesce(named, '')) as items_sha256, n_hit is not null as contaminated
+    from phrase_docs d left join per_doc using (doc_id)"""
