@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, mixing, quality_rules, token_records, warc
+from marlstone.llm import decontaminate, jaccard, mixing, quality_rules, token_records, warc
 from marlstone.llm.common import staged, table
 
 QUERIES = {}
@@ -176,3 +176,35 @@ ORACLES["op1_decontamination"] = f"""
     select d.doc_id, len(d.ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
            sha256(coalesce(named, '')) as items_sha256, n_hit is not null as contaminated
     from phrase_docs d left join per_doc using (doc_id)"""
+
+
+@_query
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def jaccard_sql(documents: str) -> str:
+    """Common table expressions of a recursive query ending in jaccard_classes (doc_id, n_shingles, component_id)."""
+    return f"""
+    shingle_docs as (select doc_id, regexp_extract_all({_ascii_lower('text')}, '{_WORD}') as ws from {documents}),
+    shingles as (
+        select distinct doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') as s
+        from (select doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) as i from shingle_docs where len(ws) > 0) starts),
+    set_sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+    set_overlaps as (
+        select a.doc_id as x, b.doc_id as y, count(*) as common from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id
+        group by a.doc_id, b.doc_id),
+    set_links as (
+        select x, y from set_overlaps join set_sizes sx on sx.doc_id = x join set_sizes sy on sy.doc_id = y
+        where 100 * common >= 80 * (sx.n + sy.n - common)),
+    both_ways as (select x, y from set_links union all select y, x from set_links),
+    reached as (
+        select doc_id as x, doc_id as y from shingle_docs
+        union
+        select r.x, b.y from reached r join both_ways b on b.x = r.y),
+    jaccard_classes as (
+        select d.doc_id, coalesce(max(n), 0)::bigint as n_shingles, min(y) as component_id
+        from shingle_docs d left join set_sizes s on s.doc_id = d.doc_id join reached r on r.x = d.doc_id group by d.doc_id)"""
+
+
+ORACLES["op8_ngram_jaccard"] = f"with recursive {jaccard_sql('documents')} select doc_id, n_shingles, component_id from jaccard_classes"
