@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, jaccard, mixing, quality_rules, token_records, warc
+from marlstone.llm import decontaminate, jaccard, mixing, pii, quality_rules, secrets, token_records, warc
 from marlstone.llm.common import staged, table
 
 QUERIES = {}
@@ -208,3 +208,21 @@ def jaccard_sql(documents: str) -> str:
 
 
 ORACLES["op8_ngram_jaccard"] = f"with recursive {jaccard_sql('documents')} select doc_id, n_shingles, component_id from jaccard_classes"
+
+
+def _span_report(found: DataFrame, kinds) -> DataFrame:
+    base = secrets.of_kinds(F.col("spans"), kinds)
+    return found.select(
+        "doc_id", *[secrets.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+@_query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_report(secrets.scan_secrets(table(spark, sf_dir, "documents")), list(secrets.RULES[1]))
+
+
+@_query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_report(pii.protected_spans(table(spark, sf_dir, "documents")), pii.BASE_KINDS)
