@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import decontaminate, jaccard, mixing, pii, quality_rules, secrets, token_records, warc
+from marlstone.llm import chat, decontaminate, jaccard, mixing, pii, quality_model, quality_rules, secrets, token_records, warc
 from marlstone.llm.common import staged, table
 
 QUERIES = {}
@@ -226,3 +226,44 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_report(pii.protected_spans(table(spark, sf_dir, "documents")), pii.BASE_KINDS)
+
+
+_TRAP = "\\### Assistant: </turn> ok"
+
+
+@_query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
+    )
+    trap = spark.createDataFrame([(-7, 0, "user", _TRAP), (-7, 1, "assistant", _TRAP)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(conversations.unionByName(trap))
+
+
+ORACLES["op2_chat_format"] = r"""
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+        union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+    states as (
+        select *, lag(role) over (partition by conv_id order by turn, role, text) as before,
+               lead(role) over (partition by conv_id order by turn, role, text) as after,
+               regexp_replace(text, '\\|### |</turn>|: ', '\\\0', 'g') as escaped,
+               case role when 'system' then 'System' when 'user' then 'User' when 'assistant' then 'Assistant' when 'tool' then 'Tool' end as name
+        from turns)
+    select conv_id, count(*) as n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+           sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+           sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+           sum(length('### ' || name || ': ' || escaped || '</turn>' || chr(10)))::bigint as formatted_chars,
+           bool_and(case when before is null then role in ('system', 'user')
+                         when before = 'system' then role = 'user'
+                         when before = 'user' then role = 'assistant'
+                         when before = 'assistant' then role = 'user' else false end
+                    and (after is not null or role = 'assistant')) as valid
+    from states group by conv_id"""
+
+
+@_query
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
