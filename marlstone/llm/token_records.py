@@ -22,9 +22,13 @@ one record, and a file holds at least one.
 from __future__ import annotations
 
 import os
+import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +42,9 @@ HEAD, LENGTH, CHECK, OWNER = "<BQ", "<Q", "<I", "<?q"
 LENGTH_BYTES, CHECK_BYTES = struct.calcsize(LENGTH), struct.calcsize(CHECK)
 FRAME_BYTES = LENGTH_BYTES + 2 * CHECK_BYTES
 #: A file is closed once it holds this much.
-FILE_BYTES = 32 << 20
+FILE_BYTES = 16 << 20
 #: A worker forgets the words it has encoded beyond this many; that only costs time.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
 END_ID = 2
 
 
@@ -55,37 +59,84 @@ def framed(payload: bytes) -> bytes:
     return b"".join((length, struct.pack(CHECK, masked(length)), payload, struct.pack(CHECK, masked(payload))))
 
 
-class Encoder:
-    """Texts to packed token ids.
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies: itself where printable, else the next from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in printable else next(rest)) for b in range(256)]
+
+
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Latin letters, then ASCII punctuation without the apostrophe of contractions.
+_PLAIN = re.compile(r"([A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+class Encoder(dict):
+    """Texts to packed token ids; as a dictionary, from runs of characters without ASCII white space to theirs.
 
     The tokenizer drops white space and never joins across it, so each distinct
-    run of other characters is encoded once, by the library, and remembered.
+    run is encoded once and remembered. Letters with punctuation behind them are two of its
+    pieces, and such letters are lower-cased one by one and already in
+    composed form, so the library's model takes them as they are; all else goes
+    through its whole encoder.
     """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
-        self.known: dict[bytes, bytes] = {}
+        self.letter = {2: "H", 4: "I"}[self.width]
+        self.bytes = _byte_characters()
+
+    def packed(self, ids: list[int]) -> bytes:
+        numbers = array(self.letter, ids)
+        if sys.byteorder == "big":
+            numbers.byteswap()
+        return numbers.tobytes()
+
+    def __missing__(self, run: bytes) -> bytes:
+        stem = run.rstrip(_PUNCTUATION)
+        if stem.isalpha():  # ASCII letters
+            tail, stem = run[len(stem) :], stem.lower()
+        elif (plain := _PLAIN.fullmatch(text := run.decode())) and plain[1]:
+            stem, tail = plain[1].lower().encode(), plain[2].encode()
+        else:
+            value = self[run] = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            return value
+        value = self.get(stem)
+        seen = value is not None
+        if not seen:
+            piece = stem.decode() if stem.isascii() else "".join([self.bytes[b] for b in stem])
+            value = self[stem] = self.packed([token.id for token in self.model.tokenize(piece)])
+        if stem != run:
+            if tail:
+                value += self[tail]
+            if seen:  # spellings of a word met for the first time would only fill the memory
+                self[run] = value
+        return value
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        runs = [(text or "").encode().split() for text in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list(set().union(*runs) - self.known.keys())
-        for word, encoded in zip(new, self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.known[word] = np.array(encoded.ids, self.kind).tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in runs]
+        if len(self) > CACHED_WORDS:
+            self.clear()
+        return [b"".join(map(self.__getitem__, (text or "").encode().split())) for text in texts]
+
+
+@lru_cache(maxsize=1)
+def encoder_for(tokenizer_file: str) -> Encoder:
+    """The worker's encoder, which later tasks of the worker find with what it has learnt."""
+    return Encoder(tokenizer_file)
 
 
 def write_sequences(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> None:
     """Write the files below ``path``/data and the index below ``path``/index."""
 
     def write(batches):
-        encoder = Encoder(tokenizer_file)
+        encoder = encoder_for(tokenizer_file)
         end = np.array([end_id], encoder.kind).tobytes()
         parts, size = [], 0
 
@@ -193,7 +244,7 @@ def read_at(wanted: DataFrame, path: str) -> DataFrame:
     ``FILE_BYTES`` and one document long.
     """
 
-    def take(key, places: pa.Table) -> pa.Table:
+    def take(key, places):
         data = next((x.as_py() for x in places["content"] if x.is_valid), b"")
         width = data[len(MAGIC)] if data else 2
         found = [(key[0].as_py(), at, *parse_record(memoryview(data), at, width)[2:]) for at in sorted(x.as_py() for x in places["offset"] if x.is_valid)]
