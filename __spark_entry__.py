@@ -20,9 +20,7 @@ from pyspark.sql import types as T
 
 import marlstone as ms
 from marlstone.fixtures import oracle, view
-from marlstone.functions.measures import (
-    bare_path, days_between, page_category, page_product, page_type, safe_ratio, since,
-)
+from marlstone.functions.measures import days_between, safe_ratio, since
 from marlstone.operators.joins import left_join
 from marlstone.operators.metrics import summary_frame
 from marlstone.operators.quality import SUITES, constraints
@@ -36,6 +34,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
+_ORACLE_TEXT: dict[str, str] = {}
 
 TS = "%Y-%m-%d %H:%M:%S.%f"
 
@@ -59,6 +58,7 @@ def _query(name: str, sql: str, gaps: Sequence[str] = ()):
 
     The query is called with a view loader and the session.
     """
+    _ORACLE_TEXT[name] = sql
     if gaps:
         doubles = ", ".join(f'cast("{c}" as double) as "{c}"' for c in gaps)
         sql = f"select * replace ({doubles}) from ({sql}) result"
@@ -423,6 +423,30 @@ def _(v, spark):
     return silver_rejects(v("fx_payments_raw"), TABLES["payments"]).drop("id")
 
 
+@_query("stream_silver", _latest(
+    _TYPED_PAYMENTS,
+    f"cast(id as bigint) id, order_id, cast(amount as double) amount, method, status, transaction_ref, {_CREATED}, 'kept' outcome",
+    "created_at desc nulls last, order_id desc nulls last, amount desc nulls last, method desc nulls last, "
+    "status desc nulls last, transaction_ref desc nulls last", where="id is not null") + f"""
+    union all
+    select null, order_id, cast(amount as double), method, status, transaction_ref, {_CREATED}, 'missing or malformed key: id'
+    from ({_TYPED_PAYMENTS}) typed where id is null""", gaps=("id", "order_id"))
+def _(v, spark):
+    lake = ms.LakeConfig(_scratch(spark))
+    raw, half = v("fx_payments_raw"), F.pmod(F.xxhash64("transaction_ref"), F.lit(2))
+    for k, run_id in enumerate(("r1", "r2")):
+        rows = raw.where(half == k).withColumn("created_at", F.col("created_at").cast("timestamp"))
+        ms.write_bronze(rows, lake.path("bronze", "payments"), _RUN, run_id)
+    stream = ms.stream_bronze_to_silver(spark, lake, "payments", lake.path("state", "checkpoint"), max_files_per_trigger=1)
+    stream.awaitTermination()
+    if stream.exception() is not None:
+        raise stream.exception()
+    columns = ["id", "order_id", "amount", "method", "status", "transaction_ref", "created_at"]
+    kept = spark.read.parquet(lake.path("silver", "payments")).select(*columns, F.lit("kept").alias("outcome"))
+    rejected = spark.read.parquet(lake.path("rejects", "payments")).select(*columns, F.col("reject_reason").alias("outcome"))
+    return kept.unionByName(rejected)
+
+
 # --- Gold --------------------------------------------------------------------
 
 def _half_up(cents: str, count: str, digits: int) -> str:
@@ -480,6 +504,11 @@ def _(v, spark):
     return ms.daily_sales(v("fx_orders"), v("fx_payments"))
 
 
+@_query("gold_daily_sales_unique", _ORACLE_TEXT["gold_daily_sales"])
+def _(v, spark):
+    return ms.daily_sales(v("fx_orders"), v("fx_payments"), unique_orders=True)
+
+
 @_query("gold_customer_ltv", f"""
     select customer_id, email, name, strftime(first_order_date, '{TS}') first_order_date,
            strftime(last_order_date, '{TS}') last_order_date, total_orders, total_revenue, avg_order_value,
@@ -489,6 +518,11 @@ def _(v, spark):
     return ms.customer_ltv(v("fx_users"), v("fx_orders"), v("fx_payments"))
 
 
+@_query("gold_customer_ltv_unique", _ORACLE_TEXT["gold_customer_ltv"], gaps=("cohort_year", "cohort_month"))
+def _(v, spark):
+    return ms.customer_ltv(v("fx_users"), v("fx_orders"), v("fx_payments"), unique_orders=True)
+
+
 @_query("gold_top_products", f"""
     select cast(product_id as varchar) product_id, product_name, category, units_sold, total_revenue, order_count,
            avg_unit_price
@@ -780,8 +814,8 @@ def _corpus(part: str) -> dict:
     """Queries or oracles of the corpus operators and their pipeline, where those are installed."""
     found = {}
     for name in ("marlstone.llm.queries", "corpus_pipeline"):
-        top = name.rpartition(".")[0]
-        if importlib.util.find_spec(top or name) is not None:
+        spec = importlib.util.find_spec(name.rpartition(".")[0] or name)
+        if spec is not None and spec.origin is not None:
             found |= getattr(importlib.import_module(name), part)
     return found
 

@@ -55,7 +55,7 @@ def page_type(path: Column) -> Column:
     return (
         F.when(bare == "/", "home")
         .when(bare.startswith("/products/"), "product")
-        .when(bare.isin("/cart", "/checkout", "/orders", "/login", "/register"), F.substring(bare, 2, 20))
+        .when(bare.isin("/cart", "/checkout", "/orders", "/login", "/register"), F.substr(bare, F.lit(2)))
         .when(bare.startswith("/orders/"), "order")
         .otherwise("other")
     )

@@ -1,8 +1,9 @@
 """Deduplication and key checks.
 
-A key may be arbitrarily hot. Ranking keeps one row per key *before* the shuffle
-(Spark turns ``row_number() = 1`` into a per-task group limit), and the counts
-combine on the map side, so no task receives a whole group.
+A key may be arbitrarily hot. Ranking keeps the first n rows per key *before* the
+shuffle (Spark turns ``row_number() <= n`` into a per-task group limit, for any n
+under this library's settings), and the counts combine on the map side, so no task
+receives a whole group.
 """
 
 from __future__ import annotations

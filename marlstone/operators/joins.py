@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +17,17 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], right_uniq
     join but not on the right. Unless the right side is known to be unique per
     key, the join is therefore stated as its two exact halves: the matches (an
     inner join, splittable on both sides) and the left rows without any match
-    (an anti join against the right side's keys, reduced to distinct first).
+    (an anti join against the right side's keys, reduced to distinct first). Both
+    halves read the same left rows, those with all keys, so they share one shuffle
+    of them; rows with a missing key match nothing and are not shuffled at all.
     """
     keys = list(keys)
     if right_unique:
         return left.join(right, keys, "left")
-    matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    keyed = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    candidates, partners = left.filter(keyed), right.filter(keyed)
+    matched = candidates.join(partners, keys, "inner")
+    unmatched = candidates.join(partners.select(*keys).distinct(), keys, "left_anti").unionByName(left.filter(~keyed))
     added = [f for f in right.schema.fields if f.name not in keys]
     unmatched = unmatched.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
     return matched.unionByName(unmatched)

@@ -115,7 +115,7 @@ def refine_table(spark: SparkSession, lake: LakeConfig, table: str, run_id: str)
     # An unpartitioned dimension is refreshed as a whole, from all runs so far.
     wanted = runs if spec.partition_by else None
     raw = read_bronze(spark, lake.path("bronze", table), spec.bronze_columns, runs=wanted)
-    summary = _load_silver(spark, lake, spec, raw, run_id)
+    summary = load_silver(spark, lake, spec, raw, run_id)
     watermarks.mark_merged(spark, lake.merged_runs, table, [r for _, r in runs])
     return summary
 
@@ -123,12 +123,13 @@ def refine_table(spark: SparkSession, lake: LakeConfig, table: str, run_id: str)
 def rebuild_table(spark: SparkSession, lake: LakeConfig, table: str, run_id: str) -> RunSummary:
     """Recreate a Silver table from everything in Bronze."""
     raw = read_bronze(spark, lake.path("bronze", table), TABLES[table].bronze_columns)
-    return _load_silver(spark, lake, TABLES[table], raw, run_id, replace=True)
+    return load_silver(spark, lake, TABLES[table], raw, run_id, replace=True)
 
 
-def _load_silver(
+def load_silver(
     spark: SparkSession, lake: LakeConfig, spec: TableSpec, raw: DataFrame, run_id: str, replace: bool = False
 ) -> RunSummary:
+    """Take raw rows into a Silver table: reject those without a key, note the days, merge (or replace)."""
     output = lake.path("silver", spec.name)
     usable = has_key(spec.keys)
     # Bronze text is parsed once; everything after works on the typed copy.

@@ -49,32 +49,41 @@ def report_funnel(gold: DataFrame, as_of: date | str, days: int = DAYS) -> DataF
     return recent.select(*COLUMNS["funnel_analysis"]).orderBy(F.col("event_date").desc())
 
 
-def _text(mart: str, report: str, tail: str, **replaced: str) -> str:
-    columns = ", ".join(f"{replaced[c]} AS {c}" if c in replaced else c for c in COLUMNS[report])
-    return f"SELECT {columns} FROM {{{mart}}} {tail}"
-
-
-def _recent(day: str) -> str:
-    return f"WHERE {day} >= date_sub(CAST(:as_of AS DATE), {DAYS}) ORDER BY {day} DESC"
-
-
-#: The same reports for SQL users, over the Gold tables; ``:as_of`` is a date.
+#: The same reports for SQL users, over the Gold tables. Columns and their order.
 REPORT_SQL = {
-    "daily_revenue": _text(
-        "daily_sales", "daily_revenue", _recent("sale_date"),
-        avg_order_value="round(total_revenue / nullif(total_orders, 0), 2)",
-    ),
-    "customer_ltv": _text(
-        "customer_ltv", "customer_ltv", f"ORDER BY total_revenue DESC NULLS LAST, customer_id LIMIT {TOP_CUSTOMERS}"
-    ),
-    "top_products": _text("top_products", "top_products", "ORDER BY total_revenue DESC NULLS LAST, product_id"),
-    "funnel_analysis": _text("funnel_analysis", "funnel_analysis", _recent("event_date")),
+    "daily_revenue": """
+        SELECT sale_date, total_revenue, total_orders,
+               round(total_revenue / nullif(total_orders, 0), 2) AS avg_order_value
+        FROM {daily_sales}
+        WHERE sale_date >= date_sub(CAST(:as_of AS DATE), :days)
+        ORDER BY sale_date DESC
+    """,
+    "customer_ltv": """
+        SELECT email, total_orders, total_revenue, avg_order_value, days_as_customer
+        FROM {customer_ltv}
+        ORDER BY total_revenue DESC NULLS LAST, customer_id
+        LIMIT :n
+    """,
+    "top_products": """
+        SELECT product_name, category, units_sold, total_revenue, order_count
+        FROM {top_products}
+        ORDER BY total_revenue DESC NULLS LAST, product_id
+    """,
+    "funnel_analysis": """
+        SELECT event_date, unique_sessions, product_views, cart_views, total_orders,
+               product_to_cart_rate, cart_to_purchase_rate
+        FROM {funnel_analysis}
+        WHERE event_date >= date_sub(CAST(:as_of AS DATE), :days)
+        ORDER BY event_date DESC
+    """,
 }
 
 
-def run_report(spark: SparkSession, report: str, as_of: date | str, **marts: DataFrame) -> DataFrame:
+def run_report(
+    spark: SparkSession, report: str, as_of: date | str, days: int = DAYS, n: int = TOP_CUSTOMERS, **marts: DataFrame
+) -> DataFrame:
     """Run a report's SQL text over the given Gold DataFrames (named as the tables)."""
     text = REPORT_SQL[report]
-    args = {"as_of": str(as_of)} if ":as_of" in text else None
+    args = {name: value for name, value in {"as_of": str(as_of), "days": days, "n": n}.items() if f":{name}" in text}
     used = {name: df for name, df in marts.items() if "{" + name + "}" in text}
-    return spark.sql(text, args=args, **used)
+    return spark.sql(text, args=args or None, **used)

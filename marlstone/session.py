@@ -15,6 +15,8 @@ SETTINGS = {
     # Hot join keys: split the oversized partition even if that costs a later shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rankings keep their first n rows per group before the shuffle for any n: see operators.dedup.
+    "spark.sql.optimizer.windowGroupLimitThreshold": str((1 << 31) - 1),
     # Hot output partitions: see sinks.tables.balanced.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from marlstone.operators.dedup import dedup_latest
-from marlstone.storage import file_names, path_exists, remove_path, stage
-
-#: Most partitions a merge opens by directory; beyond it they are joined against.
-MAX_LISTED_PARTITIONS = 5_000
+from marlstone.storage import path_exists, remove_path, stage
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -48,15 +47,17 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]
 def replace_partitions(
     df: DataFrame, path: str, partition_cols: Sequence[str], expected: Iterable[tuple]
 ) -> None:
-    """Replace partitions by ``df``'s rows; those of ``expected`` it has no row for are removed."""
+    """Replace partitions by ``df``'s rows; those of ``expected`` it has no row for are removed.
+
+    The write itself reports which partitions it filled, so the driver touches
+    only directories that became empty.
+    """
     spark = df.sparkSession
-    files = {row: file_names(spark, _directory(path, row, partition_cols)) for row in expected}
-    overwrite_partitions(df, path, partition_cols)
-    # A partition that got no rows was not overwritten: its files are still the old ones.
-    for row, names in files.items():
-        directory = _directory(path, row, partition_cols)
-        if names and file_names(spark, directory) == names:
-            remove_path(spark, directory)
+    watch = Observation()
+    overwrite_partitions(df.observe(watch, F.collect_set(F.struct(*partition_cols)).alias("filled")), path, partition_cols)
+    filled = {tuple(row) for row in watch.get["filled"] or ()}
+    for row in set(expected) - filled:
+        remove_path(spark, _directory(path, row, partition_cols))
     spark.catalog.refreshByPath(path)
 
 
@@ -131,17 +132,33 @@ def within_range(df: DataFrame, column: str, other: DataFrame, other_column: str
 def read_partitions(
     spark: SparkSession, path: str, schema: StructType, rows: set[tuple], partition_cols: Sequence[str]
 ) -> DataFrame:
-    """The named partitions of the table at ``path``; its other directories are not listed."""
-    if len(rows) > MAX_LISTED_PARTITIONS:
-        labels = [("/".join(_levels(row, partition_cols)),) for row in rows]
-        wanted = spark.createDataFrame(labels, "label string")
-        whole = spark.read.schema(schema).parquet(path)
-        return whole.join(wanted, _label(partition_cols) == F.col("label"), "left_semi")
-    directories = [_directory(path, row, partition_cols) for row in sorted(rows, key=str)]
-    directories = [d for d in directories if path_exists(spark, d)]
-    if not directories:
+    """The named partitions of the table at ``path``; the scan opens no others."""
+    if not rows or not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*directories)
+    return spark.read.schema(schema).parquet(path).filter(in_partitions(rows, partition_cols))
+
+
+def in_partitions(rows: Iterable[tuple], partition_cols: Sequence[str]) -> Column:
+    """Whether a row lies in one of the partitions ``rows``; NULL names the NULL partition.
+
+    A predicate on partition columns alone prunes the scan whatever their number. It
+    lists the last level per combination of the others: a few hundred branches for years of days.
+    """
+    last: dict[tuple, list] = {}
+    for row in sorted(set(rows), key=str):
+        last.setdefault(row[:-1], []).append(row[-1])
+
+    def among(column: str, values: Sequence) -> Column:
+        known = F.col(column).isin(*[v for v in values if v is not None])
+        return known | F.col(column).isNull() if None in values else known
+
+    branches = [
+        reduce(and_, [among(c, [v]) for c, v in zip(partition_cols, head)] + [among(partition_cols[-1], values)])
+        for head, values in last.items()
+    ]
+    while len(branches) > 1:  # halved each time, so that the expression stays flat
+        branches = [reduce(or_, branches[k : k + 2]) for k in range(0, len(branches), 2)]
+    return branches[0]
 
 
 def partition_values(df: DataFrame, partition_cols: Sequence[str]) -> list[tuple]:
@@ -157,14 +174,6 @@ def _directory(path: str, row: tuple, partition_cols: Sequence[str]) -> str:
     return "/".join([path.rstrip("/"), *_levels(row, partition_cols)])
 
 
-def _label(partition_cols: Sequence[str]) -> Column:
-    """The directory of a row below the table's root, as ``_levels`` spells it."""
-    levels = [
-        F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in partition_cols
-    ]
-    return F.concat_ws("/", *levels)
-
-
 def register_table(
     spark: SparkSession,
     name: str,

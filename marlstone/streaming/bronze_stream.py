@@ -2,43 +2,47 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from marlstone.functions.cleaning import add_date_parts
-from marlstone.operators.dedup import has_key
-from marlstone.plans.silver import typed_rows
+from marlstone.plans.pipeline import LakeConfig, load_silver
 from marlstone.schemas import TABLES
-from marlstone.sinks.tables import merge_partitions
+from marlstone.sources import watermarks
 from marlstone.sources.bronze import CSV_OPTIONS, bronze_schema
 
 
 def stream_bronze_to_silver(
-    spark: SparkSession,
-    table: str,
-    bronze_root: str,
-    silver_path: str,
-    checkpoint: str,
-    max_files_per_trigger: int = 1_000,
+    spark: SparkSession, lake: LakeConfig, table: str, checkpoint: str, max_files_per_trigger: int = 1_000
 ) -> StreamingQuery:
-    """Merge Bronze files not seen before into Silver, then stop.
+    """Merge the table's Bronze files not seen before into Silver, then stop.
+
+    A micro-batch goes through the same steps as a batch run: rows without a key
+    are kept among the rejects, the days it rewrites are noted for the marts, and
+    its runs are ticked off, so that a batch run does not merge them again.
 
-    Each micro-batch is merged by key, so one replayed after a failure leaves
-    the same table.
+    A batch replayed after a failure leaves the same table: merges are by key, and
+    its rejects replace those it wrote before. A run whose files are split over
+    micro-batches is ticked off by the first; the stream itself sees to the rest.
     """
     spec = TABLES[table]
     if not spec.partition_by:
         raise ValueError(f"{table} is refreshed as a whole and has no partitions to merge into")
+    # Rejects of different streams, each with its own checkpoint, must not replace each other.
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
 
-    def merge(batch: DataFrame, _batch_id: int) -> None:
-        rows = add_date_parts(typed_rows(batch, spec).filter(has_key(spec.keys)), "created_at", spec.partition_by)
-        merge_partitions(rows, silver_path, spec.keys, spec.newest_by, spec.partition_by)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        load_silver(session, lake, spec, batch, f"stream-{stream}-{batch_id:09d}")
+        runs = [row.run_id for row in batch.select("run_id").distinct().collect()]
+        watermarks.mark_merged(session, lake.merged_runs, table, runs)
 
     files = (
         spark.readStream.schema(bronze_schema(spec.bronze_columns))
         .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(bronze_root)
+        .csv(lake.path("bronze", table))
     )
     return (
         files.writeStream.foreachBatch(merge)

@@ -151,15 +151,18 @@ def test_batches_cut_anywhere_give_the_same_table(spark, tmp_path, track_moves):
     assert stored(spark, path) == expected
 
 
-def test_partitions_beyond_the_listing_bound_are_joined(spark, tmp_path, monkeypatch):
-    from marlstone.sinks import tables
-
+@pytest.mark.parametrize("more", [0, 6_000])
+def test_any_number_of_partitions_is_pruned_by_one_predicate(spark, tmp_path, more):
     path = str(tmp_path / "t")
     df = batch(spark, [(i, f"2024-01-{i:02d} 10:00:00", 1) for i in range(1, 8)] + [(9, None, 1)])
     merge(df, path)
-    monkeypatch.setattr(tables, "MAX_LISTED_PARTITIONS", 1)
     wanted = {(2024, 1, 2), (2024, 1, 3), (None, None, None)}
-    assert ids(read_partitions(spark, path, df.schema, wanted, ["year", "month", "day"])) == [2, 3, 9]
+    wanted |= {(2030 + k // 336, k // 28 % 12 + 1, k % 28 + 1) for k in range(more)}
+    read = read_partitions(spark, path, df.schema, wanted, ["year", "month", "day"])
+    assert ids(read) == [2, 3, 9]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "Exchange" not in plan
+    assert len(read.inputFiles()) <= len(df.select("year", "month", "day").distinct().collect())
     merge(batch(spark, [(2, "2024-01-02 10:00:00", 2), (3, "2024-01-03 10:00:00", 2)]), path)
     assert stored(spark, path) == [(1, 1), (2, 2), (3, 2), (4, 1), (5, 1), (6, 1), (7, 1), (9, 1)]
 
@@ -232,7 +235,8 @@ def test_watermarks(spark, tmp_path):
 
 
 def test_stream_merges_new_bronze_files_once(spark, tmp_path):
-    bronze, path, checkpoint = (str(tmp_path / n) for n in ("bronze", "silver", "checkpoint"))
+    lake = ms.LakeConfig(str(tmp_path), wide_keys=True, incremental_gold=True)
+    bronze, path, checkpoint = lake.path("bronze", "order_items"), lake.path("silver", "order_items"), str(tmp_path / "checkpoint")
 
     def extract(rows, run_id):
         df = spark.createDataFrame(rows, "id int, order_id int, product_id int, quantity int, unit_price string, at string")
@@ -240,16 +244,22 @@ def test_stream_merges_new_bronze_files_once(spark, tmp_path):
         ms.write_bronze(df, bronze, RUN, run_id)
 
     def run():
-        query = ms.stream_bronze_to_silver(spark, "order_items", bronze, path, checkpoint)
+        query = ms.stream_bronze_to_silver(spark, lake, "order_items", checkpoint)
         query.awaitTermination()
         assert query.exception() is None
 
     extract([(1, 1, 1, 2, "3.00", "2024-01-01 10:00:00"), (1, 1, 1, 5, "3.00", "2024-01-01 11:00:00")], "r1")
     run()
-    extract([(2, 1, 1, 1, "3.00", "2024-01-01 12:00:00")], "r2")
+    extract([(2, 1, 1, 1, "3.00", "2024-01-01 12:00:00"), (None, 1, 1, 1, "3.00", "2024-01-01 12:00:00")], "r2")
     run()
     run()
     rows = sorted((r.id, r.quantity) for r in spark.read.parquet(path).collect())
     assert rows == [(1, 5), (2, 1)]
+    rejects = spark.read.parquet(lake.path("rejects", "order_items")).collect()
+    assert [r.reject_reason for r in rejects] == ["missing or malformed key: id"]
+    assert dict(spark.read.parquet(path).dtypes)["id"] == "bigint"
+    ms.put_watermark(spark, lake.watermarks, "order_items", RUN, "r1", RUN)
+    ms.put_watermark(spark, lake.watermarks, "order_items", RUN, "r2", RUN)
+    assert watermarks.pending_runs(spark, lake.watermarks, lake.merged_runs, "order_items") == []
     raw = ms.read_bronze(spark, bronze, TABLES["order_items"].bronze_columns)
     assert ids(silver(raw, TABLES["order_items"])) == [1, 2]
