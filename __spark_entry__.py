@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import importlib
 import importlib.util
+import json
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
@@ -582,13 +583,15 @@ def _quality_sql(table: str) -> str:
         column = e.kwargs.get("column")
         head = f"select {position} as position, '{e.kind}' expectation_type"
         name = f"'{column}' column_name" if column else "cast(null as varchar) column_name"
+        arguments = f"'{json.dumps(e.kwargs, sort_keys=True)}' arguments"
+        no_missing = f"cast(null as bigint) missing_count, cast(null as double) missing_percent, {arguments}"
         if e.kind == "expect_column_to_exist":
             rows.append(f"{head}, {name}, true success, cast(null as bigint) element_count, "
-                        "cast(null as bigint) unexpected_count, cast(null as double) unexpected_percent")
+                        f"cast(null as bigint) unexpected_count, cast(null as double) unexpected_percent, {no_missing}")
             continue
         if e.kind == "expect_table_row_count_to_be_between":
             rows.append(f"{head}, {name}, count(*) >= {e.kwargs['min_value']} success, count(*) element_count, "
-                        "cast(null as bigint) unexpected_count, cast(null as double) unexpected_percent from t")
+                        f"cast(null as bigint) unexpected_count, cast(null as double) unexpected_percent, {no_missing} from t")
             continue
         checked = f"count({column})"
         if e.kind == "expect_column_values_to_not_be_null":
@@ -602,7 +605,10 @@ def _quality_sql(table: str) -> str:
             bad = f"{column} in (select {column} from t where {column} is not null group by 1 having count(*) > 1)"
         counted = f"count(case when {bad} then 1 end)"
         rows.append(f"{head}, {name}, {counted} = 0 success, count(*) element_count, {counted} unexpected_count, "
-                    f"cast({counted} as double) * 100 / nullif(cast({checked} as double), 0) unexpected_percent from t")
+                    f"cast({counted} as double) * 100 / nullif(cast({checked} as double), 0) unexpected_percent, "
+                    f"count(*) - count({column}) missing_count, "
+                    f"cast(count(*) - count({column}) as double) * 100 / nullif(cast(count(*) as double), 0) missing_percent, "
+                    f"{arguments} from t")
     return " union all ".join(rows)
 
 
@@ -616,7 +622,7 @@ def _evaluated(v, table: str) -> DataFrame:
 
 for _table in SUITES:
     @_query(f"quality_{_table}", f"with t as ({_SUITE_INPUT[_table][1]}) {_quality_sql(_table)}",
-            gaps=("element_count", "unexpected_count"))
+            gaps=("element_count", "unexpected_count", "missing_count"))
     def _(v, spark, table=_table):
         return _evaluated(v, table)
 
@@ -631,6 +637,22 @@ def _(v, spark):
     return ms.statistics(_evaluated(v, "payments"))
 
 
+@_query("quality_document", f"""
+    with t as ({_TYPED_PAYMENTS}), r as ({_quality_sql('payments')})
+    select bool_and(success) success, count(*) evaluated_expectations,
+           cast(count(case when success then 1 end) as double) * 100 / cast(count(*) as double) success_percent,
+           count(*) n_results, sum(missing_count)::double missing, string_agg(arguments, ';' order by position) arguments
+    from r""")
+def _(v, spark):
+    document = ms.write_results(_evaluated(v, "payments"), _scratch(spark), "payments", "r1")
+    missing = F.aggregate("results", F.lit(0).cast("bigint"), lambda total, r: total + F.coalesce(r["missing_count"], F.lit(0)))
+    return document.select(
+        "success", "statistics.evaluated_expectations", "statistics.success_percent",
+        F.size("results").cast("bigint").alias("n_results"), missing.cast("double").alias("missing"),
+        F.array_join("results.arguments", ";").alias("arguments"),
+    )
+
+
 @_query("quality_listing", f"""
     with t as ({_TYPED_PAYMENTS}), r as ({_quality_sql('payments')})
     select position, case when success then 'PASS' else 'FAIL' end status, expectation_type,

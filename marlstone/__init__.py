@@ -22,6 +22,7 @@ from marlstone.operators.quality import (
     listing,
     load_suite,
     statistics,
+    write_results,
 )
 from marlstone.operators.shop import (
     browse,

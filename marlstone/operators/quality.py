@@ -38,7 +38,7 @@ _ARGUMENTS = {
 
 RESULT_COLUMNS = [
     "position", "expectation_type", "column_name", "success",
-    "element_count", "unexpected_count", "unexpected_percent",
+    "element_count", "unexpected_count", "unexpected_percent", "missing_count", "missing_percent", "arguments",
 ]
 
 
@@ -126,8 +126,9 @@ def _violation(expectation: Expectation) -> Column:
     )
 
 
-def _result(position, expectation, success, elements=None, unexpected=None, checked=None) -> Column:
-    """One result row. The percentage is of the values checked, as the format defines it."""
+def _result(position, expectation, success, elements=None, unexpected=None, checked=None, filled=None) -> Column:
+    """One result row. The percentage is of the values checked, as the format defines it; ``filled`` counts values."""
+    missing = F.lit(None).cast("bigint") if filled is None else elements - filled
     unexpected = F.lit(None).cast("bigint") if unexpected is None else unexpected
     elements = F.lit(None).cast("bigint") if elements is None else elements
     percent = F.lit(None).cast("double")
@@ -141,6 +142,9 @@ def _result(position, expectation, success, elements=None, unexpected=None, chec
         elements.alias("element_count"),
         unexpected.alias("unexpected_count"),
         percent.alias("unexpected_percent"),
+        missing.alias("missing_count"),
+        (missing.cast("double") * 100 / F.nullif(elements.cast("double"), F.lit(0.0))).alias("missing_percent"),
+        F.lit(json.dumps(expectation.kwargs, sort_keys=True)).alias("arguments"),
     )
 
 
@@ -166,14 +170,13 @@ def evaluate(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
             unique_parts.append(_uniqueness(df, position, expectation))
         else:
             counters.append(F.count_if(_violation(expectation)).alias(f"bad_{position}"))
-            checked = F.col("n")
-            if kind != NOT_NULL:
-                if column not in counted_columns:
-                    counted_columns.add(column)
-                    counters.append(F.count(F.col(column)).alias(f"filled_{column}"))
-                checked = F.col(f"filled_{column}")
+            if column not in counted_columns:
+                counted_columns.add(column)
+                counters.append(F.count(F.col(column)).alias(f"filled_{column}"))
+            filled = F.col(f"filled_{column}")
+            checked = F.col("n") if kind == NOT_NULL else filled
             bad = F.col(f"bad_{position}")
-            rows.append(_result(position, expectation, bad == 0, F.col("n"), bad, checked))
+            rows.append(_result(position, expectation, bad == 0, F.col("n"), bad, checked, filled))
     results = unique_parts
     if rows:
         results = [df.agg(*counters).select(F.inline(F.array(*rows))), *unique_parts]
@@ -193,7 +196,7 @@ def _uniqueness(df: DataFrame, position: int, expectation: Expectation) -> DataF
         F.coalesce(F.sum(F.when(filled, F.col("copies"))), F.lit(0)).alias("checked"),
         F.coalesce(F.sum(F.when(filled & (F.col("copies") > 1), F.col("copies"))), F.lit(0)).alias("bad"),
     )
-    row = _result(position, expectation, F.col("bad") == 0, F.col("n"), F.col("bad"), F.col("checked"))
+    row = _result(position, expectation, F.col("bad") == 0, F.col("n"), F.col("bad"), F.col("checked"), F.col("checked"))
     return totals.select(F.inline(F.array(row)))
 
 
@@ -218,11 +221,27 @@ def listing(results: DataFrame) -> DataFrame:
     )
 
 
-def write_results(results: DataFrame, root: str, table: str, run_id: str) -> str:
-    """Store a suite's results as JSON lines, one directory per run."""
+def result_document(results: DataFrame) -> DataFrame:
+    """One row: the verdict, the statistics, and every result in suite order. A suite has a few dozen."""
+    passed, total = F.count_if(F.col("success")), F.count(F.lit(1))
+    return results.agg(
+        (passed == total).alias("success"),
+        F.struct(
+            total.alias("evaluated_expectations"),
+            passed.alias("successful_expectations"),
+            (total - passed).alias("unsuccessful_expectations"),
+            (passed.cast("double") * 100 / F.nullif(total.cast("double"), F.lit(0.0))).alias("success_percent"),
+        ).alias("statistics"),
+        F.array_sort(F.collect_list(F.struct(*RESULT_COLUMNS))).alias("results"),
+    )
+
+
+def write_results(results: DataFrame, root: str, table: str, run_id: str) -> DataFrame:
+    """Store a suite's result document as JSON, one directory per run, and return it as stored."""
     path = f"{root.rstrip('/')}/table_name={table}/run_id={run_id}"
-    results.coalesce(1).write.mode("overwrite").json(path)
-    return path
+    document = result_document(results)
+    document.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return results.sparkSession.read.schema(document.schema).json(path)
 
 
 def enforce(results: DataFrame, table: str = "table") -> None:

@@ -6,7 +6,7 @@ opens only its own table's files.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,11 +107,18 @@ def mark_merged(spark: SparkSession, path: str, table: str, run_ids: list[str])
 
 
 def note_touched(spark: SparkSession, path: str, table: str, run_id: str, days: Iterable[tuple]) -> None:
-    """Record the Silver days a run is about to rewrite, for the marts built from them."""
-    rows = spark.createDataFrame([(run_id, *day) for day in days], "run_id string, year int, month int, day int")
+    """Record the Silver partitions a run is about to rewrite: days, or months where a table has no days."""
+    padded = [(run_id, *day, *[None] * (3 - len(day))) for day in days]
+    rows = spark.createDataFrame(padded, "run_id string, year int, month int, day int")
     rows.coalesce(1).write.mode("append").parquet(_of_table(path, table))
 
 
+def partitions_of_run(spark: SparkSession, path: str, table: str, run_id: str, levels: Sequence[str]) -> set[tuple]:
+    """The Silver partitions, by their ``levels``, that a run rewrote."""
+    noted = _read(spark, path, TOUCHED_SCHEMA, table).filter(F.col("run_id") == run_id)
+    return {tuple(row) for row in noted.select(*levels).distinct().collect()}
+
+
 def pending_days(
     spark: SparkSession, touched_path: str, built_path: str, table: str, mart: str
 ) -> tuple[set[str], set[tuple]]:

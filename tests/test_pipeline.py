@@ -115,8 +115,11 @@ def test_a_run_without_news_changes_nothing(spark, frames, one_shot):
     before = {n: table(spark, root, "silver", n) for n in SILVER}
     bronze = sorted(os.walk(f"{root}/bronze"))
     marks = {n: ms.get_watermark(spark, f"{root}/state/watermarks", n) for n in SILVER}
-    summary = run(spark, root, frames, END + timedelta(hours=1))
+    with pytest.raises(ms.QualityGateError, match="row_count"):  # an empty load is noticed
+        run(spark, root, frames, END + timedelta(hours=1))
+    summary = run(spark, root, frames, END + timedelta(hours=1), gate=False)
     assert summary.filter("stage in ('extract', 'silver') and rows_read > 0").count() == 0
+    assert run(spark, root, frames, END + timedelta(hours=1), whole_checks=True).filter("stage = 'quality'").count() == 2
     assert {n: table(spark, root, "silver", n) for n in SILVER} == before
     assert sorted(os.walk(f"{root}/bronze")) == bronze
     assert {n: ms.get_watermark(spark, f"{root}/state/watermarks", n) for n in SILVER} == marks

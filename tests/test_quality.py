@@ -88,8 +88,13 @@ def test_results_are_kept_per_run(spark, tmp_path, payments):
     for run_id in ("r1", "r2"):
         q.write_results(results, str(tmp_path), "payments", run_id)
     stored = spark.read.json(str(tmp_path))
-    assert stored.groupBy("table_name", "run_id").count().count() == 2
-    assert stored.filter("run_id = 'r1' and not success").count() == results.filter("not success").count()
+    assert stored.count() == 2 and stored.groupBy("table_name", "run_id").count().count() == 2
+    document = stored.filter("run_id = 'r1'").first()
+    failed = results.filter("not success").count()
+    assert document.success == (failed == 0) and document.statistics.unsuccessful_expectations == failed
+    assert [r.position for r in document.results] == list(range(1, results.count() + 1))
+    expected = {r.position: (r.missing_count, r.arguments) for r in results.collect()}
+    assert {r.position: (r.missing_count, r.arguments) for r in document.results} == expected
 
 
 def test_foreign_keys(spark, payments):
