@@ -25,6 +25,13 @@ def _parser() -> argparse.ArgumentParser:
     parser.add_argument("--run-id", help="derived from the run's time by default")
     parser.add_argument("--wide-keys", action="store_true", help="64-bit ids in Silver")
     parser.add_argument("--overlap-minutes", type=float, default=0, help="re-read this much before the last mark")
+    parser.add_argument(
+        "--timestamp-column", action="append", default=[], metavar="TABLE=COLUMN",
+        help="extract a table by this column, e.g. orders=updated_at; created_at by default",
+    )
+    parser.add_argument("--incremental-gold", action="store_true", help="rebuild only changed days of the daily marts")
+    parser.add_argument("--fixed-partitions", action="store_true", help="rows never change partition: do not look for moves")
+    parser.add_argument("--catalog", help="database in which each layer's tables are registered and reports look them up")
     jobs = parser.add_subparsers(dest="job", required=True)
 
     source = argparse.ArgumentParser(add_help=False)
@@ -81,7 +88,13 @@ def execute(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame
     run_ts = args.run_ts or datetime.now(timezone.utc).replace(microsecond=0)
     run_ts = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=timezone.utc)
     run_id = args.run_id or pipeline.make_run_id(run_ts)
-    lake = pipeline.LakeConfig(args.root, overlap=timedelta(minutes=args.overlap_minutes), wide_keys=args.wide_keys)
+    columns = dict(choice.split("=", 1) for choice in args.timestamp_column if "=" in choice)
+    if len(columns) < len(args.timestamp_column) or set(columns) - set(TABLES):
+        parser.error("--timestamp-column takes TABLE=COLUMN, once per table")
+    lake = pipeline.LakeConfig(
+        args.root, ts_columns=columns, overlap=timedelta(minutes=args.overlap_minutes), wide_keys=args.wide_keys,
+        track_moves=not args.fixed_partitions, incremental_gold=args.incremental_gold, catalog=args.catalog,
+    )
     names = args.names or args.choices
     if args.job == "report":
         return run_report(spark, names[0], args.as_of or run_ts.date(), **pipeline.stored_marts(spark, lake))
@@ -99,6 +112,8 @@ def execute(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame
     else:
         job = lambda n: pipeline.refresh_mart(spark, lake, n, run_id)
     summaries = pipeline.side_by_side(spark, job, names)
+    if args.job in ("silver", "gold"):
+        pipeline.register_layer(spark, lake, args.job)
     return summary_frame(spark, summaries)
 
 

@@ -28,11 +28,13 @@ from marlstone.sinks.tables import (
     overwrite_table,
     partition_values,
     read_partitions,
+    register_table,
     replace_partitions,
     within_range,
 )
 from marlstone.sources import watermarks
 from marlstone.sources.bronze import read_bronze
+from marlstone.sources.tables import read_table_or_path
 from marlstone.storage import path_exists, remove_path, stage
 
 #: A source is called with the window's bounds and returns the rows inside them.
@@ -52,6 +54,8 @@ class LakeConfig:
     track_moves: bool = True
     #: 64-bit ids in Silver
     wide_keys: bool = False
+    #: database of the catalog in which Silver and Gold tables are registered, as silver_… and gold_…
+    catalog: str | None = None
     #: rebuild only the days of daily_sales and funnel_analysis whose input changed;
     #: relies on a payment never changing its order, as at the source
     incremental_gold: bool = False
@@ -285,9 +289,23 @@ def _changed_funnel(
 
 
 def stored_marts(spark: SparkSession, lake: LakeConfig) -> dict[str, DataFrame]:
-    """The Gold tables that have been built, by name."""
-    paths = {mart: lake.path("gold", mart) for mart in gold.GOLD_PARTITIONS}
-    return {mart: spark.read.parquet(path) for mart, path in paths.items() if path_exists(spark, path)}
+    """The Gold tables that have been built, by name: from the catalog where the lake has one, else by path."""
+    built = {mart: lake.path("gold", mart) for mart in gold.GOLD_PARTITIONS if path_exists(spark, lake.path("gold", mart))}
+    if lake.catalog is None:
+        return {mart: spark.read.parquet(path) for mart, path in built.items()}
+    return {mart: read_table_or_path(spark, f"{lake.catalog}.gold_{mart}", path) for mart, path in built.items()}
+
+
+def register_layer(spark: SparkSession, lake: LakeConfig, layer: str) -> None:
+    """Bring the catalog's tables of a layer ("silver" or "gold") up to date, if the lake has a catalog."""
+    if lake.catalog is None:
+        return
+    partitions = gold.GOLD_PARTITIONS if layer == "gold" else {name: spec.partition_by for name, spec in TABLES.items()}
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.catalog}")
+    for name, parts in partitions.items():
+        path = lake.path(layer, name)
+        if path_exists(spark, path):
+            register_table(spark, f"{lake.catalog}.{layer}_{name}", path, partition_cols=parts)
 
 
 def build_mart(spark: SparkSession, lake: LakeConfig, mart: str, df: DataFrame, run_id: str) -> RunSummary:
@@ -340,7 +358,9 @@ def run_pipeline(
         spark, lambda t: extract_table(spark, lake, t, sources[t], run_ts, run_id), [t for t in names if t in sources]
     )
     summaries += side_by_side(spark, lambda t: refine_table(spark, lake, t, run_id), names)
+    register_layer(spark, lake, "silver")
     checked = [t for t in quality.SUITES if path_exists(spark, lake.path("silver", t))]
     summaries += side_by_side(spark, lambda t: check_table(spark, lake, t, run_id, gate, whole=whole_checks), checked)
     summaries += side_by_side(spark, lambda m: refresh_mart(spark, lake, m, run_id), gold.GOLD_PARTITIONS)
+    register_layer(spark, lake, "gold")
     return summary_frame(spark, summaries)

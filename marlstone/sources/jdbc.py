@@ -37,16 +37,21 @@ def read_jdbc(
     high: datetime | str,
     options: Mapping[str, str] | None = None,
     partition_column: str | None = None,
-    num_partitions: int = 1,
+    num_partitions: int | None = None,
 ) -> DataFrame:
     """Rows of ``table`` with ``low < ts_col <= high``.
 
-    The window is pushed to the database. With ``partition_column`` (an integer
-    key) the rows are read by ``num_partitions`` tasks, strided over the range
-    the window actually covers, which the database itself reports.
+    The window is pushed to the database. ``partition_column`` (an integer key)
+    lets ``num_partitions`` tasks read, as many as the session has cores by
+    default, strided over the range the window actually covers, which the
+    database itself reports. Without it one task would read everything, which
+    has to be asked for by ``num_partitions=1``.
     """
+    if partition_column is None and num_partitions != 1:
+        raise ValueError("name a partition_column, or ask for a single reader with num_partitions=1")
+    num_partitions = num_partitions or spark.sparkContext.defaultParallelism
     settings = _options(url, options)
-    if partition_column and num_partitions > 1:
+    if num_partitions > 1:
         lowest, highest = _key_range(spark, settings, table, partition_column, ts_col, low, high)
         if lowest is not None:
             settings.update(

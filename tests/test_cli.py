@@ -2,6 +2,7 @@
 
 import pytest
 
+import marlstone as ms
 import marlstone.__main__ as cli
 from marlstone import QualityGateError
 from marlstone.schemas import TABLES
@@ -46,6 +47,21 @@ def test_a_suite_file_can_replace_the_built_in_suite(spark, database, tmp_path):
         cli.execute(spark, [*base, "quality", "orders", "--suite", str(suite)])
 
 
+def test_extraction_by_update_time_and_reports_by_table_name(spark, database, tmp_path):
+    base = ["--root", str(tmp_path / "lake"), "--run-ts", END.isoformat(), "--catalog", "cli_lake", "--incremental-gold",
+            "--timestamp-column", "orders=updated_at"]
+    cli.execute(spark, [*base, "run", "--jdbc-url", database, "--readers", "2"])
+    orders = spark.table("cli_lake.silver_orders")
+    mark = ms.get_watermark(spark, ms.LakeConfig(str(tmp_path / "lake")).watermarks, "orders")
+    latest = orders.selectExpr("max(unix_micros(cast(updated_at as timestamp)))").first()[0]
+    assert mark == ms.sources.watermarks.from_micros(latest)
+    by_name = cli.execute(spark, [*base, "report", "top_products"])
+    assert by_name.count() > 0 and spark.table("cli_lake.gold_top_products").count() == by_name.count()
+    with pytest.raises(SystemExit):
+        cli.execute(spark, [*base, "--timestamp-column", "nonsense", "gold"])
+    spark.sql("DROP DATABASE cli_lake CASCADE")
+
+
 def test_unknown_names_are_refused(spark, tmp_path):
     with pytest.raises(SystemExit):
         cli.execute(spark, ["--root", str(tmp_path), "gold", "no_such_mart"])

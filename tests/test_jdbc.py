@@ -24,7 +24,11 @@ def orders(spark):
 
 
 def test_window_is_pushed_to_the_database(spark, orders):
-    df = ms.read_jdbc(spark, URL, orders, "created_at", START + timedelta(hours=10), START + timedelta(hours=20))
+    window = (START + timedelta(hours=10), START + timedelta(hours=20))
+    with pytest.raises(ValueError):
+        ms.read_jdbc(spark, URL, orders, "created_at", *window)
+    assert ms.read_jdbc(spark, URL, orders, "created_at", *window, partition_column="id").rdd.getNumPartitions() > 1
+    df = ms.read_jdbc(spark, URL, orders, "created_at", *window, num_partitions=1)
     assert df.columns == ["id", "status", "created_at"]
     assert sorted(r.id for r in df.collect()) == list(range(11, 21))
     plan = df._jdf.queryExecution().executedPlan().toString()
