@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import scratch_path
+from marlstone.llm.common import scratch_path, staged
 
 #: Rule version -> kind -> (text that any match contains, pattern, group whose length counts, its least length).
 #: Fixed patterns; a changed or added rule gets a new version, so that only it is scanned anew.
@@ -103,6 +103,7 @@ def findings(docs: DataFrame, path: str, versions=tuple(RULES)) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, blob, spans in order; from the ledger alone."""
     found = read_ledger(docs.sparkSession, path).where(F.col("rule_version").isin(*versions) & (F.size("spans") > 0))
     per_blob = found.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    per_blob = staged(per_blob, "findings")  # from a table, the join can split the paths of a hot blob
     return docs.select("doc_id", _blob(F.col("text")).alias("blob")).join(per_blob, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{_SPAN}>")).alias("spans")
     )
