@@ -68,6 +68,7 @@ def revisits(pages: DataFrame, least: int = REVISIT_FROM) -> DataFrame:
     """
     large = pages.where(F.col("bytes") >= least)
     first = large.where("page_id is not null").groupBy("digest").agg(F.min("page_id").alias("first_page"))
+    first = staged(first, "first-pages")  # from a table, the join can split the pages of a hot payload
     urls = large.groupBy("digest", "page_id").agg(F.min("url").alias("url"))
     others = urls.select("digest", "page_id").join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("first_page")))
     stored = urls.select("digest", F.col("page_id").alias("first_page"), F.col("url").alias("first_url"))
