@@ -11,7 +11,6 @@ from __future__ import annotations
 import importlib
 import importlib.util
 import json
-import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
@@ -30,6 +29,7 @@ from marlstone.plans.pipeline import extract_table, refine_table
 from marlstone.plans.silver import silver, silver_rejects, typed_rows
 from marlstone.schemas import FOREIGN_KEYS, TABLES
 from marlstone.sources.watermarks import watermark_lookup
+from marlstone.storage import scratch_path
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -77,12 +77,8 @@ def _query(name: str, sql: str, gaps: Sequence[str] = ()):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A new directory for queries whose subject is writing, on storage that all executors share.
-
-    ``spark.checkpoint.dir`` names it; the warehouse, shared as well, stands in where that is unset.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
+    """A new directory for queries whose subject is writing."""
+    return scratch_path(spark, "run")
 
 
 # --- scans, sources, sinks ---------------------------------------------------

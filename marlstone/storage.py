@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marlstone.session import staging_path
 
+#: Scratch folders handed out by this process.
+_SCRATCH: list[str] = []
+
 
 def _resolve(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -17,17 +22,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def file_names(spark: SparkSession, path: str) -> set[str]:
-    """Names directly under ``path``; empty if it does not exist."""
-    target, fs = _resolve(spark, path)
-    return {status.getPath().getName() for status in fs.listStatus(target)} if fs.exists(target) else set()
-
-
 def remove_path(spark: SparkSession, path: str) -> None:
     target, fs = _resolve(spark, path)
     fs.delete(target, True)
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new folder on storage that all executors share, for tables that a result is read from.
+
+    ``spark.checkpoint.dir`` names it; the warehouse, shared as well, stands in
+    where that is unset. The folder stays until ``clear_scratch``.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the scratch folders of this process; call it once their results have been consumed."""
+    while _SCRATCH:
+        remove_path(spark, _SCRATCH.pop())
+
+
 def stage(df: DataFrame, beside: str, label: str) -> str:
     """Write ``df`` once to shared storage so later steps read it instead of recomputing it.
 

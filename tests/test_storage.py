@@ -13,6 +13,7 @@ from marlstone.schemas import TABLES
 from marlstone.sinks.tables import overwrite_partitions, overwrite_table, read_partitions
 from marlstone.sources import watermarks
 from marlstone.sources.bronze import CSV_OPTIONS, day_predicate
+from marlstone.storage import clear_scratch, path_exists, scratch_path
 
 RUN = datetime(2024, 5, 6, 3, 0, tzinfo=timezone.utc)
 
@@ -208,6 +209,15 @@ def test_bronze_as_a_catalog_table_prunes_by_day(spark, tmp_path):
     spark.sql("DROP TABLE bronze_reg")
 
 
+def test_scratch_is_shared_and_cleared(spark):
+    path = scratch_path(spark, "some")
+    assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+    spark.range(3).write.parquet(path)
+    assert path_exists(spark, path)
+    clear_scratch(spark)
+    assert not path_exists(spark, path)
+
+
 def test_table_or_path(spark, tmp_path):
     path = str(tmp_path / "p")
     spark.range(3).write.parquet(path)
