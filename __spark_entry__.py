@@ -377,11 +377,16 @@ def _(v, spark):
     return ms.silver_orders(v("fx_orders_raw"))
 
 
+_PAYMENTS_NEWEST = (
+    "created_at desc nulls last, order_id desc nulls last, amount desc nulls last, method desc nulls last, "
+    "status desc nulls last, transaction_ref desc nulls last"
+)
+
+
 @_query("silver_payments", _latest(
     _TYPED_PAYMENTS,
     f"id, order_id, cast(amount as double) amount, method, status, transaction_ref, {_CREATED}, {_DAY_PARTS}",
-    "created_at desc nulls last, order_id desc nulls last, amount desc nulls last, method desc nulls last, "
-    "status desc nulls last, transaction_ref desc nulls last", where="id is not null"))
+    _PAYMENTS_NEWEST, where="id is not null"))
 def _(v, spark):
     return ms.silver_payments(v("fx_payments_raw"))
 
@@ -423,8 +428,7 @@ def _(v, spark):
 @_query("stream_silver", _latest(
     _TYPED_PAYMENTS,
     f"cast(id as bigint) id, order_id, cast(amount as double) amount, method, status, transaction_ref, {_CREATED}, 'kept' outcome",
-    "created_at desc nulls last, order_id desc nulls last, amount desc nulls last, method desc nulls last, "
-    "status desc nulls last, transaction_ref desc nulls last", where="id is not null") + f"""
+    _PAYMENTS_NEWEST, where="id is not null") + f"""
     union all
     select null, order_id, cast(amount as double), method, status, transaction_ref, {_CREATED}, 'missing or malformed key: id'
     from ({_TYPED_PAYMENTS}) typed where id is null""", gaps=("id", "order_id"))
@@ -506,6 +510,26 @@ def _(v, spark):
     return ms.daily_sales(v("fx_orders"), v("fx_payments"), unique_orders=True)
 
 
+_SILVER_ORDERS = _latest(_TYPED_ORDERS, "*", _ORDERS_NEWEST, where="id is not null")
+_SILVER_PAYMENTS = _latest(_TYPED_PAYMENTS, "*", _PAYMENTS_NEWEST, where="id is not null")
+
+
+@_query("gold_daily_sales_from_raw", _ORACLE_TEXT["gold_daily_sales"]
+        .replace("fx_orders o", f"({_SILVER_ORDERS}) o").replace("fx_payments p", f"({_SILVER_PAYMENTS}) p"))
+def _(v, spark):
+    return ms.daily_sales(ms.silver_orders(v("fx_orders_raw")), ms.silver_payments(v("fx_payments_raw")), unique_orders=True)
+
+
+_INSTALMENTS = "select * from fx_payments union all select * replace (id + 100000000 as id) from fx_payments where order_id % 3 = 0"
+
+
+@_query("gold_daily_sales_instalments", _ORACLE_TEXT["gold_daily_sales"].replace("fx_payments p", f"({_INSTALMENTS}) p"))
+def _(v, spark):
+    payments = v("fx_payments")
+    again = payments.where(F.col("order_id") % 3 == 0).withColumn("id", F.col("id") + F.lit(100_000_000))
+    return ms.daily_sales(v("fx_orders"), payments.unionByName(again), unique_orders=True)
+
+
 @_query("gold_customer_ltv", f"""
     select customer_id, email, name, strftime(first_order_date, '{TS}') first_order_date,
            strftime(last_order_date, '{TS}') last_order_date, total_orders, total_revenue, avg_order_value,

@@ -123,19 +123,22 @@ VIEWS = {
                cast(date '1995-01-01' + cast(p_partkey % 30 as int)
                     + case when delivery = 2 and p_partkey % 12 = 0 then 31 else 0 end as string) created_at
         from ({_deliveries("part", 2)}) delivered""",
-    "fx_order_items_raw": """
-        select cast(l_orderkey * 10 + l_linenumber as string) id, cast(l_orderkey as string) order_id,
+    "fx_order_items_raw": f"""
+        select case when delivery = 1 and l_orderkey % 600 = 7 then concat('#', cast(l_orderkey as string))
+                    else cast(l_orderkey * 10 + l_linenumber as string) end id, cast(l_orderkey as string) order_id,
                concat(' ', cast(l_partkey as string)) product_id, cast(cast(l_quantity as int) as string) quantity,
                cast(cast(l_extendedprice as decimal(10,2)) as string) unit_price,
-               cast(cast(l_shipdate as date) as string) created_at
-        from {lineitem}""",
+               cast(cast(l_shipdate as date) + case when delivery = 2 and l_orderkey % 15 = 0 then 1 else 0 end
+                    as string) created_at
+        from ({_deliveries("lineitem", 2)}) delivered""",
     "fx_page_views_raw": f"""
-        select cast(event_id as string) id,
+        select case when delivery = 1 and event_id % 900 = 5 then 'none' else cast(event_id as string) end id,
                case when event_id % 4 = 0 then '' else cast(user_id as string) end user_id,
-               {_SESSION} session_id, concat({_PATH}, ' ') path,
+               {_SESSION} session_id,
+               case when delivery = 2 and event_id % 50 = 0 then '/orders ' else concat({_PATH}, ' ') end path,
                case when event_id % 3 = 0 then ' ' else '/home' end referrer,
                cast(cast(floor(value) as int) as string) duration_ms, cast(ts as string) created_at
-        from {{events}}""",
+        from ({_deliveries("events", 2)}) delivered""",
 }
 
 _INPUT = re.compile(r"\{(\w+)\}")
