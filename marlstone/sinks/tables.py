@@ -103,10 +103,12 @@ def merge_stored(
     """
     spark, schema = batch.sparkSession, batch.schema
     keys, partition_cols = list(keys), list(partition_cols)
-    touched, holding = set(partition_values(batch, partition_cols)), set()
+    # One pass over the batch tells both the partitions it touches and the range of its keys.
+    extent = batch.agg(F.collect_set(F.struct(*partition_cols)), F.min(keys[0]), F.max(keys[0])).first()
+    touched, holding = {tuple(row) for row in extent[0]}, set()
     stored = path_exists(spark, path)
     if stored and track_moves:
-        current = within_range(spark.read.schema(schema).parquet(path), keys[0], batch, keys[0])
+        current = key_range(spark.read.schema(schema).parquet(path), keys[0], *extent[1:])
         versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
         holding = set(partition_values(versions, partition_cols))
     if announce is not None:
@@ -118,12 +120,16 @@ def merge_stored(
 
 
 def within_range(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` lies in the range of ``other_column``, as a join partner must.
+    """Rows of ``df`` whose ``column`` lies in the range of ``other_column``, as a join partner must."""
+    return key_range(df, column, *other.agg(F.min(other_column), F.max(other_column)).first())
+
+
+def key_range(df: DataFrame, column: str, low, high) -> DataFrame:
+    """Rows of ``df`` with ``column`` from ``low`` to ``high``; none if these are NULL.
 
     Keys are handed out in order, so those of a batch lie close together and the
     range, pushed to the scan, skips most row groups by their statistics.
     """
-    low, high = other.agg(F.min(other_column), F.max(other_column)).first()
     if low is None:
         return df.limit(0)
     return df.filter(F.col(column).between(F.lit(low), F.lit(high)))
