@@ -75,6 +75,7 @@ def _suite(exist=(), not_null=(), in_set=(), non_negative=(), unique=(), min_row
     return suite
 
 
+# The built-in suites, checks in their order.
 SUITES = {
     "orders": _suite(
         exist=("id", "user_id", "status", "subtotal", "tax", "total", "created_at"),
@@ -92,6 +93,7 @@ SUITES = {
         unique=("id",),
     ),
 }
+# End of fixed values.
 
 
 #: Constraints the source database enforces but files do not; reported, not part of the suites.

@@ -9,8 +9,10 @@ from marlstone.functions.measures import page_category, page_product, page_type,
 from marlstone.operators.dedup import first_per_group
 from marlstone.operators.joins import left_join
 
+# The shop's tax rate, and how many related products it shows.
 TAX_RATE = "0.10"
 RELATED = 4
+# End of fixed values.
 
 
 def consolidate_cart(lines: DataFrame) -> DataFrame:

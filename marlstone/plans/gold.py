@@ -160,6 +160,7 @@ def funnel(page_views: DataFrame, orders: DataFrame) -> DataFrame:
     return add_date_parts(daily, "event_date", ("year", "month"))
 
 
+#: Fixed values, here and as the column names above: what the published marts are called and split by.
 #: mart → partition columns of its stored table
 GOLD_PARTITIONS = {
     "daily_sales": ("year", "month", "day"),
