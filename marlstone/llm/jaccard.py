@@ -398,7 +398,9 @@ def links(sets: DataFrame, groups: DataFrame, part: int, whole: int, chunk_sets:
 def classes(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int = WHOLE, chunk_sets: int = CHUNK_SETS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, text_key (xxhash64 of the text), n_shingles, component_id.
 
-    Two documents link when ``whole`` * shared >= ``part`` * united shingles.
+    Two documents link when ``whole`` * shared >= ``part`` * united shingles. ``docs`` is read
+    several times and should be a stored table, as its tasks must see the same rows
+    in the same order when one is run again.
     """
     screened = staged(screen(docs, words), "screened")
     sets = passing_sets(docs, screened, words, part, whole)
