@@ -18,7 +18,8 @@ digest of 64 bits.
 
 Defined results: a null text counts as empty; a text without words has no
 shingles, is linked with nothing and is its own component; a null id takes part but
-never names a component that has another id; repeated rows are equal sets, each
+never names a component that has another id; components without any id, or that share
+their smallest id, have the same name but are different ones, told apart by ``root``; repeated rows are equal sets, each
 with its row; an empty table gives no rows; other columns are ignored.
 """
 
@@ -396,8 +397,10 @@ def links(sets: DataFrame, groups: DataFrame, part: int, whole: int, chunk_sets:
 
 
 def classes(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int = WHOLE, chunk_sets: int = CHUNK_SETS) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, text_key (xxhash64 of the text), n_shingles, component_id.
+    """Per row of ``docs`` (doc_id, text): doc_id, text_key (xxhash64 of the text), n_shingles, component_id, root.
 
+    ``component_id`` is the class's smallest id; ``root``, the smallest name of its sets, is what
+    identifies it (null without shingles, where each row is its own class).
     Two documents link when ``whole`` * shared >= ``part`` * united shingles. ``docs`` is read
     several times and should be a stored table, as its tasks must see the same rows
     in the same order when one is run again.
@@ -410,20 +413,21 @@ def classes(docs: DataFrame, words: int = WORDS, part: int = PART, whole: int =
     firsts = firsts.join(roots, "sid", "left")
     named = firsts.where("root is not null").groupBy("root").agg(F.min("first_doc").alias("class_doc"))
     named = firsts.join(named, "root", "left").select(
-        "sid", F.when(F.col("root").isNull(), F.col("first_doc")).otherwise(F.col("class_doc")).alias("class_doc")
+        "sid", F.when(F.col("root").isNull(), F.col("first_doc")).otherwise(F.col("class_doc")).alias("class_doc"),
+        F.coalesce("root", "sid").alias("root"),
     )
     return screened.join(named, "sid", "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_doc")).alias("component_id"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_doc")).alias("component_id"), "root",
     )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs``, all columns, with one row of each class; rows without shingles all stay."""
+    """``docs``, all columns, with one row of each class, that with the smallest id, nulls last; rows without shingles all stay."""
     found = classes(docs)
     kept = found.where(F.col("n_shingles") == 0).select("doc_id", "text_key", F.lit(False).alias("once")).unionByName(
         found.where((F.col("n_shingles") > 0) & F.col("component_id").eqNullSafe(F.col("doc_id")))
-        .groupBy("component_id").agg(F.min("text_key").alias("text_key"))
+        .groupBy("root", "component_id").agg(F.min("text_key").alias("text_key"))
         .select(F.col("component_id").alias("doc_id"), "text_key", F.lit(True).alias("once"))
     ).distinct()
     return _matching(docs, kept)

@@ -178,6 +178,22 @@ def test_join_of_odd_rows(docs, nothing):
     assert jaccard.classes(nothing).count() == 0
 
 
+def test_one_of_each_keeps_every_class(spark):
+    """Classes without any id, and different texts under one id, are classes of their own."""
+    near = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(None, "red green blue"), (None, "red green blue"), (None, "cyan pink"), (None, WORDS), (None, f"{near} a"), (None, f"{near} b"),
+            (1, "first version of it"), (1, "quite another version"), (2, "First version of IT"), (None, "quite another version"),
+            (None, ""), (None, ""), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in jaccard.one_of_each(docs).collect()]
+    near_kept = [r for r in kept if r[1] and r[1].startswith(near)]
+    assert len(near_kept) == 1
+    assert sorted((r for r in kept if r not in near_kept), key=str) == sorted(
+        [(None, "red green blue"), (None, "cyan pink"), (None, WORDS), (1, "first version of it"), (1, "quite another version"),
+         (None, ""), (None, ""), (3, None)], key=str)
+    assert jaccard.classes(docs).where("n_shingles > 0").select("root").distinct().count() == 6
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 200), (200, 100), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
