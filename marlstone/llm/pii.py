@@ -2,18 +2,22 @@
 
 Entities (emails, addresses, cards, phones) are found by pattern. What else a
 document must hide follows from the corpus: with N documents, n_c that hold an
-entity c, n_t that hold a term t, and n_ct that hold t near c,
+entity c, n_t that hold a term t, and n_ct that hold both, wherever in the text,
 
     information of c    IC = ln(N / n_c)
     disclosure by t     PMI = ln(n_ct * N / (n_c * n_t))
 
-a term near c discloses PMI / IC of it. From ``GENERALISE`` on it is generalised to
-its shape, from ``REMOVE`` on it is removed, provided that ``SUPPORT`` documents
-show it near c. Documents without an entity are left alone.
+t discloses PMI / IC of c. From ``GENERALISE`` on it is generalised to its shape, from
+``REMOVE`` on it is removed, at every place where it stands in a document that holds c.
+
+Support: fewer than ``SUPPORT`` documents with both show no rule, so an entity of one
+document discloses nothing. An entity that all documents hold has no information.
+Documents without c keep t: nothing there ties it to c. Places inside an entity count
+for n_t and n_ct but are hidden by the entity's own span.
 
 All counts are over all documents; terms are reduced to one count per task
 before they are shuffled. Nothing grows with a group: a frequent entity only means more rows
-to aggregate, and a document's spans come together by its row.
+to aggregate, and a document's entities and spans come together by its row.
 
 Defined results: a null text counts as empty and has no spans; repeated rows
 count as documents and each has its row; an empty table gives no rows; other columns are ignored.
@@ -35,8 +39,10 @@ from marlstone.llm.common import staged
 
 SUPPORT = 2
 GENERALISE, REMOVE = 0.75, 0.95
-#: Words on either side of an entity that count as near, within so many characters.
-NEAR_WORDS, NEAR_CHARS = 8, 400
+#: Of the terms in at least one of ``COMMON_SHARE`` documents, so many are known to all tasks, which leave out the pairs
+#: that cannot reach the threshold even with n_ct = n_c. All other pairs are counted first; results are the same.
+COMMON_TERMS, COMMON_SHARE = 4096, 256
+_PAIRS = 50_000
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "generalised", "removed")
@@ -86,53 +92,48 @@ def entities(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int, str]]) -> list[tuple[str, str, int, int]]:
-    """entity, term, start, end of the words around each entity that lie in none themselves."""
+def entity_name(text: str, begin: int, end: int, kind: str) -> str:
+    value = text[begin:end].lower() if kind == "email" else re.sub(r"[^0-9.]" if kind == "ip" else r"[^0-9]", "", text[begin:end])
+    return hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=16).hexdigest()
+
+
+def places(text: str, spans: list[tuple[int, int]]) -> dict[str, list[int]]:
+    """Each distinct term of a text, and where it starts outside the spans (start, end) of all entities."""
     taken: list[list[int]] = []  # the union of the spans
-    for b, _, e, _ in sorted(spans):
+    for b, e in sorted(spans):
         if taken and b <= taken[-1][1]:
             taken[-1][1] = max(taken[-1][1], e)
         else:
             taken.append([b, e])
-
-    def free(b: int, e: int) -> bool:
-        k = bisect_left(taken, [e, 0]) - 1  # the last that starts before the end
-        return k < 0 or taken[k][1] <= b
-
-    out = []
-    for begin, _, end, kind in spans:
-        value = text[begin:end].lower() if kind == "email" else re.sub(r"[^0-9.]" if kind == "ip" else r"[^0-9]", "", text[begin:end])
-        entity = hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=16).hexdigest()
-        low, high = max(0, begin - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
-        before = [(m.start(), m.end()) for m in TERM.finditer(text, low, begin)][-NEAR_WORDS:]
-        after = [(m.start(), m.end()) for m in TERM.finditer(text, end, high)][:NEAR_WORDS]
-        if before and before[0][0] == low > 0 and TERM.match(text[low - 1]):
-            before.pop(0)  # cut at the border
-        if after and after[-1][1] == high < len(text) and TERM.match(text[high]):
-            after.pop()
-        out += [(entity, text[b:e], b, e) for b, e in before + after if free(b, e)]
+    out: dict[str, list[int]] = {}
+    for m in TERM.finditer(text):
+        starts = out.setdefault(m.group(), [])
+        k = bisect_left(taken, [m.end(), 0]) - 1  # the last that starts before the end
+        if k < 0 or taken[k][1] <= m.start():
+            starts.append(m.start())
     return out
 
 
 _SPAN = "struct<start: long, rank: int, end: long, kind: string>"
-_FOUND = f"row long, doc_id long, text_key long, spans array<{_SPAN}>, near array<struct<entity: string, term: string, start: long, end: long>>"
+_FOUND = f"row long, doc_id long, text_key long, spans array<{_SPAN}>, entities array<string>, text string"
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: a number, doc_id, text_key (xxhash64 of the text), entity spans, and the terms near them."""
+    """Per row of ``docs``: a number, doc_id, text_key (xxhash64 of the text), entity spans, distinct entities, and the text if it has any."""
     span = pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("kind", pa.string())])
-    near = pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(span)), ("near", pa.list_(near))])
+    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("spans", pa.list_(span)),
+                        ("entities", pa.list_(pa.string())), ("text", pa.string())])
 
     def find(batches):
         for batch in batches:
-            spans, terms = [], []
+            spans, names, texts = [], [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 found = entities(text)
                 spans.append([dict(zip(("start", "rank", "end", "kind"), x)) for x in found])
-                terms.append([dict(zip(("entity", "term", "start", "end"), x)) for x in near_terms(text, found)])
-            lists = [pa.array(x, schema.field(k).type) for x, k in ((spans, "spans"), (terms, "near"))]
+                names.append(sorted({entity_name(text, b, e, kind) for b, _, e, kind in found}))
+                texts.append(text if found else None)
+            lists = [pa.array(x, schema.field(k).type) for x, k in ((spans, "spans"), (names, "entities"), (texts, "text"))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], schema=schema)
 
     picked = docs.select(
@@ -148,25 +149,71 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(terms).alias("term")).where("term <> ''").groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
 
 
-def disclosures(detected: DataFrame, frequencies: DataFrame, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
+def holders(detected: DataFrame, total: int, support: int) -> DataFrame:
+    """Columns row, spans, text, held (entity, n_c) of the documents that hold an entity which terms may disclose."""
+    held = detected.select("row", F.explode("entities").alias("entity"))
+    counts = staged(
+        held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c")).where(F.col("n_c").between(support, total - 1)), "entity_counts"
+    )
+    per_row = held.join(counts, "entity").groupBy("row").agg(F.collect_list(F.struct("entity", "n_c")).alias("held"))
+    return detected.where("text is not null").select("row", "spans", "text").join(per_row, "row")
+
+
+def _pairs(held: DataFrame, common, total: int, generalise: float, starts: bool) -> DataFrame:
+    """Each document's pairs of an entity and a distinct term, with n_c to count them or with the row and places to mark them."""
+    names = ("entity", "term", "row", "starts") if starts else ("entity", "term", "n_c")
+    types = {"entity": pa.string(), "term": pa.string(), "row": pa.int64(), "starts": pa.list_(pa.int64()), "n_c": pa.int64()}
+
+    def find(batches):
+        frequent, out, n = common.value, {name: [] for name in names}, 0
+
+        def full():
+            return pa.RecordBatch.from_arrays([pa.array(out[name], types[name]) for name in names], names=list(names))
+
+        for batch in batches:
+            for row, spans, text, held in zip(*(batch.column(c) for c in ("row", "spans", "text", "held"))):
+                found = places(text.as_py(), [(s["start"], s["end"]) for s in spans.as_py()])
+                for entity in held.as_py():
+                    most = total * (entity["n_c"] / total) ** generalise * (1 + 1e-9)
+                    for term, at in found.items():
+                        if starts and not at or frequent.get(term, 0) > most:
+                            continue
+                        for name, value in zip(names, (entity["entity"], term, *((row.as_py(), at) if starts else (entity["n_c"],)))):
+                            out[name].append(value)
+                        n += 1
+                        if n == _PAIRS:
+                            yield full()
+                            out, n = {name: [] for name in names}, 0
+        if n:
+            yield full()
+
+    return held.mapInArrow(find, "entity string, term string, " + ("row long, starts array<long>" if starts else "n_c long"))
+
+
+def disclosures(pairs: DataFrame, frequencies: DataFrame, total: int, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
     """Columns entity, term, action of the terms that disclose an entity, and disclosed, the part of it they do."""
-    near = detected.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term").distinct()
-    holds = near.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    together = near.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= support)
-    total = F.lit(float(detected.count()))
-    counted = together.join(holds, "entity").join(frequencies, "term")
-    share = F.log(F.col("n_ct") * total / (F.col("n_c") * F.col("n_t"))) / F.log(total / F.col("n_c"))
-    disclosed = counted.where(F.col("n_c") < total).select("entity", "term", share.alias("disclosed"))
-    return disclosed.where(F.col("disclosed") >= generalise).withColumn(
+    together = pairs.groupBy("entity", "n_c", "term").agg(F.count(F.lit(1)).alias("n_ct")).where(F.col("n_ct") >= support)
+    counted, n = together.join(frequencies, "term"), F.lit(float(total))
+    share = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))) / F.log(n / F.col("n_c"))
+    return counted.select("entity", "term", share.alias("disclosed")).where(F.col("disclosed") >= generalise).withColumn(
         "action", F.when(F.col("disclosed") >= remove, "removed").otherwise("generalised")
     )
 
 
-def protected_spans(docs: DataFrame, **thresholds) -> DataFrame:
+def protected_spans(docs: DataFrame, support=SUPPORT, generalise=GENERALISE, remove=REMOVE) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, text_key and all spans, entities and disclosing terms, in order."""
     detected = staged(detect(docs), "entities")
-    telling = disclosures(detected, document_frequencies(docs), **thresholds)
-    terms = detected.select("row", F.explode("near").alias("x")).select("row", "x.*").join(telling, ["entity", "term"])
+    total = detected.count()
+    held = staged(holders(detected, total, support), "holders")
+    # A term of fewer documents cannot stand beside an entity in enough of them.
+    frequencies = staged(document_frequencies(docs).where(F.col("n_t") >= support), "frequencies")
+    often = frequencies.where(F.col("n_t") * COMMON_SHARE >= total).orderBy(F.desc("n_t"), "term").limit(COMMON_TERMS).collect()
+    common = docs.sparkSession.sparkContext.broadcast({r.term: r.n_t for r in often})
+    pairs = _pairs(held, common, total, generalise, starts=False)
+    telling = staged(disclosures(pairs, frequencies, total, support, generalise, remove), "disclosures")
+    terms = _pairs(held, common, total, generalise, starts=True).join(telling, ["entity", "term"]).select(
+        "row", F.explode("starts").alias("start"), (F.col("start") + F.length("term")).alias("end"), "action"
+    )
     ranks = F.when(F.col("action") == "generalised", KINDS.index("generalised")).otherwise(KINDS.index("removed"))
     # A term may disclose several entities; what discloses most decides.
     worst = terms.groupBy("row", "start", "end").agg(F.max(ranks).alias("rank"))

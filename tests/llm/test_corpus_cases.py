@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; and the parts no query reaches."""
 
 import hashlib
+import math
 import random
 
 import pytest
@@ -275,6 +276,43 @@ def test_terms_that_disclose_are_hidden(spark):
     assert "Quibbleton" not in {r.doc_id: r.text for r in pii.sanitise(docs, generalise=0.5, remove=0.7).collect()}[1]
 
 
+def _brute_disclosed(rows, generalise, remove):
+    """All spans of each document by the formula, over sets of whole documents."""
+    spans = {k: pii.entities(text) for k, text in rows}
+    names = {k: {pii.entity_name(text, b, e, kind) for b, _, e, kind in spans[k]} for k, text in rows}
+    terms = {k: set(pii.TERM.findall(text)) for k, text in rows}
+    out = {}
+    for k, text in rows:
+        out[k] = [(b, e, kind) for b, _, e, kind in spans[k]]
+        for m in pii.TERM.finditer(text):
+            if any(b < m.end() and m.start() < e for b, _, e, _ in spans[k]):
+                continue
+            most = 0
+            for c in names[k]:
+                n_c, n_t = sum(c in x for x in names.values()), sum(m.group() in x for x in terms.values())
+                n_ct = sum(c in names[d] and m.group() in terms[d] for d in names)
+                if n_ct >= pii.SUPPORT and n_c < len(rows):
+                    most = max(most, math.log(n_ct * len(rows) / (n_c * n_t)) / math.log(len(rows) / n_c))
+            if most >= generalise:
+                out[k].append((m.start(), m.end(), "removed" if most >= remove else "generalised"))
+    return {k: sorted(x) for k, x in out.items()}
+
+
+def test_disclosing_terms_of_whole_documents(spark):
+    far, long = "and so on " * 60, "x" * 500
+    rows = [(k, f"Quibbleton {far} at me@x.org {long} {far} says Quibbleton") for k in range(3)]
+    rows += [(3, f"Quibbleton {far} call +1 555 010 9999"), (4, "Quibbleton only"), (5, "me@x.org")]
+    rows += [(k, f"{far} at noon nr {k}") for k in range(10, 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for generalise, remove in ((0.75, 0.95), (0.4, 0.8), (0.1, 0.2)):
+        got = {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.spans)
+               for r in pii.protected_spans(docs, generalise=generalise, remove=remove).collect()}
+        assert got == _brute_disclosed(rows, generalise, remove)
+    hidden = {r.doc_id: r.text for r in pii.sanitise(docs, generalise=0.4, remove=0.99).collect()}
+    assert all("Quibbleton" not in hidden[k] and long not in hidden[k] for k in range(3))
+    assert hidden[3].startswith("Quibbleton") and hidden[4] == "Quibbleton only"
+
+
 def test_personal_data_in_odd_rows(docs, nothing):
     assert pii.protected_spans(docs).where(F.size("spans") > 0).count() == 0
     assert pii.protected_spans(docs).count() == len(ROWS) and pii.protected_spans(nothing).count() == 0
