@@ -313,6 +313,16 @@ def test_disclosing_terms_of_whole_documents(spark):
     assert hidden[3].startswith("Quibbleton") and hidden[4] == "Quibbleton only"
 
 
+def test_entities_without_neighbours_count(spark):
+    """Documents that are only an entity, or entities alone, hold it: n_c is 6 here, and the name discloses less of it."""
+    rows = [(k, "Quibbleton at me@x.org") for k in range(2)] + [(2, "me@x.org"), (3, "me@x.org"), (4, "me@x.org,me@x.org"), (5, "me@x.org")]
+    rows += [(k, "noon") for k in range(10, 64)] + [(k, "Quibbleton") for k in range(70, 76)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.spans)
+           for r in pii.protected_spans(docs, generalise=0.4, remove=0.5).collect()}
+    assert got == _brute_disclosed(rows, 0.4, 0.5)
+
+
 def test_personal_data_in_odd_rows(docs, nothing):
     assert pii.protected_spans(docs).where(F.size("spans") > 0).count() == 0
     assert pii.protected_spans(docs).count() == len(ROWS) and pii.protected_spans(nothing).count() == 0
