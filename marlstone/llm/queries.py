@@ -6,8 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.llm import chat, decontaminate, jaccard, mixing, pii, quality_model, quality_rules, secrets, token_records, warc
-from marlstone.llm.common import staged, table
+from marlstone.llm import (
+    chat, decontaminate, jaccard, language_id, mixing, periodic_runs, pii, quality_model, quality_rules, secrets, token_records, warc,
+    whitening,
+)
+from marlstone.llm.common import let, n_words, staged, table, words
 
 QUERIES = {}
 ORACLES = {}
@@ -267,3 +270,43 @@ ORACLES["op2_chat_format"] = r"""
 def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def _with_cycles(documents: DataFrame) -> DataFrame:
+    """doc_id, text; one document in ten, by a checksum of its id, repeats the words from some point on with a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), n_words(F.col("text"))
+
+    def cycled(ws, start):
+        period = 1 + F.floor((F.size(ws) - start) / (3 + g % 8)).cast("int")
+        return let(period, lambda p: F.transform(ws, lambda w, i: F.get(ws, F.when(i < start, i).otherwise(start + (i - start) % p))))
+
+    joined = let(words(F.col("text")), lambda ws: F.array_join(
+        let((g % F.size(ws)).cast("int"), lambda start: cycled(ws, start)), " "))
+    return documents.select("doc_id", F.when((h % 10 == 0) & (n > 0), joined).otherwise(F.col("text")).alias("text"))
+
+
+@_query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_with_cycles(table(spark, sf_dir, "documents")))
+    # The greatest length / period first; correctly rounded quotients of such integers are equal only if the ratios are.
+    ranked = F.transform("runs", lambda r: F.struct(
+        (-(r["length"] / r["period"])).alias("worst"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))
+    best = F.array_min(ranked)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.call_function("div", best["length"] * 1000, best["period"]).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@_query
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
