@@ -23,11 +23,13 @@ from marlstone.fixtures import oracle, view
 from marlstone.functions.measures import days_between, safe_ratio, since
 from marlstone.operators.joins import left_join
 from marlstone.operators.metrics import summary_frame
-from marlstone.operators.quality import SUITES, constraints
+from marlstone.operators.shop import store_order_parts, stored_order_detail
+from marlstone.operators.quality import SUITES, Expectation, constraints, references
 from marlstone.plans import gold
-from marlstone.plans.pipeline import extract_table, refine_table
+from marlstone.plans.pipeline import extract_table, load_silver, read_silver, refine_table, refresh_mart, silver_days
 from marlstone.plans.silver import silver, silver_rejects, typed_rows
 from marlstone.schemas import FOREIGN_KEYS, TABLES
+from marlstone.sinks.tables import overwrite_table
 from marlstone.sources.watermarks import watermark_lookup
 from marlstone.storage import scratch_path
 
@@ -269,9 +271,7 @@ def _(v, spark):
     select cast(cast(created_at as date) as varchar) event_date, count(distinct session_id) unique_sessions
     from fx_page_views group by cast(created_at as date)""")
 def _(v, spark):
-    return v("fx_page_views").groupBy(F.to_date("created_at").alias("event_date")).agg(
-        F.count_distinct("session_id").alias("unique_sessions")
-    )
+    return gold.daily_visits(v("fx_page_views")).select("event_date", "unique_sessions")
 
 
 @_query("agg_conditional", """
@@ -280,12 +280,8 @@ def _(v, spark):
            count(*) payments
     from fx_payments group by method""")
 def _(v, spark):
-    done = F.col("status") == "completed"
-    return v("fx_payments").groupBy("method").agg(
-        F.count_if(done).alias("completed_payments"),
-        F.sum(F.when(done, F.col("amount")).otherwise(0)).alias("total_paid"),
-        F.count(F.lit(1)).alias("payments"),
-    )
+    found = gold.payments_per(v("fx_payments"), F.col("method"))
+    return found.withColumnsRenamed({"completed": "completed_payments", "paid": "total_paid", "payment_rows": "payments"})
 
 
 @_query("audit_key_uniqueness", """
@@ -438,10 +434,7 @@ def _(v, spark):
     for k, run_id in enumerate(("r1", "r2")):
         rows = raw.where(half == k).withColumn("created_at", F.col("created_at").cast("timestamp"))
         ms.write_bronze(rows, lake.path("bronze", "payments"), _RUN, run_id)
-    stream = ms.stream_bronze_to_silver(spark, lake, "payments", lake.path("state", "checkpoint"), max_files_per_trigger=1)
-    stream.awaitTermination()
-    if stream.exception() is not None:
-        raise stream.exception()
+    ms.stream_bronze_to_silver(spark, lake, "payments", lake.path("state", "checkpoint"), max_files_per_trigger=1)
     columns = ["id", "order_id", "amount", "method", "status", "transaction_ref", "created_at"]
     kept = spark.read.parquet(lake.path("silver", "payments")).select(*columns, F.lit("kept").alias("outcome"))
     rejected = spark.read.parquet(lake.path("rejects", "payments")).select(*columns, F.col("reject_reason").alias("outcome"))
@@ -561,6 +554,68 @@ def _(v, spark):
     return ms.funnel(v("fx_page_views"), v("fx_event_orders"))
 
 
+# --- tables and marts kept up to date ------------------------------------------
+
+_SILVER_USERS = _latest(
+    _TYPED_USERS, "*", "updated_at desc nulls last, email desc nulls last, name desc nulls last, created_at desc nulls last",
+    where="id is not null")
+_SILVER_ITEMS = _latest(
+    _TYPED_ITEMS, "*", "created_at desc nulls last, order_id desc nulls last, product_id desc nulls last, quantity desc nulls last, "
+    "unit_price desc nulls last", where="id is not null")
+_SILVER_PRODUCTS = _latest(
+    _TYPED_PRODUCTS, "*", "created_at desc nulls last, name desc nulls last, category desc nulls last, description desc nulls last, "
+    "price desc nulls last, stock_qty desc nulls last", where="id is not null")
+_RAW_VIEWS = {
+    "customers": "fx_users_raw", "orders": "fx_orders_raw", "payments": "fx_payments_raw", "products": "fx_products_raw",
+    "order_items": "fx_order_items_raw", "page_views": "fx_page_views_raw",
+}
+
+
+def _in_two_runs(v, spark, tables: Sequence[str], mart: str | None = None) -> ms.LakeConfig:
+    """Raw tables taken into Silver, and ``mart`` brought up to date, by two runs of half the rows each.
+
+    Versions of a row fall into different halves, so the second run inserts, updates and moves rows.
+    """
+    lake = ms.LakeConfig(_scratch(spark), incremental_gold=True)
+    for k in range(2):
+        for table in tables:
+            raw = v(_RAW_VIEWS[table])
+            half = raw.where(F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == k)
+            load_silver(spark, lake, TABLES[table], half, f"r{k}")
+        if mart is not None:
+            refresh_mart(spark, lake, mart, f"r{k}")
+    return lake
+
+
+@_query("incremental_customer_ltv", _ORACLE_TEXT["gold_customer_ltv"]
+        .replace("fx_users c", f"({_SILVER_USERS}) c").replace("fx_orders o", f"({_SILVER_ORDERS}) o")
+        .replace("fx_payments where", f"({_SILVER_PAYMENTS}) s where"), gaps=("cohort_year", "cohort_month"))
+def _(v, spark):
+    lake = _in_two_runs(v, spark, ("customers", "orders", "payments"), "customer_ltv")
+    return spark.read.parquet(lake.path("gold", "customer_ltv"))
+
+
+@_query("incremental_top_products", _ORACLE_TEXT["gold_top_products"]
+        .replace("fx_order_items i", f"({_SILVER_ITEMS}) i").replace("fx_products p", f"({_SILVER_PRODUCTS}) p"))
+def _(v, spark):
+    lake = _in_two_runs(v, spark, ("order_items", "products"), "top_products")
+    return spark.read.parquet(lake.path("gold", "top_products"))
+
+
+@_query("silver_products_upsert", _ORACLE_TEXT["silver_products"])
+def _(v, spark):
+    return read_silver(spark, _in_two_runs(v, spark, ("products",)), "products")
+
+
+@_query("silver_days", _latest(
+    _TYPED_PAYMENTS, f"id, order_id, cast(amount as double) amount, status, {_CREATED}, {_DAY_PARTS}", _PAYMENTS_NEWEST,
+    where="id is not null and cast(created_at as date) in (date '1996-01-02', date '1996-01-31', date '1997-06-30')"))
+def _(v, spark):
+    lake = _in_two_runs(v, spark, ("payments",))
+    days = silver_days(spark, lake, "payments", {(1996, 1, 2), (1996, 1, 31), (1997, 6, 30)})
+    return days.drop("method", "transaction_ref")
+
+
 # --- reports -----------------------------------------------------------------
 
 @_query("report_daily_revenue", f"""
@@ -594,12 +649,26 @@ def _(v, spark):
     return ms.run_report(spark, "funnel_analysis", "2024-02-10", funnel_analysis=mart)
 
 
+@_query("report_daily_revenue_stored", _ORACLE_TEXT["report_daily_revenue"])
+def _(v, spark):
+    path = f"{_scratch(spark)}/daily_sales"
+    overwrite_table(ms.daily_sales(v("fx_orders"), v("fx_payments"), unique_orders=True), path, gold.GOLD_PARTITIONS["daily_sales"])
+    return ms.report_daily_revenue(spark.read.parquet(path), "2001-06-30")
+
+
+@_query("report_funnel_stored", _ORACLE_TEXT["report_funnel"])
+def _(v, spark):
+    path = f"{_scratch(spark)}/funnel_analysis"
+    overwrite_table(ms.funnel(v("fx_page_views"), v("fx_event_orders")), path, gold.GOLD_PARTITIONS["funnel_analysis"])
+    return ms.run_report(spark, "funnel_analysis", "2024-02-10", funnel_analysis=spark.read.parquet(path))
+
+
 # --- data quality ------------------------------------------------------------
 
-def _quality_sql(table: str) -> str:
+def _quality_sql(table: str, more: Sequence[Expectation] = ()) -> str:
     """Oracle text: one row per expectation, each counted by its own statement."""
     rows = []
-    for position, e in enumerate(SUITES[table], start=1):
+    for position, e in enumerate([*SUITES[table], *more], start=1):
         column = e.kwargs.get("column")
         head = f"select {position} as position, '{e.kind}' expectation_type"
         name = f"'{column}' column_name" if column else "cast(null as varchar) column_name"
@@ -647,6 +716,15 @@ for _table in SUITES:
         return _evaluated(v, table)
 
 
+_TWO_MORE = [Expectation("expect_column_values_to_be_unique", {"column": c}) for c in ("order_id", "transaction_ref")]
+
+
+@_query("quality_unique_columns", f"with t as ({_TYPED_PAYMENTS}) {_quality_sql('payments', _TWO_MORE)}",
+        gaps=("element_count", "unexpected_count", "missing_count"))
+def _(v, spark):
+    return ms.evaluate(typed_rows(v("fx_payments_raw"), TABLES["payments"]), [*SUITES["payments"], *_TWO_MORE])
+
+
 @_query("quality_statistics", f"""
     with t as ({_TYPED_PAYMENTS}), r as ({_quality_sql('payments')})
     select count(*) evaluated_expectations, count(case when success then 1 end) successful_expectations,
@@ -694,12 +772,16 @@ _FK_VIEWS = {
           and not exists (select 1 from {_FK_VIEWS[parent]} p where p.id = c.{column})"""
     for child, column, parent in FOREIGN_KEYS))
 def _(v, spark):
-    result = None
-    for child, column, parent in FOREIGN_KEYS:
-        found = ms.foreign_keys(v(_FK_VIEWS[child]), column, v(_FK_VIEWS[parent]))
-        found = found.select(F.lit(f"{child}.{column}").alias("relation"), "orphan_rows", "orphan_values")
-        result = found if result is None else result.unionByName(found)
-    return result
+    found = references({table: v(name) for table, name in _FK_VIEWS.items()})
+    return found.drop("kind").withColumnsRenamed(
+        {"column_name": "relation", "violating_rows": "orphan_rows", "violating_values": "orphan_values"})
+
+
+@_query("quality_foreign_key", """
+    select count(*) orphan_rows, count(distinct order_id) orphan_values from fx_payments c
+    where order_id is not null and not exists (select 1 from fx_orders p where p.id = c.order_id)""")
+def _(v, spark):
+    return ms.foreign_keys(v("fx_payments"), "order_id", v("fx_orders"))
 
 
 @_query("quality_constraints", f"""
@@ -828,6 +910,14 @@ def _(v, spark):
     return ms.order_detail(v("fx_orders"), v("fx_order_items"), v("fx_products"), v("fx_payments"))
 
 
+@_query("order_detail_stored", _ORACLE_TEXT["order_detail"], gaps=("item_id", "product_id", "quantity"))
+def _(v, spark):
+    path = _scratch(spark)
+    name = "detail_" + path.rpartition("-")[2]
+    store_order_parts(v("fx_orders"), v("fx_order_items"), v("fx_products"), v("fx_payments"), name, path, buckets=8)
+    return stored_order_detail(spark, name)
+
+
 @_query("page_type_counts", r"""
     select page_type, product_id, category, count(*) as views from (
         select case when split_part(path, '?', 1) = '/' then 'home'
@@ -852,13 +942,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return gold.daily_sales(orders, payments, unique_orders=True)
 
 
+def _installed(name: str) -> bool:
+    spec = importlib.util.find_spec(name)
+    return spec is not None and spec.origin is not None
+
+
 def _corpus(part: str) -> dict:
-    """Queries or oracles of the corpus operators and their pipeline, where those are installed."""
+    """Queries or oracles of the corpus operators, where those are installed, and of their pipeline, which needs them."""
     found = {}
-    for name in ("marlstone.llm.queries", "corpus_pipeline"):
-        spec = importlib.util.find_spec(name.rpartition(".")[0] or name)
-        if spec is not None and spec.origin is not None:
-            found |= getattr(importlib.import_module(name), part)
+    if _installed("marlstone.llm"):
+        found |= getattr(importlib.import_module("marlstone.llm.queries"), part)
+        if _installed("corpus_pipeline"):
+            found |= getattr(importlib.import_module("corpus_pipeline"), part)
     return found
 
 

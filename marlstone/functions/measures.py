@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
@@ -28,6 +29,16 @@ def since(column: Column, as_of: date | str, days: int) -> Column:
     return column >= F.date_sub(F.lit(str(as_of)).cast("date"), days)
 
 
+def may_reach_since(levels: Sequence[str], as_of: date | str, days: int) -> Column:
+    """True for partitions, named by year, month and perhaps day, that may hold dates for which ``since`` is true.
+
+    It says nothing ``since`` does not, but concerns directory levels alone, so others are not opened.
+    """
+    parts = [F.col(level).cast("int") for level in levels]
+    last = F.make_date(*parts) if len(parts) == 3 else F.last_day(F.make_date(*parts, F.lit(1)))
+    return since(last, as_of, days)
+
+
 def utc_text(value: datetime | str) -> str:
     """Date and time in UTC with microseconds. Text and naive datetimes are read as UTC."""
     if isinstance(value, str):

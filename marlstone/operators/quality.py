@@ -2,7 +2,7 @@
 
 A suite is a list of expectations in the widely used JSON form (an
 ``expectation_type`` plus ``kwargs``). All value checks of a suite share one
-aggregate over one scan; each uniqueness check adds a count per value.
+aggregate over one scan, uniqueness checks included.
 """
 
 from __future__ import annotations
@@ -156,10 +156,16 @@ def evaluate(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
     NULLs are judged only by the not-null check. Every row of a group of equal
     values counts against uniqueness. A check of an absent column fails without
     counts.
+
+    The table is scanned once, whatever the suite. Each row's verdicts are the bits of a mask;
+    masks, and the values of columns that have to be unique, are counted together
+    by one aggregate, in which every task first counts its own.
     """
-    counters = [F.count(F.lit(1)).alias("n")]
-    rows, unique_parts = [], []
-    counted_columns = set()
+    if not suite:
+        raise ValueError("empty suite")
+    flags: dict[str, Column] = {}
+    unique: list[str] = []
+    rows = []
     for position, expectation in enumerate(suite, start=1):
         kind, column = expectation.kind, expectation.column
         if kind == EXISTS or (column is not None and column not in df.columns):
@@ -169,37 +175,59 @@ def evaluate(df: DataFrame, suite: Sequence[Expectation]) -> DataFrame:
             inside = _within(F.col("n"), expectation.kwargs.get("min_value"), expectation.kwargs.get("max_value"))
             rows.append(_result(position, expectation, inside, F.col("n")))
         elif kind == UNIQUE:
-            unique_parts.append(_uniqueness(df, position, expectation))
+            if column not in unique:
+                unique.append(column)
+            k = unique.index(column)
+            bad, filled = F.col(f"repeated_{k}"), F.col(f"values_{k}")
+            rows.append(_result(position, expectation, bad == 0, F.col("n"), bad, filled, filled))
         else:
-            counters.append(F.count_if(_violation(expectation)).alias(f"bad_{position}"))
-            if column not in counted_columns:
-                counted_columns.add(column)
-                counters.append(F.count(F.col(column)).alias(f"filled_{column}"))
+            flags[f"bad_{position}"] = _violation(expectation)
+            flags[f"filled_{column}"] = F.col(column).isNotNull()
             filled = F.col(f"filled_{column}")
             checked = F.col("n") if kind == NOT_NULL else filled
             bad = F.col(f"bad_{position}")
             rows.append(_result(position, expectation, bad == 0, F.col("n"), bad, checked, filled))
-    results = unique_parts
-    if rows:
-        results = [df.agg(*counters).select(F.inline(F.array(*rows))), *unique_parts]
-    if not results:
-        raise ValueError("empty suite")
-    combined = results[0]
-    for part in results[1:]:
-        combined = combined.unionByName(part)
-    return combined.select(*RESULT_COLUMNS)
-
-
-def _uniqueness(df: DataFrame, position: int, expectation: Expectation) -> DataFrame:
-    filled = F.col("v").isNotNull()
-    per_value = df.groupBy(F.col(expectation.column).alias("v")).agg(F.count(F.lit(1)).alias("copies"))
-    totals = per_value.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(filled, F.col("copies"))), F.lit(0)).alias("checked"),
-        F.coalesce(F.sum(F.when(filled & (F.col("copies") > 1), F.col("copies"))), F.lit(0)).alias("bad"),
-    )
-    row = _result(position, expectation, F.col("bad") == 0, F.col("n"), F.col("bad"), F.col("checked"), F.col("checked"))
-    return totals.select(F.inline(F.array(row)))
+    return _counted(df, flags, unique).select(F.inline(F.array(*rows))).select(*RESULT_COLUMNS)
+
+
+#: verdicts per mask column
+_BITS = 62
+
+
+def _counted(df: DataFrame, flags: Mapping[str, Column], unique: Sequence[str]) -> DataFrame:
+    """One row: the number of rows, ``n``, of those with each flag, and per unique column its values and repeated ones."""
+    if not unique:
+        return df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(flag).alias(name) for name, flag in flags.items()])
+    names = list(flags)
+    masks = [
+        reduce(lambda x, y: x.bitwiseOR(y), [F.when(flags[name], F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, name in enumerate(part)])
+        for part in (names[k : k + _BITS] for k in range(0, len(names), _BITS))
+    ]
+    none = [F.lit(None).cast(df.schema[column].dataType) for column in unique]
+
+    def entry(check: int, masks: Sequence[Column], values: Sequence[Column]) -> Column:
+        return F.struct(
+            F.lit(check).alias("check"), *[mask.alias(f"mask_{k}") for k, mask in enumerate(masks)],
+            *[value.alias(f"value_{k}") for k, value in enumerate(values)],
+        )
+
+    # The row's verdicts, and one entry per unique column with only its value filled.
+    entries = [entry(-1, masks, none)]
+    entries += [entry(k, [F.lit(0).cast("long")] * len(masks), [*none[:k], F.col(c), *none[k + 1 :]]) for k, c in enumerate(unique)]
+    stacked = df.select(F.inline(F.array(*entries)))
+    counts = stacked.groupBy(*stacked.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("copies"))), F.lit(0))
+
+    verdicts = F.col("check") == -1
+    found = [total(verdicts).alias("n")]
+    for k, name in enumerate(names):
+        found.append(total(verdicts & (F.getbit(F.col(f"mask_{k // _BITS}"), F.lit(k % _BITS)) == 1)).alias(name))
+    for k in range(len(unique)):
+        filled = (F.col("check") == k) & F.col(f"value_{k}").isNotNull()
+        found += [total(filled).alias(f"values_{k}"), total(filled & (F.col("copies") > 1)).alias(f"repeated_{k}")]
+    return counts.agg(*found)
 
 
 def statistics(results: DataFrame) -> DataFrame:
@@ -259,22 +287,58 @@ def constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
 
     Constraints of tables not given are left out.
     """
-    report = []
-    for table, columns in UNIQUE_COLUMNS.items():
-        for column in columns if table in tables else ():
-            unique = evaluate(tables[table], [Expectation(UNIQUE, {"column": column})])
-            report.append(_constraint("unique", f"{table}.{column}", unique, "unexpected_count"))
-    for child, column, parent in FOREIGN_KEYS:
-        if child in tables and parent in tables:
-            orphans = foreign_keys(tables[child], column, tables[parent])
-            report.append(_constraint("foreign key", f"{child}.{column}", orphans, "orphan_rows"))
-    return reduce(DataFrame.unionByName, report)
-
-
-def _constraint(kind: str, column: str, counted: DataFrame, count: str) -> DataFrame:
-    return counted.select(
-        F.lit(kind).alias("kind"), F.lit(column).alias("column_name"), F.col(count).alias("violating_rows")
+    found = references(tables, [(t, c) for t, columns in UNIQUE_COLUMNS.items() for c in columns])
+    return found.select("kind", "column_name", "violating_rows")
+
+
+def references(tables: Mapping[str, DataFrame], unique: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Rows, and distinct values, that violate each foreign key and UNIQUE constraint of ``tables``.
+
+    Every table is scanned once and gives all its keys, references and unique values, each
+    labelled with the set of values it belongs to. One aggregate per value then tells whether a
+    parent has it and how often each constraint's rows name it: no join, and one shuffle, before
+    which every task has counted its own. NULLs violate nothing.
+    """
+    # Sets of values: the ids of each parent, and each unique column. Constraints of one set take its slots in turn.
+    wanted = [("unique", t, c, f"{t}.{c}") for t, c in unique if t in tables]
+    wanted += [("foreign key", t, c, parent) for t, c, parent in FOREIGN_KEYS if t in tables and parent in tables]
+    if not wanted:
+        raise ValueError("no constraint concerns these tables")
+    members: dict[str, list[tuple[str, str]]] = {}
+    for _, table, column, values in wanted:
+        members.setdefault(values, []).append((table, column))
+    parents = {parent for kind, _, _, parent in wanted if kind == "foreign key"}
+    width = max(map(len, members.values()))
+    entries: dict[str, list[Column]] = {}
+    for number, (values, columns) in enumerate(members.items()):
+        places = [*columns, *([(values, "id")] if values in parents else [])]
+        whole = all(tables[t].schema[c].dataType.typeName() in ("byte", "short", "integer", "long") for t, c in places)
+        for slot, (table, column) in enumerate(places):
+            value = F.col(column)
+            entries.setdefault(table, []).append(F.struct(
+                F.lit(number).alias("set"),
+                (value.cast("long") if whole else F.lit(None).cast("long")).alias("number"),
+                (F.lit(None).cast("string") if whole else value.cast("string")).alias("text"),
+                F.lit(slot if slot < len(columns) else -1).alias("slot"),
+            ))
+    stacked = reduce(DataFrame.unionByName, [tables[t].select(F.inline(F.array(*each))) for t, each in entries.items()])
+    per_value = stacked.filter(F.col("number").isNotNull() | F.col("text").isNotNull()).groupBy("set", "number", "text").agg(
+        F.max(F.col("slot") == -1).alias("exists"), *[F.count_if(F.col("slot") == k).alias(f"rows_{k}") for k in range(width)]
     )
+    results = []
+    for kind, table, column, values in wanted:
+        rows = F.col(f"rows_{members[values].index((table, column))}")
+        bad = (rows > 1) if kind == "unique" else (~F.col("exists") & (rows > 0))
+        bad = (F.col("set") == list(members).index(values)) & bad
+        results.append((kind, f"{table}.{column}", F.coalesce(F.sum(F.when(bad, rows)), F.lit(0)), F.count_if(bad)))
+    totals = per_value.agg(*[c.alias(f"{what}_{k}") for k, (_, _, *both) in enumerate(results) for what, c in zip(("rows", "values"), both)])
+    return totals.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(kind).alias("kind"), F.lit(name).alias("column_name"),
+            F.col(f"rows_{k}").alias("violating_rows"), F.col(f"values_{k}").alias("violating_values"),
+        )
+        for k, (kind, name, _, _) in enumerate(results)
+    ])))
 
 
 def foreign_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str = "id") -> DataFrame:

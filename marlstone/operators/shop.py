@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.functions.measures import page_category, page_product, page_type, sales_tax
@@ -99,6 +99,16 @@ def order_detail(orders: DataFrame, items: DataFrame, products: DataFrame, payme
     Orders without items or payment keep one row with NULLs. Items stay rows
     rather than a nested list, so an order's size is not bounded by a task.
     """
+    heads, lines, paid = _order_parts(orders, items, products, payments)
+    # Payments are unique per key and on the right, so what can be hot, the item lines, is on
+    # the left where a partition can be split.
+    with_items = left_join(heads, lines, ["order_id"])
+    detail = left_join(with_items, paid, ["order_id"], right_unique=True)
+    return detail.withColumn("line_total", _line_total())
+
+
+def _order_parts(orders: DataFrame, items: DataFrame, products: DataFrame, payments: DataFrame) -> tuple[DataFrame, ...]:
+    """Order heads, item lines with their product, and payments, all by ``order_id``."""
     heads = orders.select(
         F.col("id").alias("order_id"), "user_id", F.col("status").alias("order_status"),
         "subtotal", "tax", "total", "created_at",
@@ -111,13 +121,35 @@ def order_detail(orders: DataFrame, items: DataFrame, products: DataFrame, payme
     )
     names = products.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"), "category")
     lines = items.select("order_id", F.col("id").alias("item_id"), "product_id", "quantity", "unit_price")
-    # Products and payments are unique per key and on the right, so what can be hot, the
-    # item lines, is on the left where a partition can be split.
-    named = left_join(lines, names, ["product_id"], right_unique=True)
-    with_items = left_join(heads, named, ["order_id"])
-    detail = left_join(with_items, paid, ["order_id"], right_unique=True)
-    line_total = (F.col("unit_price") * F.col("quantity").cast("decimal(10,0)")).cast("decimal(18,2)")
-    return detail.withColumn("line_total", line_total)
+    return heads, left_join(lines, names, ["product_id"], right_unique=True), paid
+
+
+def _line_total() -> Column:
+    return (F.col("unit_price") * F.col("quantity").cast("decimal(10,0)")).cast("decimal(18,2)")
+
+
+#: Tables that hold an order's parts, dealt alike by its id.
+DETAIL_TABLES = ("heads", "lines", "paid")
+
+
+def store_order_parts(
+    orders: DataFrame, items: DataFrame, products: DataFrame, payments: DataFrame, name: str, path: str, buckets: int
+) -> None:
+    """Store what ``stored_order_detail`` reads: three catalog tables ``name``_… below ``path``, bucketed by order.
+
+    Products are attached to the lines here, once. A bucket should fit a task; one task writes it, as one sorted file.
+    """
+    heads, lines, paid = _order_parts(orders, items, products, payments)
+    for table, df in zip(DETAIL_TABLES, (heads, lines, paid)):
+        dealt = df.repartition(buckets, "order_id").write.mode("overwrite").option("path", f"{path}/{table}")
+        dealt.bucketBy(buckets, "order_id").sortBy("order_id").saveAsTable(f"{name}_{table}")
+
+
+def stored_order_detail(spark: SparkSession, name: str) -> DataFrame:
+    """``order_detail`` of the tables ``store_order_parts`` made: buckets meet where they lie, nothing is shuffled."""
+    heads, lines, paid = (spark.table(f"{name}_{table}") for table in DETAIL_TABLES)
+    detail = heads.join(lines.hint("merge"), "order_id", "left").join(paid.hint("merge"), "order_id", "left")
+    return detail.withColumn("line_total", _line_total())
 
 
 def page_type_counts(page_views: DataFrame) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
-from functools import partial
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +17,13 @@ from marlstone.operators import quality
 from marlstone.operators.dedup import dedup_latest, has_key, split_rejects
 from marlstone.operators.metrics import RunSummary, iso, observed, summary_frame
 from marlstone.operators.windows import incremental_window
-from marlstone.plans import gold
+from marlstone.plans import changes, gold
 from marlstone.plans.silver import typed_rows
-from marlstone.schemas import TABLES, TableSpec
+from marlstone.schemas import BUCKET, TABLES, TableSpec
 from marlstone.session import tune
 from marlstone.sinks.bronze import write_bronze
 from marlstone.sinks.tables import (
+    in_partitions,
     merge_stored,
     overwrite_table,
     partition_values,
@@ -33,9 +33,9 @@ from marlstone.sinks.tables import (
     within_range,
 )
 from marlstone.sources import watermarks
-from marlstone.sources.bronze import read_bronze
+from marlstone.sources.bronze import read_bronze, run_directory
 from marlstone.sources.tables import read_table_or_path
-from marlstone.storage import path_exists, remove_path, stage
+from marlstone.storage import list_files, path_exists, remove_path, stage
 
 #: A source is called with the window's bounds and returns the rows inside them.
 Source = Callable[[datetime, datetime], DataFrame]
@@ -56,9 +56,20 @@ class LakeConfig:
     wide_keys: bool = False
     #: database of the catalog in which Silver and Gold tables are registered, as silver_… and gold_…
     catalog: str | None = None
-    #: rebuild only the days of daily_sales and funnel_analysis whose input changed;
+    #: rebuild only the days of daily_sales and funnel_analysis whose input changed, and bring
+    #: customer_ltv and top_products up to date from what Silver's merges changed;
     #: relies on a payment never changing its order, as at the source
     incremental_gold: bool = False
+    #: Silver tables whose days are big enough (some hundred MB) to have a directory each;
+    #: the others have one per month, its files sorted by day
+    day_directories: frozenset[str] = frozenset()
+
+    def directories(self, table: str) -> tuple[str, ...]:
+        """Directory levels of a Silver table."""
+        spec = TABLES[table]
+        if spec.buckets:
+            return (BUCKET,)
+        return spec.partition_by if table in self.day_directories else spec.partition_by[:2]
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -71,6 +82,23 @@ class LakeConfig:
     def merged_runs(self) -> str:
         return self.path("state", "merged_runs")
 
+    @property
+    def merged_files(self) -> str:
+        return self.path("state", "merged_files")
+
+    @property
+    def totals_runs(self) -> str:
+        return self.path("state", "totals_runs")
+
+    def changes(self, table: str, run_id: str | None = None) -> str:
+        """What merges changed in a Silver table, per run."""
+        root = self.path("state", "changes") + f"/{table}"
+        return root if run_id is None else f"{root}/run_id={run_id}"
+
+    def totals(self, mart: str, version: int) -> str:
+        """A version of the running totals that a mart is published from."""
+        return self.path("state", f"{mart}_totals") + f"/version={version}"
+
     @property
     def touched_days(self) -> str:
         return self.path("state", "touched_days")
@@ -116,14 +144,26 @@ def refine_table(spark: SparkSession, lake: LakeConfig, table: str, run_id: str)
     output = lake.path("silver", table)
     if not runs:
         return RunSummary("silver", table, run_id, rows_read=0, rows_written=0, output=None)
-    # An unpartitioned dimension is refreshed as a whole, from all runs so far.
-    wanted = runs if spec.partition_by else None
-    raw = read_bronze(spark, lake.path("bronze", table), spec.bronze_columns, runs=wanted)
+    raw = _untaken(spark, lake, table, runs)
     summary = load_silver(spark, lake, spec, raw, run_id)
     watermarks.mark_merged(spark, lake.merged_runs, table, [r for _, r in runs])
     return summary
 
 
+def _untaken(spark: SparkSession, lake: LakeConfig, table: str, runs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Bronze rows of ``runs`` but for the files that a stream has taken already."""
+    root = lake.path("bronze", table)
+    taken = watermarks.merged_files(spark, lake.merged_files, table, [run_id for _, run_id in runs])
+    whole, files = [], []
+    for day, run_id in runs:
+        if run_id not in taken:
+            whole.append((day, run_id))
+        else:
+            path = run_directory(root, date.fromisoformat(day), run_id)
+            files += [f"{path}/{name}" for name, _ in list_files(spark, path) if name not in taken[run_id]]
+    return read_bronze(spark, root, TABLES[table].bronze_columns, runs=whole, files=files)
+
+
 def rebuild_table(spark: SparkSession, lake: LakeConfig, table: str, run_id: str) -> RunSummary:
     """Recreate a Silver table from everything in Bronze."""
     raw = read_bronze(spark, lake.path("bronze", table), TABLES[table].bronze_columns)
@@ -134,27 +174,39 @@ def load_silver(
     spark: SparkSession, lake: LakeConfig, spec: TableSpec, raw: DataFrame, run_id: str, replace: bool = False
 ) -> RunSummary:
     """Take raw rows into a Silver table: reject those without a key, note the days, merge (or replace)."""
-    output = lake.path("silver", spec.name)
+    output, directories = lake.path("silver", spec.name), lake.directories(spec.name)
     usable = has_key(spec.keys)
     # Bronze text is parsed once; everything after works on the typed copy.
     rows = add_date_parts(typed_rows(raw, spec, lake.wide_keys), "created_at", spec.partition_by)
+    if spec.buckets:
+        rows = rows.withColumn(BUCKET, F.pmod(F.xxhash64(*spec.keys), F.lit(spec.buckets)).cast("int"))
+    cluster_by = [c for c in spec.partition_by if c not in directories]
     watched, watch = observed(rows, rejected=F.count_if(~usable))
-    note = partial(watermarks.note_touched, spark, lake.touched_days, spec.name, run_id) if spec.partition_by else None
     staged = stage(watched, output, "typed")
     try:
         read, rejected = watch.get["rows"], watch.get["rejected"]
         typed = spark.read.schema(rows.schema).parquet(staged)
         batch = typed.filter(usable)
         if rejected:
-            _, bad = split_rejects(typed.drop(*spec.partition_by), spec.keys)
+            _, bad = split_rejects(typed.drop(*spec.partition_by, BUCKET), spec.keys)
             overwrite_table(bad, f"{lake.path('rejects', spec.name)}/run_id={run_id}")
-        if spec.partition_by and not replace:
-            merge_stored(batch, output, spec.keys, spec.newest_by, spec.partition_by, lake.track_moves, note)
+
+        def note(parts: set[tuple]) -> None:
+            # A bucket says nothing about days; that the table changed is all there is to note.
+            days = parts if spec.partition_by else {()} if parts else set()
+            watermarks.note_touched(spark, lake.touched_days, spec.name, run_id, days)
+
+        if replace:
+            changes.forget(spark, lake, spec.name)
+            before = read_silver(spark, lake, spec.name)
+            note({day for df in (before, batch) for day in partition_values(df, spec.partition_by)} if spec.partition_by else {()})
+            overwrite_table(dedup_latest(batch, spec.keys, spec.newest_by), output, directories, cluster_by)
         else:
-            if note is not None:
-                before = read_silver(spark, lake, spec.name)
-                note({day for df in (before, batch) for day in partition_values(df, spec.partition_by)})
-            overwrite_table(dedup_latest(batch, spec.keys, spec.newest_by), output, spec.partition_by)
+            with changes.recorded(spark, lake, spec.name, run_id) as feed:
+                merge_stored(
+                    batch, output, spec.keys, spec.newest_by, directories,
+                    lake.track_moves and bool(spec.partition_by), note, cluster_by, feed,
+                )
         written = batch.select(*spec.keys).distinct().count()
     finally:
         remove_path(spark, staged)
@@ -175,7 +227,7 @@ def check_table(
 ) -> RunSummary:
     """Run a Silver table's suite, store the results, and stop the run if an expectation failed.
 
-    Without ``whole``, only the partitions that run ``run_id`` rewrote are judged: a
+    Without ``whole``, only the days that run ``run_id`` rewrote are judged: a
     merge keeps keys unique across partitions, so nothing else can have changed, and a run
     that brought no rows is noticed by the row-count check.
     """
@@ -183,7 +235,7 @@ def check_table(
     parts = TABLES[table].partition_by
     if parts and not whole:
         rewritten = watermarks.partitions_of_run(spark, lake.touched_days, table, run_id, parts)
-        silver = read_partitions(spark, lake.path("silver", table), silver.schema, rewritten, parts)
+        silver = silver_days(spark, lake, table, rewritten, parts)
     results = quality.evaluate(silver, suite or quality.SUITES[table])
     root = f"{lake.root.rstrip('/')}/quality"
     document = quality.write_results(results, root, table, run_id)
@@ -206,7 +258,7 @@ def read_silver(spark: SparkSession, lake: LakeConfig, table: str) -> DataFrame:
     path = lake.path("silver", table)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def gold_marts(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -230,9 +282,13 @@ def refresh_mart(spark: SparkSession, lake: LakeConfig, mart: str, run_id: str)
     Changed days are noted before Silver is rewritten and ticked off after the
     mart is, so a failure in between only means that days are rebuilt again.
     """
-    refresh = {"daily_sales": _changed_sales, "funnel_analysis": _changed_funnel}.get(mart)
-    if not lake.incremental_gold or refresh is None:
+    if not lake.incremental_gold:
         return build_mart(spark, lake, mart, gold_marts({t: read_silver(spark, lake, t) for t in TABLES})[mart], run_id)
+    if mart in changes.TOTALS:
+        path = lake.path("gold", mart)
+        rows = changes.refresh(spark, lake, mart, lambda table: read_silver(spark, lake, table))
+        return RunSummary("gold", mart, run_id, rows_written=rows, output=path)
+    refresh = {"daily_sales": _changed_sales, "funnel_analysis": _changed_funnel}[mart]
     runs, days = set(), {}
     for table in DAILY_INPUTS:
         table_runs, days[table] = watermarks.pending_days(spark, lake.touched_days, lake.built_marts, table, mart)
@@ -254,8 +310,15 @@ def refresh_mart(spark: SparkSession, lake: LakeConfig, mart: str, run_id: str)
     return summary
 
 
-def _silver_days(spark: SparkSession, lake: LakeConfig, table: str, days: set[tuple], parts: Sequence[str]) -> DataFrame:
-    return read_partitions(spark, lake.path("silver", table), read_silver(spark, lake, table).schema, days, parts)
+def silver_days(
+    spark: SparkSession, lake: LakeConfig, table: str, days: set[tuple], parts: Sequence[str] = ("year", "month", "day")
+) -> DataFrame:
+    """Silver rows of some days, or months: whole directories are skipped, and of the others what their statistics exclude."""
+    silver, levels = read_silver(spark, lake, table), lake.directories(table)
+    if not days:
+        return silver.limit(0)
+    shared = [p for p in parts if p in levels]
+    return silver.filter(in_partitions({day[: len(shared)] for day in days}, shared)).filter(in_partitions(days, parts))
 
 
 def _changed_sales(
@@ -265,10 +328,10 @@ def _changed_sales(
     parts = TABLES["orders"].partition_by
     changed = set(days["orders"])
     if days["payments"]:
-        paid = _silver_days(spark, lake, "payments", days["payments"], parts).select(F.col("order_id").alias("id"))
+        paid = silver_days(spark, lake, "payments", days["payments"], parts).select(F.col("order_id").alias("id"))
         orders = within_range(read_silver(spark, lake, "orders"), "id", paid, "id")
         changed |= set(partition_values(orders.join(paid.distinct(), "id", "left_semi"), parts))
-    orders = _silver_days(spark, lake, "orders", changed, parts)
+    orders = silver_days(spark, lake, "orders", changed, parts)
     payments = within_range(read_silver(spark, lake, "payments"), "order_id", orders, "id")
     return gold.daily_sales(orders, payments, unique_orders=True), {_padded(day) for day in changed}
 
@@ -284,7 +347,7 @@ def _changed_funnel(
     """funnel_analysis for the months with changed page views or orders."""
     parts = gold.GOLD_PARTITIONS["funnel_analysis"]
     months = {(year, month) for year, month, _ in days["page_views"] | days["orders"]}
-    views, orders = (_silver_days(spark, lake, table, months, parts) for table in ("page_views", "orders"))
+    views, orders = (silver_days(spark, lake, table, months, parts) for table in ("page_views", "orders"))
     return gold.funnel(views, orders), months
 
 
@@ -300,7 +363,7 @@ def register_layer(spark: SparkSession, lake: LakeConfig, layer: str) -> None:
     """Bring the catalog's tables of a layer ("silver" or "gold") up to date, if the lake has a catalog."""
     if lake.catalog is None:
         return
-    partitions = gold.GOLD_PARTITIONS if layer == "gold" else {name: spec.partition_by for name, spec in TABLES.items()}
+    partitions = gold.GOLD_PARTITIONS if layer == "gold" else {name: lake.directories(name) for name in TABLES}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {lake.catalog}")
     for name, parts in partitions.items():
         path = lake.path(layer, name)
@@ -316,6 +379,16 @@ def build_mart(spark: SparkSession, lake: LakeConfig, mart: str, df: DataFrame,
     return RunSummary("gold", mart, run_id, rows_written=rows, output=path)
 
 
+def compact_ledgers(spark: SparkSession, lake: LakeConfig) -> None:
+    """Keep the number of ledger files bounded however many runs there have been."""
+    for path, schema in (
+        (lake.watermarks, watermarks.WATERMARK_SCHEMA), (lake.merged_runs, watermarks.MERGED_SCHEMA),
+        (lake.merged_files, watermarks.FILES_SCHEMA), (lake.touched_days, watermarks.TOUCHED_SCHEMA),
+        (lake.built_marts, watermarks.MERGED_SCHEMA), (lake.totals_runs, watermarks.TOTALS_SCHEMA),
+    ):
+        watermarks.compact(spark, path, schema)
+
+
 def side_by_side(
     spark: SparkSession, job: Callable[[str], RunSummary], names: Iterable[str]
 ) -> list[RunSummary]:
@@ -354,6 +427,7 @@ def run_pipeline(
     run_ts = run_ts.astimezone(timezone.utc)
     run_id = run_id or make_run_id(run_ts)
     names = list(tables) if tables is not None else [t for t in TABLES if t in sources]
+    compact_ledgers(spark, lake)
     summaries = side_by_side(
         spark, lambda t: extract_table(spark, lake, t, sources[t], run_ts, run_id), [t for t in names if t in sources]
     )

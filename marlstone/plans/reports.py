@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marlstone.functions.measures import since
+from marlstone.functions.measures import may_reach_since, since
+from marlstone.plans.gold import GOLD_PARTITIONS
 
 # The published columns of each report, in order, its period and its length.
 COLUMNS = {
@@ -24,10 +25,15 @@ TOP_CUSTOMERS = 100
 # End of fixed values.
 
 
+def _recent(gold: DataFrame, mart: str, day: str, as_of: date | str, days: int) -> DataFrame:
+    """Rows of the last ``days`` days; of a stored mart only the partitions that can hold them are opened."""
+    return gold.filter(may_reach_since(GOLD_PARTITIONS[mart], as_of, days)).filter(since(F.col(day), as_of, days))
+
+
 def report_daily_revenue(gold: DataFrame, as_of: date | str, days: int = DAYS) -> DataFrame:
     """Revenue per day for the last ``days`` days, newest first."""
     per_order = F.round(F.col("total_revenue") / F.nullif(F.col("total_orders"), F.lit(0)), 2)
-    recent = gold.filter(since(F.col("sale_date"), as_of, days)).withColumn("avg_order_value", per_order)
+    recent = _recent(gold, "daily_sales", "sale_date", as_of, days).withColumn("avg_order_value", per_order)
     return recent.select(*COLUMNS["daily_revenue"]).orderBy(F.col("sale_date").desc())
 
 
@@ -45,7 +51,7 @@ def report_top_products(gold: DataFrame) -> DataFrame:
 
 def report_funnel(gold: DataFrame, as_of: date | str, days: int = DAYS) -> DataFrame:
     """Funnel per day for the last ``days`` days, newest first."""
-    recent = gold.filter(since(F.col("event_date"), as_of, days))
+    recent = _recent(gold, "funnel_analysis", "event_date", as_of, days)
     return recent.select(*COLUMNS["funnel_analysis"]).orderBy(F.col("event_date").desc())
 
 
@@ -56,6 +62,7 @@ REPORT_SQL = {
                round(total_revenue / nullif(total_orders, 0), 2) AS avg_order_value
         FROM {daily_sales}
         WHERE sale_date >= date_sub(CAST(:as_of AS DATE), :days)
+          AND make_date(CAST(year AS INT), CAST(month AS INT), CAST(day AS INT)) >= date_sub(CAST(:as_of AS DATE), :days)
         ORDER BY sale_date DESC
     """,
     "customer_ltv": """
@@ -74,6 +81,7 @@ REPORT_SQL = {
                product_to_cart_rate, cart_to_purchase_rate
         FROM {funnel_analysis}
         WHERE event_date >= date_sub(CAST(:as_of AS DATE), :days)
+          AND last_day(make_date(CAST(year AS INT), CAST(month AS INT), 1)) >= date_sub(CAST(:as_of AS DATE), :days)
         ORDER BY event_date DESC
     """,
 }

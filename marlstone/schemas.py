@@ -39,6 +39,10 @@ PAYMENT_METHODS = ("card", "paypal", "upi")
 # End of fixed values.
 
 
+#: Directory level of tables dealt by a hash of their key; not a column of the table.
+BUCKET = "key_bucket"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """How one source table becomes a Silver table."""
@@ -53,7 +57,10 @@ class TableSpec:
     keys: tuple[str, ...] = ("id",)
     #: newest first; remaining columns break ties so the choice is reproducible
     newest_by: tuple[str, ...] = ("created_at",)
+    #: date columns of the Silver table; the directories are the first of them, see ``LakeConfig.directories``
     partition_by: tuple[str, ...] = ("year", "month", "day")
+    #: for a table without dates: number of buckets, by a hash of the key, it is dealt into
+    buckets: int = 0
 
     @property
     def bronze_columns(self) -> list[str]:
@@ -82,7 +89,7 @@ TABLES = {
         TableSpec("payments", "payments", lower=("status", "method"),
                   trim=("status", "method", "transaction_ref"), blank_null=("transaction_ref",)),
         TableSpec("products", "products", trim=("name", "category", "description"),
-                  blank_null=("description",), drop=("image_url",), partition_by=()),
+                  blank_null=("description",), drop=("image_url",), partition_by=(), buckets=16),
         TableSpec("order_items", "order_items"),
         TableSpec("page_views", "page_views", trim=("session_id", "path", "referrer"),
                   blank_null=("referrer",)),

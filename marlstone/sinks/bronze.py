@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.operators.metrics import observed
-from marlstone.sources.bronze import CSV_OPTIONS, run_directory
+from marlstone.sources.bronze import CSV_OPTIONS, run_directory, write_manifest
 from marlstone.sources.watermarks import from_micros
 from marlstone.storage import remove_path
 
@@ -46,5 +46,6 @@ def write_bronze(
     if seen["rows"] == 0:
         remove_path(df.sparkSession, path)
         return BronzeWrite(0, None, path)
+    write_manifest(df.sparkSession, path, df.columns)
     latest = None if seen["latest"] is None else from_micros(seen["latest"])
     return BronzeWrite(seen["rows"], latest, path)

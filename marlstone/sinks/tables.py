@@ -26,26 +26,29 @@ def balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-def _write(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str) -> None:
-    writer = balanced(df, partition_cols).write.mode("overwrite").option("compression", "snappy")
+def _write(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str, cluster_by: Sequence[str] = ()) -> None:
+    rows = balanced(df, partition_cols)
+    if cluster_by:  # readers of few values skip the other pages by their statistics
+        rows = rows.sortWithinPartitions(*partition_cols, *cluster_by)
+    writer = rows.write.mode("overwrite").option("compression", "snappy")
     if partition_cols:
         writer = writer.option("partitionOverwriteMode", mode).partitionBy(*partition_cols)
     writer.parquet(path)
     df.sparkSession.catalog.refreshByPath(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:
-    """Replace the whole table at ``path``. ``df`` must not read from it."""
-    _write(df, path, partition_cols, "static")
+def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+    """Replace the whole table at ``path``. ``df`` must not read from it. Files are sorted by ``cluster_by``."""
+    _write(df, path, partition_cols, "static", cluster_by)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
     """Replace only the partitions ``df`` has rows for; it may read from ``path``."""
-    _write(df, path, partition_cols, "dynamic")
+    _write(df, path, partition_cols, "dynamic", cluster_by)
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_cols: Sequence[str], expected: Iterable[tuple]
+    df: DataFrame, path: str, partition_cols: Sequence[str], expected: Iterable[tuple], cluster_by: Sequence[str] = ()
 ) -> None:
     """Replace partitions by ``df``'s rows; those of ``expected`` it has no row for are removed.
 
@@ -54,7 +57,8 @@ def replace_partitions(
     """
     spark = df.sparkSession
     watch = Observation()
-    overwrite_partitions(df.observe(watch, F.collect_set(F.struct(*partition_cols)).alias("filled")), path, partition_cols)
+    watched = df.observe(watch, F.collect_set(F.struct(*partition_cols)).alias("filled"))
+    overwrite_partitions(watched, path, partition_cols, cluster_by)
     filled = {tuple(row) for row in watch.get["filled"] or ()}
     for row in set(expected) - filled:
         remove_path(spark, _directory(path, row, partition_cols))
@@ -68,6 +72,7 @@ def merge_partitions(
     order_by: Sequence[str],
     partition_cols: Sequence[str],
     track_moves: bool = True,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Upsert ``df`` into the partitioned table at ``path``: newest row per key wins.
 
@@ -75,7 +80,7 @@ def merge_partitions(
     rewritten. With ``track_moves`` that includes partitions holding another
     version of one of the batch's keys, found by a scan of the key columns alone;
     turn it off where the source never changes the timestamp the partitions come
-    from.
+    from. Files are sorted by ``cluster_by``, finer parts of the partition kept as columns.
 
     Repeating a merge changes nothing, so a failed run can simply be rerun.
     """
@@ -83,7 +88,7 @@ def merge_partitions(
     staged = stage(df, path, "merge")
     try:
         batch = spark.read.schema(df.schema).parquet(staged)
-        merge_stored(batch, path, keys, order_by, partition_cols, track_moves)
+        merge_stored(batch, path, keys, order_by, partition_cols, track_moves, cluster_by=cluster_by)
     finally:
         remove_path(spark, staged)
 
@@ -96,27 +101,49 @@ def merge_stored(
     partition_cols: Sequence[str],
     track_moves: bool = True,
     announce: Callable[[set[tuple]], None] | None = None,
+    cluster_by: Sequence[str] = (),
+    changes: str | None = None,
 ) -> None:
     """``merge_partitions`` for a batch that is already stored, and so cheap to read repeatedly.
 
-    ``announce`` is called with the partitions about to be rewritten.
+    ``announce`` is called with the values of ``partition_cols`` and ``cluster_by`` that
+    are about to change. ``changes`` is where to keep what the merge changes, see ``signed_changes``.
     """
     spark, schema = batch.sparkSession, batch.schema
-    keys, partition_cols = list(keys), list(partition_cols)
+    keys, partition_cols, parts = list(keys), list(partition_cols), [*partition_cols, *cluster_by]
     # One pass over the batch tells both the partitions it touches and the range of its keys.
-    extent = batch.agg(F.collect_set(F.struct(*partition_cols)), F.min(keys[0]), F.max(keys[0])).first()
+    extent = batch.agg(F.collect_set(F.struct(*parts)), F.min(keys[0]), F.max(keys[0])).first()
     touched, holding = {tuple(row) for row in extent[0]}, set()
     stored = path_exists(spark, path)
     if stored and track_moves:
         current = key_range(spark.read.schema(schema).parquet(path), keys[0], *extent[1:])
         versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
-        holding = set(partition_values(versions, partition_cols))
+        holding = set(partition_values(versions, parts))
     if announce is not None:
         announce(touched | holding)
-    if stored:
-        batch = read_partitions(spark, path, schema, touched | holding, partition_cols).unionByName(batch)
+    level = len(partition_cols)
+    directories = {row[:level] for row in touched | holding}
+    present = read_partitions(spark, path, schema, directories, partition_cols)
+    if changes is not None:
+        before = key_range(present, keys[0], *extent[1:]).join(batch.select(*keys).distinct(), keys, "left_semi")
+        after = dedup_latest(before.unionByName(batch), keys, order_by)
+        signed_changes(before, after).write.mode("overwrite").parquet(changes)
+    merged = dedup_latest(present.unionByName(batch) if stored else batch, keys, order_by)
     # Only a partition a row has moved out of can end up empty.
-    replace_partitions(dedup_latest(batch, keys, order_by), path, partition_cols, holding)
+    replace_partitions(merged, path, partition_cols, {row[:level] for row in holding}, cluster_by)
+
+
+#: In a table of changes: +1 for a row that appeared, -1 for one that went.
+SIGN = "_sign"
+
+
+def signed_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What turns ``before`` into ``after``: rows that went and rows that appeared, told apart by ``SIGN``.
+
+    An updated row is one of each; rows in both are left out.
+    """
+    rows = before.withColumn(SIGN, F.lit(-1)).unionByName(after.withColumn(SIGN, F.lit(1)))
+    return rows.groupBy(*before.columns).agg(F.sum(SIGN).cast("int").alias(SIGN)).filter(F.col(SIGN) != 0)
 
 
 def within_range(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -141,7 +168,8 @@ def read_partitions(
     """The named partitions of the table at ``path``; the scan opens no others."""
     if not rows or not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).filter(in_partitions(rows, partition_cols))
+    found = spark.read.schema(schema).parquet(path).filter(in_partitions(rows, partition_cols))
+    return found.select(*schema.fieldNames())  # the reader puts directory levels last
 
 
 def in_partitions(rows: Iterable[tuple], partition_cols: Sequence[str]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta, timezone
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marlstone.storage import path_exists
+from marlstone.storage import list_files, path_exists, read_text, write_text
 
 #: Both sides of Bronze use these, so text with quotes, newlines or outer spaces
 #: and timestamps with microseconds survive the round trip.
@@ -55,17 +56,35 @@ def run_directory(root: str, day: date, run_id: str | None = None) -> str:
     return path if run_id is None else f"{path}/run_id={run_id}"
 
 
+#: In a run's directory: the names of its files that hold rows. Readers of the directory skip it.
+MANIFEST = "_files.json"
+
+
+def write_manifest(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
+    """Note which files of a run's directory hold rows; written last, so its presence says that the run is whole."""
+    header = len(",".join(columns).encode()) + 1
+    names = [name for name, length in list_files(spark, path) if length > header]
+    write_text(spark, f"{path}/{MANIFEST}", json.dumps(names))
+
+
+def read_manifest(spark: SparkSession, path: str) -> set[str] | None:
+    """The files of a run that hold rows; None if the run is not, or not known to be, whole."""
+    text = read_text(spark, f"{path}/{MANIFEST}")
+    return None if text is None else set(json.loads(text))
+
+
 def read_bronze(
     spark: SparkSession,
     root: str,
     columns: Sequence[str],
     day: date | str | None = None,
     runs: Sequence[tuple[str, str]] | None = None,
+    files: Sequence[str] = (),
 ) -> DataFrame:
     """Bronze rows as text, plus the partition columns.
 
     A ``day``, or ``runs`` as (date, run id), names the directories to open, so
-    the rest of Bronze is not even listed. Multi-line CSV cannot be split inside
+    the rest of Bronze is not even listed; ``files`` are single files beside those ``runs``. Multi-line CSV cannot be split inside
     a file; parallelism comes from the writer's bounded file size.
     """
     schema = bronze_schema(columns)
@@ -75,7 +94,7 @@ def read_bronze(
         paths = [run_directory(root, resolve_partition_date(day))]
     else:
         paths = [root]
-    paths = [p for p in paths if path_exists(spark, p)]
+    paths = [p for p in [*paths, *files] if path_exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).options(**CSV_OPTIONS).option("basePath", root).csv(paths)

@@ -5,48 +5,83 @@ from __future__ import annotations
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from marlstone.operators.metrics import RunSummary
 from marlstone.plans.pipeline import LakeConfig, load_silver
-from marlstone.schemas import TABLES
+from marlstone.schemas import TABLES, TableSpec
 from marlstone.sources import watermarks
-from marlstone.sources.bronze import CSV_OPTIONS, bronze_schema
+from marlstone.sources.bronze import CSV_OPTIONS, bronze_schema, read_manifest
+from marlstone.storage import list_directories, remove_path
+
+#: Column of the stream: name of the Bronze file a row comes from.
+FILE = "_file"
 
 
 def stream_bronze_to_silver(
     spark: SparkSession, lake: LakeConfig, table: str, checkpoint: str, max_files_per_trigger: int = 1_000
-) -> StreamingQuery:
-    """Merge the table's Bronze files not seen before into Silver, then stop.
+) -> RunSummary:
+    """Take the table's Bronze files not seen before into Silver, by one merge, and return its summary.
 
-    A micro-batch goes through the same steps as a batch run: rows without a key
-    are kept among the rejects, the days it rewrites are noted for the marts, and
-    its runs are ticked off, so that a batch run does not merge them again.
+    The stream's micro-batches only set rows aside, each in a directory of its own that a
+    replay replaces. Once the stream has read all files there were, one merge, with the steps of
+    a batch run, takes what was set aside: rows without a key are kept among the rejects, and the
+    days it rewrites are noted for the marts.
 
-    A batch replayed after a failure leaves the same table: merges are by key, and
-    its rejects replace those it wrote before. A run whose files are split over
-    micro-batches is ticked off by the first; the stream itself sees to the rest.
+    Files are ticked off with the merge, a run once all files its manifest names are. So
+    whatever stops this job, wherever, a batch run takes exactly the files that
+    are not in Silver, and the next call of this one skips those a batch run has taken.
     """
     spec = TABLES[table]
-    if not spec.partition_by:
-        raise ValueError(f"{table} is refreshed as a whole and has no partitions to merge into")
-    # Rejects of different streams, each with its own checkpoint, must not replace each other.
+    # Streams of one table, each with its own checkpoint, keep rows and rejects apart.
     stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        load_silver(session, lake, spec, batch, f"stream-{stream}-{batch_id:09d}")
-        runs = [row.run_id for row in batch.select("run_id").distinct().collect()]
-        watermarks.mark_merged(session, lake.merged_runs, table, runs)
-
+    aside = f"{lake.path('state', 'streams')}/{table}-{stream}"
     files = (
         spark.readStream.schema(bronze_schema(spec.bronze_columns))
         .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(lake.path("bronze", table))
+        .select("*", F.col("_metadata.file_name").alias(FILE))
     )
-    return (
-        files.writeStream.foreachBatch(merge)
+    query = (
+        files.writeStream.foreachBatch(lambda batch, batch_id: set_aside(batch, batch_id, aside))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    return _merge_aside(spark, lake, spec, aside, stream)
+
+
+def set_aside(batch: DataFrame, batch_id: int, aside: str) -> None:
+    batch.write.mode("overwrite").parquet(f"{aside}/batch={batch_id:09d}")
+
+
+def _merge_aside(spark: SparkSession, lake: LakeConfig, spec: TableSpec, aside: str, stream: str) -> RunSummary:
+    batches = list_directories(spark, aside)
+    # Named after the first batch: a merge that is repeated with later batches replaces its own rejects.
+    name = f"stream-{stream}-{batches[0].partition('=')[2]}" if batches else f"stream-{stream}"
+    summary = RunSummary("silver", spec.name, name, rows_read=0, rows_written=0)
+    if not batches:
+        return summary
+    schema = bronze_schema(spec.bronze_columns).add(FILE, T.StringType())
+    rows = spark.read.schema(schema).parquet(*[f"{aside}/{batch}" for batch in batches])
+    origins = [tuple(r) for r in rows.select("year", "month", "day", "run_id", FILE).distinct().collect()]
+    runs = {origin[3] for origin in origins}
+    whole = watermarks.runs_merged(spark, lake.merged_runs, spec.name, runs)
+    taken = watermarks.merged_files(spark, lake.merged_files, spec.name, runs)
+    new = [o for o in origins if o[3] not in whole and o[4] not in taken.get(o[3], ())]
+    if new:
+        if len(new) < len(origins):
+            wanted = spark.createDataFrame([(o[3], o[4]) for o in new], f"run_id string, {FILE} string")
+            rows = rows.join(wanted, ["run_id", FILE], "left_semi").select(*schema.fieldNames())
+        summary = load_silver(spark, lake, spec, rows.drop(FILE), name)
+        watermarks.mark_files(spark, lake.merged_files, spec.name, [(o[3], o[4]) for o in new])
+        for year, month, day, run_id in sorted({o[:4] for o in new}):
+            taken.setdefault(run_id, set()).update(o[4] for o in new if o[3] == run_id)
+            manifest = read_manifest(spark, f"{lake.path('bronze', spec.name)}/year={year}/month={month}/day={day}/run_id={run_id}")
+            if manifest is not None and manifest <= taken[run_id]:
+                watermarks.mark_merged(spark, lake.merged_runs, spec.name, [run_id])
+    remove_path(spark, aside)
+    return summary

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import marlstone as ms
+from marlstone.sources import jdbc
 
 URL = "jdbc:derby:memory:shop"
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -61,3 +62,62 @@ def test_a_lake_is_filled_from_the_database(spark, orders, tmp_path):
     back = ms.read_bronze(spark, lake.path("bronze", "orders"), wanted)
     assert sorted(int(r.id) for r in back.collect()) == list(range(1, 101))
     assert ms.get_watermark(spark, lake.watermarks, "orders") == START + timedelta(hours=100)
+
+
+@pytest.fixture(scope="module")
+def gapped(spark):
+    """Ids as a shop that once restarted its sequence far away would have them, and text codes."""
+    ids = spark.range(1, 401).select(F.when(F.col("id") <= 20, F.col("id")).otherwise(F.col("id") + 2_000_000_000).cast("int").alias("id"))
+    df = ids.select(
+        "id", F.concat(F.lit("c"), F.col("id").cast("string")).alias("code"), F.lit(START + timedelta(hours=1)).alias("created_at"))
+    options = {"createTableColumnTypes": "code VARCHAR(50)"}
+    df.write.format("jdbc").options(url=f"{URL};create=true", dbtable="gapped", **options).mode("overwrite").save()
+    return "gapped"
+
+
+def _sizes(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_gaps_in_the_key_do_not_leave_the_rows_to_one_reader(spark, gapped):
+    window = (START, START + timedelta(hours=2))
+    df = ms.read_jdbc(spark, URL, gapped, "created_at", *window, partition_column="id", num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4 and max(_sizes(df)) <= 200 and df.count() == 400
+    assert sorted(r.id for r in df.collect()) == [k if k <= 20 else k + 2_000_000_000 for k in range(1, 401)]
+    strided = spark.read.jdbc(URL, gapped, column="ID", lowerBound=1, upperBound=2_000_000_400, numPartitions=4)
+    assert max(_sizes(strided)) == 380  # what equal strides would do
+
+
+def test_text_keys_are_shared_by_a_hash(spark, gapped):
+    window = (START, START + timedelta(hours=2))
+    code = 'CAST(SUBSTR("code", 2) AS INTEGER) - 200'  # negative for some, as hashes are
+    df = ms.read_jdbc(spark, URL, gapped, "created_at", *window, num_partitions=4, hash_expression=code)
+    assert df.rdd.getNumPartitions() == 4 and max(_sizes(df)) <= 200 and df.select("code").distinct().count() == df.count() == 400
+    assert df.filter("id = 7").count() == 1
+
+
+def test_quantile_bounds():
+    def bounds(keys, n):
+        asked = []
+
+        def count(ranges):
+            asked.append(ranges)
+            found = {}
+            for part, (first, last) in enumerate(ranges):
+                for key in keys:
+                    if first <= key <= last:
+                        place = part, (key - first) // jdbc._stride(first, last)
+                        found[place] = found.get(place, 0) + 1
+            return [(*place, rows) for place, rows in found.items()]
+
+        cuts = jdbc.quantile_bounds(count, min(keys), max(keys), len(keys), n)
+        edges = [float("-inf"), *cuts, float("inf")]
+        sizes = [sum(low <= key < high for key in keys) for low, high in zip(edges, edges[1:])]
+        assert sum(sizes) == len(keys) and len(asked) < 13 and all(len(ranges) <= 2 * n for ranges in asked)
+        return sizes
+
+    clustered = [*range(100), *range(10**15, 10**15 + 500), 2**62]
+    for n in (2, 5, 16):
+        assert max(bounds(clustered, n)) <= 1.5 * len(clustered) / n + 1
+    assert bounds([5] * 30 + [6], 4) == [30, 1]
+    assert bounds([7], 4) == [1]

@@ -57,8 +57,8 @@ def test_value_checks_share_one_scan(spark, tmp_path, payments):
     path = str(tmp_path / "t")
     payments.write.parquet(path)
     plan = ms.evaluate(spark.read.parquet(path), ms.SUITES["payments"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 2  # the shared aggregate, and the count per id
-    assert "ReadSchema: struct<id:int>" in plan
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == 2  # of values and masks, and of the totals
 
 
 def test_statistics_listing_and_gate(spark, payments):
@@ -107,3 +107,56 @@ def test_source_constraints_are_reported(spark, payments):
     found = {(r.kind, r.column_name): r.violating_rows
              for r in q.constraints({"payments": payments, "orders": orders}).collect()}
     assert found == {("unique", "payments.order_id"): 0, ("foreign key", "payments.order_id"): 1}
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_a_suite_is_one_scan_and_one_shuffle_of_values(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(q, "_BITS", 4)
+    path = str(tmp_path / "t")
+    rows = [(1, "a", 2.5), (1, None, None), (2, "b", 0.0), (None, "b", -0.0), (3, "b", float("nan")), (4, "", float("nan"))]
+    spark.createDataFrame(rows, "id int, email string, score double").write.parquet(path)
+    df = spark.read.parquet(path)
+    suite = [q.Expectation("expect_column_values_to_be_unique", {"column": c}) for c in ("id", "email", "score")]
+    suite += [q.Expectation("expect_column_values_to_not_be_null", {"column": c}) for c in ("id", "email")]
+    suite += [q.Expectation("expect_column_values_to_be_between", {"column": "id", "min_value": k, "max_value": None}) for k in range(7)]
+    suite += [q.Expectation("expect_table_row_count_to_be_between", {"min_value": 6, "max_value": 6})]
+    results = ms.evaluate(df, suite)
+    got = {r.position: (r.success, r.element_count, r.unexpected_count, r.missing_count) for r in results.collect()}
+    assert got[1] == (False, 6, 2, 1) and got[2] == (False, 6, 3, 1) and got[3] == (False, 6, 4, 1)
+    assert got[4] == (False, 6, 1, 1) and got[5] == (False, 6, 1, 1) and got[13] == (True, 6, None, None)
+    assert [got[6 + k][2] for k in range(7)] == [0, 0, 2, 3, 4, 5, 5]  # several masks
+    assert _scans(results) == 1
+    empty = {r.position: r.unexpected_count for r in ms.evaluate(df.limit(0), suite).collect()}
+    assert empty[1] == 0 and empty[6] == 0
+    with pytest.raises(ValueError):
+        ms.evaluate(df, [])
+
+
+def test_references_scan_each_table_once(spark, tmp_path):
+    def stored(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    given = {
+        "customers": stored("customers", [(1, "a"), (2, "a"), (3, None), (None, "b")], "id int, email string"),
+        "orders": stored("orders", [(10, 1), (11, 9), (11, 9), (12, None)], "id int, user_id int"),
+        "payments": stored("payments", [(1, 10), (2, 99), (3, 99), (4, None)], "id int, order_id long"),
+        "products": stored("products", [("x",)], "id string"),
+        "order_items": stored("order_items", [(1, 10, 5), (2, 98, 5)], "id int, order_id int, product_id int"),
+    }
+    found = q.references(given, [("customers", "email"), ("payments", "order_id"), ("suppliers", "id")])
+    got = {(r.kind, r.column_name): (r.violating_rows, r.violating_values) for r in found.collect()}
+    assert got == {
+        ("unique", "customers.email"): (2, 1), ("unique", "payments.order_id"): (2, 1),
+        ("foreign key", "orders.user_id"): (2, 1), ("foreign key", "payments.order_id"): (2, 1),
+        ("foreign key", "order_items.order_id"): (1, 1), ("foreign key", "order_items.product_id"): (2, 1),
+    }
+    assert _scans(found) == 5
+    for name in ("orders", "payments"):
+        one = ms.foreign_keys(given[name], {"orders": "user_id", "payments": "order_id"}[name], given[{"orders": "customers", "payments": "orders"}[name]])
+        assert tuple(one.first()) == got[("foreign key", f"{name}.{'user_id' if name == 'orders' else 'order_id'}")]
+    with pytest.raises(ValueError):
+        q.references({"products": given["products"]})

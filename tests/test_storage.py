@@ -244,6 +244,34 @@ def test_watermarks(spark, tmp_path):
     assert watermarks.pending_runs(spark, path, merged, "orders") == [("2024-05-07", "r2")]
 
 
+def test_ledgers_of_many_runs_become_one_file(spark, tmp_path, monkeypatch):
+    marks, merged, touched = (str(tmp_path / name) for name in ("marks", "merged", "touched"))
+    for k in range(5):
+        ms.put_watermark(spark, marks, "orders", RUN + timedelta(days=k), f"r{k}", RUN)
+        watermarks.note_touched(spark, touched, "orders", f"r{k}", {(2024, 1, k + 1)})
+    watermarks.mark_merged(spark, merged, "orders", ["r0", "r1"])
+    ms.put_watermark(spark, marks, "payments", RUN, "r1", RUN)
+
+    def state():
+        return (
+            [ms.get_watermark(spark, marks, t) for t in ("orders", "payments", "products")],
+            watermarks.pending_runs(spark, marks, merged, "orders"),
+            watermarks.partitions_of_run(spark, touched, "orders", "r3", ("year", "month", "day")),
+        )
+
+    before = state()
+    for path, schema in ((marks, watermarks.WATERMARK_SCHEMA), (merged, watermarks.MERGED_SCHEMA), (touched, watermarks.TOUCHED_SCHEMA)):
+        with monkeypatch.context() as patch:  # stopped before the old files went
+            patch.setattr(watermarks, "remove_path", lambda *a: None)
+            watermarks.compact(spark, path, schema, 2)
+        assert state() == before
+        watermarks.compact(spark, path, schema, 2)
+        assert state() == before
+    assert [len([f for f in os.listdir(f"{p}/table_name=orders") if f.endswith(".parquet")]) for p in (marks, merged, touched)] == [1, 1, 1]
+    ms.put_watermark(spark, marks, "orders", RUN + timedelta(days=9), "r9", RUN)
+    assert ms.get_watermark(spark, marks, "orders") == RUN + timedelta(days=9)
+
+
 def test_stream_merges_new_bronze_files_once(spark, tmp_path):
     lake = ms.LakeConfig(str(tmp_path), wide_keys=True, incremental_gold=True)
     bronze, path, checkpoint = lake.path("bronze", "order_items"), lake.path("silver", "order_items"), str(tmp_path / "checkpoint")
@@ -254,15 +282,14 @@ def test_stream_merges_new_bronze_files_once(spark, tmp_path):
         ms.write_bronze(df, bronze, RUN, run_id)
 
     def run():
-        query = ms.stream_bronze_to_silver(spark, lake, "order_items", checkpoint)
-        query.awaitTermination()
-        assert query.exception() is None
+        return ms.stream_bronze_to_silver(spark, lake, "order_items", checkpoint)
 
     extract([(1, 1, 1, 2, "3.00", "2024-01-01 10:00:00"), (1, 1, 1, 5, "3.00", "2024-01-01 11:00:00")], "r1")
     run()
     extract([(2, 1, 1, 1, "3.00", "2024-01-01 12:00:00"), (None, 1, 1, 1, "3.00", "2024-01-01 12:00:00")], "r2")
-    run()
-    run()
+    summary = run()
+    assert (summary.rows_read, summary.rows_written, summary.rows_rejected) == (2, 1, 1)
+    assert run().rows_read == 0
     rows = sorted((r.id, r.quantity) for r in spark.read.parquet(path).collect())
     assert rows == [(1, 5), (2, 1)]
     rejects = spark.read.parquet(lake.path("rejects", "order_items")).collect()
