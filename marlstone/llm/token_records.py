@@ -21,6 +21,7 @@ one record, and a file holds at least one.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -71,10 +72,25 @@ _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PLAIN = re.compile(r"([A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]*)([!-&(-/:-@\[-`{-~]*)")
 
 
+# The parts of a tokenizer file that decide where its pieces begin and end, for which encoding by runs is right.
+_BY_RUNS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"},
+    ]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+}
+# End of fixed values.
+
+
 class Encoder(dict):
     """Texts to packed token ids; as a dictionary, from runs of characters without ASCII white space to theirs.
 
-    The tokenizer drops white space and never joins across it, so each distinct
+    A tokenizer file that splits texts in any other way than ``_BY_RUNS`` says encodes whole texts. One that does
+    drops white space and never joins across it, so each distinct
     run is encoded once and remembered. Letters with punctuation behind them are two of its
     pieces, and such letters are lower-cased one by one and already in
     composed form, so the library's model takes them as they are; all else goes
@@ -88,6 +104,9 @@ class Encoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
+        with open(tokenizer_file, encoding="utf-8") as file:
+            described = json.load(file)
+        self.by_runs = described["model"]["type"] == "BPE" and all(described.get(part) == known for part, known in _BY_RUNS.items())
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.letter = {2: "H", 4: "I"}[self.width]
@@ -121,6 +140,9 @@ class Encoder(dict):
         return value
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if not self.by_runs:
+            found = self.tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
+            return [self.packed(encoding.ids) for encoding in found]
         if len(self) > CACHED_WORDS:
             self.clear()
         return [b"".join(map(self.__getitem__, (text or "").encode().split())) for text in texts]

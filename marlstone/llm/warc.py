@@ -5,8 +5,13 @@ another page already stored the same payload), and metadata. Request and
 metadata name the response in WARC-Concurrent-To. Writing is built-in
 expressions and Spark's text writer, whose record separator is the empty line
 that ends a WARC record; files are compressed and committed like any Spark
-output. Reading parses whole files, kept small by ``FILE_BYTES``, by their
-Content-Length fields, so a payload may hold any bytes.
+output. Record ids are new with every call and the same for a task that is run again. Reading
+takes plain files and gzip files of any number of members, a piece at a time, and goes by
+Content-Length, so a payload may hold any bytes; a task holds one compressed file and one record.
+
+Records of a capture meet by the identifiers they are concurrent to, any number of them, directly or
+through other records. Of several records of a kind the capture's row holds one; ``further_records``
+are the rest, a row each, so nothing grows with a capture.
 
 Defined results: a null payload counts as empty; a null URL leaves out the target
 field; a null page id leaves out the page field, and such a page is never the one
@@ -19,14 +24,16 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm.common import staged
+from marlstone.llm.components import components
 from marlstone.storage import scratch_path
 
 #: Payloads below this many bytes are always stored.
@@ -34,12 +41,14 @@ REVISIT_FROM = 100
 #: Uncompressed size that one file is meant to have.
 FILE_BYTES = 16 << 20
 RECORD_OVERHEAD = 1500
+#: Bytes unpacked at a time.
+PIECE_BYTES = 1 << 16
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORD_SCHEMA = (
-    "record_id string, record_type string, concurrent_to string, target_uri string, page_id long, refers_to long, "
+    "record_id string, record_type string, concurrent_to array<string>, target_uri string, page_id long, refers_to long, "
     "payload_bytes long, payload_digest string, payload_ok boolean, payload binary"
 )
 
@@ -92,7 +101,7 @@ def write_archives(pages: DataFrame, path: str, least: int = REVISIT_FROM, file_
     # The page id deals out the payloads evenly, however many of them are equal.
     captures = taken.join(
         later, F.col("page_id").eqNullSafe(F.col("later_page")) & (F.col("digest") == F.col("later_digest")), "left"
-    ).withColumn("capture", F.expr("uuid(10)"))
+    ).withColumn("capture", F.expr(f"uuid({uuid.uuid4().int >> 65})"))
     revisit = F.col("first_page").isNotNull()
     response_id = _urn(F.col("capture"), "")
     target = _line("WARC-Target-URI", F.col("url"))
@@ -128,54 +137,103 @@ def write_archives(pages: DataFrame, path: str, least: int = REVISIT_FROM, file_
      .option("maxRecordsPerFile", per_file).text(path))
 
 
-def _fields(head: bytes) -> dict[str, str]:
-    lines = head.decode("utf-8", "replace").split(END)
-    return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines) if name}
+def _fields(head: bytes) -> dict[str, list[str]]:
+    """Header lines by lower-case name; a name may repeat, and an indented line continues the one before."""
+    found: dict[str, list[str]] = {}
+    for line in re.sub(r"\r\n[ \t]+", " ", head.decode("utf-8", "replace")).split(END):
+        name, colon, value = line.partition(":")
+        if colon:
+            found.setdefault(name.strip().lower(), []).append(value.strip())
+    return found
+
+
+def _one(fields: dict[str, list[str]], name: str) -> str | None:
+    return fields[name][0] if name in fields else None
 
 
 def _number(value: str | None) -> int | None:
     return int(value) if value and re.fullmatch(r"-?\d+", value) else None
 
 
-def parse_records(data: bytes) -> Iterator[dict]:
-    """The records of one uncompressed archive, in order."""
-    at = 0
-    while at < len(data):
-        body = data.find(b"\r\n\r\n", at) + 4
-        if body < 4 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
-        fields = _fields(data[at:body])
-        length = int(fields["content-length"])
-        block = data[body : body + length]
+def unpacked(data: bytes) -> Iterator[bytes]:
+    """The content of a file in pieces: of all members, one after the other, if it is compressed."""
+    if not data.startswith(b"\x1f\x8b"):
+        yield data
+        return
+    member = None
+    for at in range(0, len(data), PIECE_BYTES):
+        piece = data[at : at + PIECE_BYTES]
+        while piece := piece if member else piece.lstrip(b"\0"):  # zeros may pad the file
+            member = member or zlib.decompressobj(31)
+            yield member.decompress(piece)
+            piece = member.unused_data
+            if member.eof:
+                member = None
+    if member:
+        raise ValueError("the compressed file is cut off")
+
+
+def parse_records(pieces: Iterable[bytes]) -> Iterator[dict]:
+    """The records of one archive, given in pieces, in order."""
+    pieces, held, place = iter(pieces), bytearray(), 0
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        while len(held) < 5 and more():
+            pass
+        if not held:
+            return
+        while (end := held.find(b"\r\n\r\n")) < 0 and held.startswith(b"WARC/") and more():
+            pass
+        if end < 0 or not held.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record at byte {place}")
+        fields = _fields(bytes(held[:end]))
+        length = _number(_one(fields, "content-length"))
+        if length is None:
+            raise ValueError(f"the record at byte {place} has no length")
+        while len(held) < end + 4 + length and more():
+            pass
+        block = bytes(held[end + 4 : end + 4 + length])
         if len(block) < length:
-            raise ValueError(f"the record at byte {at} is cut off")
-        at = body + length + 4
-        kind = fields.get("warc-type")
-        row = {
-            "record_id": fields.get("warc-record-id"), "record_type": kind, "concurrent_to": fields.get("warc-concurrent-to"),
-            "target_uri": fields.get("warc-target-uri"), "page_id": None, "refers_to": None, "payload_bytes": None,
-            "payload_digest": None, "payload_ok": None, "payload": None,
-        }
-        if kind == "metadata":
-            row["page_id"] = _number(_fields(block).get("page-id"))
-        elif kind in ("response", "revisit"):
-            head, _, payload = block.partition(b"\r\n\r\n")
-            stated = fields.get("warc-payload-digest", "").removeprefix("sha256:")
-            if kind == "response":
-                digest = hashlib.sha256(payload).hexdigest()
-                row |= {"payload": payload, "payload_bytes": len(payload), "payload_digest": digest, "payload_ok": digest == stated}
-            else:
-                row |= {
-                    "payload_bytes": _number(_fields(head).get("content-length")), "payload_digest": stated,
-                    "refers_to": _number(fields.get("warc-refers-to-page")),
-                }
-        yield row
+            raise ValueError(f"the record at byte {place} is cut off")
+        while len(held) < end + 8 + length and more():
+            pass
+        del held[: end + 8 + length]
+        place += end + 8 + length
+        yield _row(fields, block)
+
+
+def _row(fields: dict[str, list[str]], block: bytes) -> dict:
+    kind = _one(fields, "warc-type")
+    row = {
+        "record_id": _one(fields, "warc-record-id"), "record_type": kind, "concurrent_to": fields.get("warc-concurrent-to", []),
+        "target_uri": _one(fields, "warc-target-uri"), "page_id": None, "refers_to": None, "payload_bytes": None,
+        "payload_digest": None, "payload_ok": None, "payload": None,
+    }
+    if kind == "metadata":
+        row["page_id"] = _number(_one(_fields(block), "page-id"))
+    elif kind in ("response", "revisit"):
+        head, _, payload = block.partition(b"\r\n\r\n")
+        stated = (_one(fields, "warc-payload-digest") or "").removeprefix("sha256:")
+        if kind == "response":
+            digest = hashlib.sha256(payload).hexdigest()
+            row |= {"payload": payload, "payload_bytes": len(payload), "payload_digest": digest, "payload_ok": digest == stated}
+        else:
+            row |= {
+                "payload_bytes": _number(_one(_fields(head), "content-length")), "payload_digest": stated,
+                "refers_to": _number(_one(fields, "warc-refers-to-page")),
+            }
+    return row
 
 
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """All records below ``path``; ``payloads=False`` leaves the payload itself out."""
+    """All records of the .warc and .gz files below ``path``; ``payloads=False`` leaves the payload itself out."""
     schema = pa.schema([
-        ("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()), ("target_uri", pa.string()),
+        ("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("target_uri", pa.string()),
         ("page_id", pa.int64()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
         ("payload_ok", pa.bool_()), ("payload", pa.binary()),
     ])
@@ -183,9 +241,8 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     def read(batches):
         for batch in batches:
             for content in batch.column(0):
-                data = content.as_py()
                 rows, held = [], 0
-                for row in parse_records(zlib.decompress(data, 47) if data else b""):
+                for row in parse_records(unpacked(content.as_py())):
                     held += len(row["payload"] or b"")
                     rows.append(row if payloads else row | {"payload": None})
                     if len(rows) >= 5000 or payloads and held > FILE_BYTES:
@@ -194,32 +251,71 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{gz,warc}").option("recursiveFileLookup", "true").load(path)
     return files.select("content").mapInArrow(read, RECORD_SCHEMA)
 
 
+#: What is kept of a record in its capture's row, the order in which one is chosen among several.
+_KEPT = ("record_id", "record_type", "target_uri", "page_id", "refers_to", "payload_bytes", "payload_digest", "payload_ok", "payload")
+_KIND = {"request": "request", "response": "response", "revisit": "response", "metadata": "metadata"}
+
+
+def captures_of(records: DataFrame) -> DataFrame:
+    """``records`` with capture_id: what a record is concurrent to, or itself.
+
+    Mostly that names a record that is concurrent to nothing, and no record names two. The identifiers of
+    other records are joined transitively, and the smallest names the capture.
+    """
+    edges = staged(records.select("record_id", F.explode("concurrent_to").alias("target")).distinct(), "concurrent")
+    sources = edges.groupBy("record_id").agg(F.count(F.lit(1)).alias("n"))
+    onward = edges.join(sources.select(F.col("record_id").alias("target")), "target", "left_semi").select("record_id", "target")
+    forked = edges.join(sources.where("n > 1").select("record_id"), "record_id", "left_semi").select("record_id", "target")
+    # Every edge of a record that forks or leads on; an edge onto such a record is found by its target below.
+    odd = staged(onward.unionByName(forked).unionByName(
+        edges.join(onward.select(F.col("target").alias("record_id")).distinct(), "record_id", "left_semi").select("record_id", "target")
+    ).distinct(), "joined-captures")
+    place = F.coalesce(F.get("concurrent_to", F.lit(0)), F.col("record_id"))
+    if odd.isEmpty():
+        return records.withColumn("capture_id", place)
+    names = odd.select(F.col("record_id").alias("name")).unionByName(odd.select(F.col("target").alias("name"))).distinct()
+    names = names.withColumn("node", F.xxhash64("name"))
+    found = components(odd.select(F.xxhash64("record_id").alias("a"), F.xxhash64("target").alias("b")))
+    labels = names.join(found, "node")
+    smallest = labels.groupBy("root").agg(F.min("name").alias("label"))
+    labels = staged(labels.join(smallest, "root").select(F.col("name").alias("place"), "label"), "capture-labels")
+    return records.withColumn("place", place).join(labels, "place", "left").withColumn("capture_id", F.coalesce("label", "place")).drop("place", "label")
+
+
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: capture_id and the structs request, response, metadata (null where missing).
 
-    Records meet by the identifier they are concurrent to. Only the largest record
-    id of a kind is kept for a capture, which partial aggregation does before the
-    shuffle, so many records that name one capture never gather in a task;
-    ``n_records`` tells how many there were.
+    Only the largest record of a kind is kept for a capture, which partial aggregation does before the
+    shuffle, so many records of one capture never gather in a task; ``n_records`` tells how
+    many there were and ``further_records`` gives the others. ``records`` is read several times.
     """
-    fields = F.struct("record_id", "record_type", "target_uri", "page_id", "refers_to", "payload_bytes", "payload_digest",
-                      "payload_ok", "payload")
 
-    def one(*kinds: str) -> Column:
-        return F.max(F.when(F.col("record_type").isin(*kinds), fields))
+    def one(kind: str) -> Column:
+        return F.max(F.when(F.col("record_type").isin(*[k for k, v in _KIND.items() if v == kind]), F.struct(*_KEPT)))
 
-    return records.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id")).agg(
-        one("request").alias("request"), one("response", "revisit").alias("response"), one("metadata").alias("metadata"),
-        F.count(F.lit(1)).alias("n_records"),
+    return captures_of(records).groupBy("capture_id").agg(
+        *[one(kind).alias(kind) for kind in ("request", "response", "metadata")], F.count(F.lit(1)).alias("n_records")
     )
 
 
+def further_records(records: DataFrame) -> DataFrame:
+    """capture_id and columns of the records that ``assemble`` leaves out: kinds other than its own, and all but one of a kind."""
+    keyed = captures_of(records).withColumn("kind", F.coalesce(*[F.when(F.col("record_type") == k, F.lit(v)) for k, v in _KIND.items()]))
+    kept = keyed.where("kind is not null").groupBy("capture_id", "kind").agg(
+        F.max(F.struct(*_KEPT)).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # The row kept is told by its values, not by its id: an id may repeat, and equal records are one.
+    several = keyed.join(kept.select("capture_id", "kind", "kept"), ["capture_id", "kind"]).where(~F.struct(*_KEPT).eqNullSafe(F.col("kept")))
+    other = keyed.where("kind is null")
+    return other.unionByName(several.drop("kept")).drop("kind", "concurrent_to")
+
+
 def round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:
     """Write ``pages`` as archives in the shared folder, read them back and assemble the captures."""
     path = scratch_path(pages.sparkSession, "warc")
     write_archives(pages, path)
-    return assemble(read_records(pages.sparkSession, path, payloads))
+    records = read_records(pages.sparkSession, path, payloads)
+    return assemble(records if payloads else staged(records, "records"))

@@ -1,11 +1,14 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns; and the parts no query reaches."""
 
+import gzip
 import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from marlstone.llm import chat, decontaminate, jaccard, mixing, pii, quality_model, quality_rules, secrets, token_records, warc
@@ -266,61 +269,109 @@ def test_entities():
     assert kinds("a" * 200_000 + " " + "1." * 50_000) == [("ip", "1.1.1.1")] * 12_500
 
 
+#: Different texts that share no five words in a row.
+OTHERS = [f"{a} {b} {c} by {k} {a}{k} and {b}{k}" for k, (a, b, c) in enumerate(
+    (x, y, z) for x in ("red", "blue", "green", "grey") for y in ("barn", "mill", "farm", "ford") for z in ("roof", "door", "gate", "wall"))]
+
+
 def test_terms_that_disclose_are_hidden(spark):
-    rows = [(k, f"please write to Quibbleton the clerk at me{k % 2}@x.org about it") for k in range(4)]
-    rows += [(k, "please write to the clerk about it at noon") for k in range(10, 60)] + [(99, None), (99, None)]
+    rows = [(k, f"{OTHERS[k]} please write to Quibbleton the clerk at me{k % 2}@x.org about it {OTHERS[k + 5]}") for k in range(4)]
+    rows += [(k, f"please write to the clerk about it at noon {OTHERS[k]}") for k in range(10, 60)] + [(99, None), (99, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.sanitise(docs, generalise=0.5, remove=0.99).collect()}
-    assert got[0] == "please write to [NAME] the clerk at [EMAIL] about it" and got[10] == rows[4][1] and got[99] is None
+    assert " please write to [NAME] the clerk at [EMAIL] about it " in got[0] and got[10] == rows[4][1] and got[99] is None
     assert pii.sanitise(docs).count() == len(rows)
     assert "Quibbleton" not in {r.doc_id: r.text for r in pii.sanitise(docs, generalise=0.5, remove=0.7).collect()}[1]
 
 
+def _shingles(text):
+    words = text.lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+
+
+def _documents_of(rows, names):
+    """Texts of each document: equal texts are one, and so are linked texts with an entity that several texts hold."""
+    texts = sorted({text for _, text in rows})
+    shared = {c for c in set().union(*names.values()) if sum(c in names[t] for t in texts) >= pii.SUPPORT}
+    near = [t for t in texts if names[t] & shared]
+    home = {t: {t} for t in texts}
+    for x in near:
+        for y in near:
+            a, b = _shingles(x), _shingles(y)
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                both = home[x] | home[y]
+                for t in both:
+                    home[t] = both
+    return {frozenset(x) for x in home.values()}
+
+
 def _brute_disclosed(rows, generalise, remove):
     """All spans of each document by the formula, over sets of whole documents."""
-    spans = {k: pii.entities(text) for k, text in rows}
-    names = {k: {pii.entity_name(text, b, e, kind) for b, _, e, kind in spans[k]} for k, text in rows}
-    terms = {k: set(pii.TERM.findall(text)) for k, text in rows}
+    spans = {text: pii.entities(text) for _, text in rows}
+    names = {text: {pii.entity_name(text, b, e, kind) for b, _, e, kind in found} for text, found in spans.items()}
+    groups = _documents_of(rows, names)
+    held = [set().union(*(names[t] for t in group)) for group in groups]
+    terms = [set().union(*(pii.TERM.findall(t) for t in group)) for group in groups]
     out = {}
     for k, text in rows:
-        out[k] = [(b, e, kind) for b, _, e, kind in spans[k]]
+        out[k] = [(b, e, kind) for b, _, e, kind in spans[text]]
         for m in pii.TERM.finditer(text):
-            if any(b < m.end() and m.start() < e for b, _, e, _ in spans[k]):
+            if any(b < m.end() and m.start() < e for b, _, e, _ in spans[text]):
                 continue
             most = 0
-            for c in names[k]:
-                n_c, n_t = sum(c in x for x in names.values()), sum(m.group() in x for x in terms.values())
-                n_ct = sum(c in names[d] and m.group() in terms[d] for d in names)
-                if n_ct >= pii.SUPPORT and n_c < len(rows):
-                    most = max(most, math.log(n_ct * len(rows) / (n_c * n_t)) / math.log(len(rows) / n_c))
+            for c in names[text]:
+                n_c, n_t = sum(c in x for x in held), sum(m.group() in x for x in terms)
+                n_ct = sum(c in x and m.group() in y for x, y in zip(held, terms))
+                if n_ct >= pii.SUPPORT and n_c < len(groups):
+                    most = max(most, math.log(n_ct * len(groups) / (n_c * n_t)) / math.log(len(groups) / n_c))
             if most >= generalise:
                 out[k].append((m.start(), m.end(), "removed" if most >= remove else "generalised"))
     return {k: sorted(x) for k, x in out.items()}
 
 
+def _protected(docs, **thresholds):
+    return {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.spans) for r in pii.protected_spans(docs, **thresholds).collect()}
+
+
 def test_disclosing_terms_of_whole_documents(spark):
     far, long = "and so on " * 60, "x" * 500
-    rows = [(k, f"Quibbleton {far} at me@x.org {long} {far} says Quibbleton") for k in range(3)]
+    rows = [(k, f"Quibbleton {OTHERS[k]} {far} at me@x.org {long} {OTHERS[k + 9]} says Quibbleton {OTHERS[k + 20]}") for k in range(3)]
     rows += [(3, f"Quibbleton {far} call +1 555 010 9999"), (4, "Quibbleton only"), (5, "me@x.org")]
-    rows += [(k, f"{far} at noon nr {k}") for k in range(10, 70)]
+    rows += [(k, f"{far} at noon nr {k}") for k in range(10, 64)] + [(k, f"{far} at noon nr 60") for k in range(64, 70)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    for generalise, remove in ((0.75, 0.95), (0.4, 0.8), (0.1, 0.2)):
-        got = {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.spans)
-               for r in pii.protected_spans(docs, generalise=generalise, remove=remove).collect()}
-        assert got == _brute_disclosed(rows, generalise, remove)
+    for thresholds in ({}, {"generalise": 0.4, "remove": 0.8}, {"generalise": 0.1, "remove": 0.2}):
+        expected = _brute_disclosed(rows, **({"generalise": 0.75, "remove": 0.95} | thresholds))
+        assert _protected(docs, **thresholds) == expected
     hidden = {r.doc_id: r.text for r in pii.sanitise(docs, generalise=0.4, remove=0.99).collect()}
     assert all("Quibbleton" not in hidden[k] and long not in hidden[k] for k in range(3))
     assert hidden[3].startswith("Quibbleton") and hidden[4] == "Quibbleton only"
 
 
+def test_copies_disclose_nothing(spark):
+    """Two copies, exact or near, of a text with an entity hide no word of it; the name that different texts share is hidden."""
+    copy = "contact ann at ann@ex.org about maple walnut cherry timber before the end of the month or later on if need be thanks"
+    rows = [(1, copy), (2, copy), (3, copy + " ann"), (4, copy + " again ann"), (5, copy)]
+    plain = [(k, f"about the {OTHERS[k]} timber") for k in range(10, 60)]
+    docs = spark.createDataFrame(rows + plain, "doc_id long, text string")
+    got = _protected(docs)
+    assert all(kind in pii.BASE_KINDS for spans in got.values() for *_, kind in spans) and len(got[1]) == 1
+    planted = [(100 + k, f"{OTHERS[k]} ask Quibbleton or ann@ex.org for {OTHERS[k + 7]}") for k in range(3)]
+    planted += [(200 + k, text) for k, (_, text) in enumerate(planted)]
+    docs = spark.createDataFrame(rows + plain + planted, "doc_id long, text string").repartition(4)
+    got = _protected(docs)
+    assert got == _brute_disclosed(rows + plain + planted, 0.75, 0.95)
+    for k, text in planted:
+        at = text.index("Quibbleton")
+        assert [s for s in got[k] if s[2] in ("generalised", "removed") and s[:2] == (at, at + 10)]
+
+
 def test_entities_without_neighbours_count(spark):
-    """Documents that are only an entity, or entities alone, hold it: n_c is 6 here, and the name discloses less of it."""
-    rows = [(k, "Quibbleton at me@x.org") for k in range(2)] + [(2, "me@x.org"), (3, "me@x.org"), (4, "me@x.org,me@x.org"), (5, "me@x.org")]
-    rows += [(k, "noon") for k in range(10, 64)] + [(k, "Quibbleton") for k in range(70, 76)]
+    """Documents that are only an entity, or entities alone, hold it: n_c is 5 here, and the name discloses less of it."""
+    rows = [(k, f"Quibbleton {OTHERS[k]} at me@x.org") for k in range(2)]
+    rows += [(2, "me@x.org"), (3, "me@x.org "), (4, "me@x.org,me@x.org"), (5, "me@x.org")]
+    rows += [(k, f"noon {k}") for k in range(10, 64)] + [(k, f"Quibbleton {k}") for k in range(70, 76)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: sorted((s["start"], s["end"], s["kind"]) for s in r.spans)
-           for r in pii.protected_spans(docs, generalise=0.4, remove=0.5).collect()}
-    assert got == _brute_disclosed(rows, 0.4, 0.5)
+    assert _protected(docs, generalise=0.4, remove=0.5) == _brute_disclosed(rows, 0.4, 0.5)
 
 
 def test_personal_data_in_odd_rows(docs, nothing):
@@ -402,3 +453,98 @@ def test_stages_keep_the_columns(spark, docs, tmp_path):
         current = stage(spark, current, str(tmp_path))
         assert current.columns == docs.columns
     assert [r.doc_id for r in current.select("doc_id").distinct().collect()] == [4]
+
+
+def _warc(kind, name, block=b"", *, to=(), **fields):
+    lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: {name}", *[f"WARC-Concurrent-To: {t}" for t in to]]
+    lines += [f"{k.replace('_', '-')}: {v}" for k, v in fields.items()] + [f"Content-Length: {len(block)}"]
+    return ("WARC/1.0\r\n" + "\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+ANSWER = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\nbody \r\n\r\n\x00 more"
+
+
+def _archive(k):
+    return [
+        _warc("warcinfo", f"<info{k}>", b"software: x"), _warc("request", f"<q{k}>", b"GET / HTTP/1.1\r\n\r\n", to=[f"<r{k}>"]),
+        _warc("response", f"<r{k}>", ANSWER), _warc("metadata", f"<m{k}>", b"page-id: 7\r\nvia: a\r\n", to=[f"<r{k}>"]),
+        _warc("resource", f"<s{k}>", b"no capture"),
+    ]
+
+
+@pytest.mark.parametrize("form", ["members", "one member", "padded", "plain"])
+def test_foreign_archives_of_any_form(spark, tmp_path, monkeypatch, form):
+    monkeypatch.setattr(warc, "PIECE_BYTES", 7)
+    for k in range(2):
+        records = _archive(k)
+        if form == "plain":
+            (tmp_path / f"a{k}.warc").write_bytes(b"".join(records))
+        elif form == "one member":
+            (tmp_path / f"a{k}.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+        else:
+            (tmp_path / f"a{k}.warc.gz").write_bytes(b"".join(map(gzip.compress, records)) + b"\0" * (20 * (form == "padded")))
+    found = warc.read_records(spark, str(tmp_path))
+    assert sorted(r.record_id for r in found.collect()) == sorted(f"<{x}{k}>" for k in range(2) for x in ("info", "q", "r", "m", "s"))
+    captures = {r.capture_id: r for r in warc.assemble(found).collect()}
+    for k in range(2):
+        one = captures[f"<r{k}>"]
+        assert one.n_records == 3 and one.request.record_id == f"<q{k}>" and one.metadata.page_id == 7
+        assert bytes(one.response.payload) == ANSWER.partition(b"\r\n\r\n")[2]
+    assert sorted(r.record_id for r in warc.further_records(found).collect()) == ["<info0>", "<info1>", "<s0>", "<s1>"]
+
+
+def test_archives_that_are_cut_off(tmp_path):
+    data = gzip.compress(b"".join(_archive(0)))
+    with pytest.raises(ValueError):
+        list(warc.parse_records(warc.unpacked(data[:-30])))
+    plain = b"".join(_archive(0))
+    for end in (len(plain) - 9, 40, len(plain) // 2):
+        with pytest.raises(ValueError):
+            list(warc.parse_records([plain[:end]]))
+    with pytest.raises(ValueError, match="no WARC record at byte"):
+        list(warc.parse_records([plain + b"rest"]))
+    assert list(warc.parse_records(warc.unpacked(b""))) == []
+
+
+def test_captures_are_found_by_any_chain_of_identifiers(spark, tmp_path):
+    """Repeated headers, identifiers that name the request, several records of a kind; and plain captures beside them."""
+    records = [
+        _warc("response", "<r1>", ANSWER), _warc("request", "<q1>", to=["<r1>"]), _warc("metadata", "<m1>", b"page-id: 1", to=["<q1>"]),
+        _warc("metadata", "<m1b>", b"page-id: 2", to=["<q1>"]),
+        _warc("request", "<q2>"), _warc("response", "<r2>", ANSWER, to=["<q2>", "<m2>"]), _warc("metadata", "<m2>", b"page-id: 5"),
+        _warc("request", "<q2b>", to=["<q2>"]), _warc("request", "<q2c>", to=["<m2>"]),
+        _warc("response", "<r3>", ANSWER), _warc("request", "<q3>", to=["<r3>"]), _warc("request", "<q3b>", to=["<r3>"]),
+        _warc("metadata", "<m9>", b"page-id: 9", to=["<gone>"]), _warc("conversion", "<c3>", b"x", to=["<r3>"]),
+    ]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    found = warc.read_records(spark, str(tmp_path))
+    got = {r.capture_id: r for r in warc.assemble(found).collect()}
+    assert {k: r.n_records for k, r in got.items()} == {"<m1>": 4, "<m2>": 5, "<r3>": 4, "<gone>": 1}
+    assert got["<m1>"].response.record_id == "<r1>" and got["<m1>"].metadata.record_id == "<m1b>"
+    assert got["<m2>"].request.record_id == "<q2c>" and got["<m2>"].response.record_id == "<r2>" and got["<m2>"].metadata.page_id == 5
+    rest = sorted((r.capture_id, r.record_id) for r in warc.further_records(found).collect())
+    assert rest == [("<m1>", "<m1>"), ("<m2>", "<q2>"), ("<m2>", "<q2b>"), ("<r3>", "<c3>"), ("<r3>", "<q3>")]
+
+
+def test_two_writes_share_no_record_id(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 200, "c"), (2, "http://b/", "y" * 400_000, "c")], "page_id long, url string, html string, capture string")
+    path = scratch_path(spark, "twice")
+    for part in ("a", "b"):
+        warc.write_archives(pages.withColumn("digest", F.lit("other")), f"{path}/{part}")
+    captures = warc.assemble(warc.read_records(spark, path))
+    assert captures.count() == 4 and captures.where("n_records = 3 and response.payload_ok").count() == 4
+
+
+# --- other tokenizers ----------------------------------------------------------
+
+@pytest.mark.parametrize("name, by_runs", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_any_tokenizer_file_gives_the_library_s_ids(spark, docs, name, by_runs):
+    file = public_tokenizers.path(name)
+    encoder, tokenizer = token_records.Encoder(file), Tokenizer.from_file(file)
+    texts = [r[1] for r in ROWS] + ["Hello World,  it's\n\n12 o'clock <|endoftext|>x\u00a0y", " lead", "Stra\u00dfe e\u0301a \u0130"]
+    assert encoder.by_runs == by_runs
+    for text, ids in zip(texts, encoder(texts)):
+        assert np.frombuffer(ids, encoder.kind).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
+    got = sorted((r.doc_id is not None, r.doc_id, r.n_tokens) for r in token_records.round_trip(docs, file).collect())
+    expected = [(r[0] is not None, r[0], len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + 1) for r in ROWS]
+    assert sorted(got, key=str) == sorted(expected, key=str)
