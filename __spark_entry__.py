@@ -26,7 +26,7 @@ from marlstone.operators.metrics import summary_frame
 from marlstone.operators.shop import store_order_parts, stored_order_detail
 from marlstone.operators.quality import SUITES, Expectation, constraints, references
 from marlstone.plans import gold
-from marlstone.plans.pipeline import extract_table, load_silver, read_silver, refine_table, refresh_mart, silver_days
+from marlstone.plans.pipeline import extract_table, load_silver, read_silver, refine_table, refresh_mart, side_by_side, silver_days
 from marlstone.plans.silver import silver, silver_rejects, typed_rows
 from marlstone.schemas import FOREIGN_KEYS, TABLES
 from marlstone.sinks.tables import overwrite_table
@@ -578,10 +578,12 @@ def _in_two_runs(v, spark, tables: Sequence[str], mart: str | None = None) -> ms
     """
     lake = ms.LakeConfig(_scratch(spark), incremental_gold=True)
     for k in range(2):
-        for table in tables:
+        def load(table: str) -> ms.RunSummary:
             raw = v(_RAW_VIEWS[table])
             half = raw.where(F.pmod(F.xxhash64(*raw.columns), F.lit(2)) == k)
-            load_silver(spark, lake, TABLES[table], half, f"r{k}")
+            return load_silver(spark, lake, TABLES[table], half, f"r{k}")
+
+        side_by_side(spark, load, tables)
         if mart is not None:
             refresh_mart(spark, lake, mart, f"r{k}")
     return lake
@@ -652,14 +654,14 @@ def _(v, spark):
 @_query("report_daily_revenue_stored", _ORACLE_TEXT["report_daily_revenue"])
 def _(v, spark):
     path = f"{_scratch(spark)}/daily_sales"
-    overwrite_table(ms.daily_sales(v("fx_orders"), v("fx_payments"), unique_orders=True), path, gold.GOLD_PARTITIONS["daily_sales"])
+    overwrite_table(ms.daily_sales(v("fx_orders"), v("fx_payments"), unique_orders=True), path, gold.GOLD_PARTITIONS["daily_sales"], tiny=True)
     return ms.report_daily_revenue(spark.read.parquet(path), "2001-06-30")
 
 
 @_query("report_funnel_stored", _ORACLE_TEXT["report_funnel"])
 def _(v, spark):
     path = f"{_scratch(spark)}/funnel_analysis"
-    overwrite_table(ms.funnel(v("fx_page_views"), v("fx_event_orders")), path, gold.GOLD_PARTITIONS["funnel_analysis"])
+    overwrite_table(ms.funnel(v("fx_page_views"), v("fx_event_orders")), path, gold.GOLD_PARTITIONS["funnel_analysis"], tiny=True)
     return ms.run_report(spark, "funnel_analysis", "2024-02-10", funnel_analysis=spark.read.parquet(path))
 
 

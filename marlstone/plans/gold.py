@@ -218,3 +218,6 @@ GOLD_PARTITIONS = {
     "top_products": (),
     "funnel_analysis": ("year", "month"),
 }
+
+#: Marts with a row per day, so that a partition is a row or a month of rows.
+DAILY_MARTS = ("daily_sales", "funnel_analysis")

@@ -302,7 +302,7 @@ def refresh_mart(spark: SparkSession, lake: LakeConfig, mart: str, run_id: str)
         rows = 0
         if changed:
             parts = gold.GOLD_PARTITIONS[mart]
-            replace_partitions(df, path, parts, changed)
+            replace_partitions(df, path, parts, changed, tiny=True)
             rows = read_partitions(spark, path, df.schema, changed, parts).count()
         summary = RunSummary("gold", mart, run_id, rows_written=rows, output=path)
     if runs:
@@ -373,7 +373,7 @@ def register_layer(spark: SparkSession, lake: LakeConfig, layer: str) -> None:
 
 def build_mart(spark: SparkSession, lake: LakeConfig, mart: str, df: DataFrame, run_id: str) -> RunSummary:
     path = lake.path("gold", mart)
-    overwrite_table(df, path, gold.GOLD_PARTITIONS[mart])
+    overwrite_table(df, path, gold.GOLD_PARTITIONS[mart], tiny=mart in gold.DAILY_MARTS)
     # Counted from the files' footers. The schema is given because an empty mart has no file.
     rows = spark.read.schema(df.schema).parquet(path).count()
     return RunSummary("gold", mart, run_id, rows_written=rows, output=path)

@@ -16,18 +16,23 @@ from marlstone.storage import path_exists, remove_path, stage
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+def balanced(df: DataFrame, partition_cols: Sequence[str], tiny: bool = False) -> DataFrame:
     """Gather each partition's rows into few files of about the advisory size.
 
     ``rebalance`` lets adaptive execution split a hot partition over many tasks
     and pack small ones together, where a plain repartition would give a hot day
-    to a single task.
+    to a single task. Partitions known to be ``tiny``, of a row or so, are better dealt out to all
+    cores: then it is the number of directories that takes time, not the rows.
     """
+    if tiny and partition_cols:
+        return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *partition_cols)
     return df.hint("rebalance", *partition_cols) if partition_cols else df
 
 
-def _write(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str, cluster_by: Sequence[str] = ()) -> None:
-    rows = balanced(df, partition_cols)
+def _write(
+    df: DataFrame, path: str, partition_cols: Sequence[str], mode: str, cluster_by: Sequence[str] = (), tiny: bool = False
+) -> None:
+    rows = balanced(df, partition_cols, tiny)
     if cluster_by:  # readers of few values skip the other pages by their statistics
         rows = rows.sortWithinPartitions(*partition_cols, *cluster_by)
     writer = rows.write.mode("overwrite").option("compression", "snappy")
@@ -37,18 +42,23 @@ def _write(df: DataFrame, path: str, partition_cols: Sequence[str], mode: str, c
     df.sparkSession.catalog.refreshByPath(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_cols: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+def overwrite_table(
+    df: DataFrame, path: str, partition_cols: Sequence[str] = (), cluster_by: Sequence[str] = (), tiny: bool = False
+) -> None:
     """Replace the whole table at ``path``. ``df`` must not read from it. Files are sorted by ``cluster_by``."""
-    _write(df, path, partition_cols, "static", cluster_by)
+    _write(df, path, partition_cols, "static", cluster_by, tiny)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_cols: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_cols: Sequence[str], cluster_by: Sequence[str] = (), tiny: bool = False
+) -> None:
     """Replace only the partitions ``df`` has rows for; it may read from ``path``."""
-    _write(df, path, partition_cols, "dynamic", cluster_by)
+    _write(df, path, partition_cols, "dynamic", cluster_by, tiny)
 
 
 def replace_partitions(
-    df: DataFrame, path: str, partition_cols: Sequence[str], expected: Iterable[tuple], cluster_by: Sequence[str] = ()
+    df: DataFrame, path: str, partition_cols: Sequence[str], expected: Iterable[tuple], cluster_by: Sequence[str] = (),
+    tiny: bool = False,
 ) -> None:
     """Replace partitions by ``df``'s rows; those of ``expected`` it has no row for are removed.
 
@@ -58,7 +68,7 @@ def replace_partitions(
     spark = df.sparkSession
     watch = Observation()
     watched = df.observe(watch, F.collect_set(F.struct(*partition_cols)).alias("filled"))
-    overwrite_partitions(watched, path, partition_cols, cluster_by)
+    overwrite_partitions(watched, path, partition_cols, cluster_by, tiny)
     filled = {tuple(row) for row in watch.get["filled"] or ()}
     for row in set(expected) - filled:
         remove_path(spark, _directory(path, row, partition_cols))

@@ -240,7 +240,7 @@ def test_daily_marts_follow_changed_days_only(spark, tmp_path, monkeypatch):
     assert files("01") == first
     # The only order of a day moves to another one: the day disappears.
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "replace_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(pipeline, "replace_partitions", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError):
             go(104, orders=[(2, day[3], START + timedelta(hours=103))])
     go(105)
