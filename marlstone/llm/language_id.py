@@ -134,8 +134,8 @@ def _sampled(labelled: DataFrame, most: int) -> DataFrame:
     A threshold from the language's number of rows leaves little more than those before anything is shuffled.
     """
     slot = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 31))
-    sizes = labelled.groupBy("lang").count()
-    near = labelled.join(sizes, "lang").withColumn("slot", slot).where(
+    sizes = labelled.groupBy("lang").count()  # as many rows as the model has languages
+    near = labelled.join(F.broadcast(sizes), "lang").withColumn("slot", slot).where(
         F.col("slot") * F.col("count") <= F.lit(float(2 * most)) * (1 << 31) + F.lit(1 << 31) * 64.0
     )
     ranked = Window.partitionBy("lang").orderBy("slot", "doc_id", F.xxhash64("text"))
