@@ -29,8 +29,12 @@ def _parser() -> argparse.ArgumentParser:
         "--timestamp-column", action="append", default=[], metavar="TABLE=COLUMN",
         help="extract a table by this column, e.g. orders=updated_at; created_at by default",
     )
-    parser.add_argument("--incremental-gold", action="store_true", help="rebuild only changed days of the daily marts")
+    parser.add_argument("--incremental-gold", action="store_true", help="bring marts up to date from what changed")
     parser.add_argument("--fixed-partitions", action="store_true", help="rows never change partition: do not look for moves")
+    parser.add_argument(
+        "--day-directories", action="append", default=[], choices=list(TABLES), metavar="TABLE",
+        help="give the table's days a directory each; one per month by default",
+    )
     parser.add_argument("--catalog", help="database in which each layer's tables are registered and reports look them up")
     jobs = parser.add_subparsers(dest="job", required=True)
 
@@ -94,6 +98,7 @@ def execute(spark: SparkSession, argv: Sequence[str] | None = None) -> DataFrame
     lake = pipeline.LakeConfig(
         args.root, ts_columns=columns, overlap=timedelta(minutes=args.overlap_minutes), wide_keys=args.wide_keys,
         track_moves=not args.fixed_partitions, incremental_gold=args.incremental_gold, catalog=args.catalog,
+        day_directories=frozenset(args.day_directories),
     )
     names = args.names or args.choices
     if args.job == "report":
