@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marlstone.llm.common import n_words
+from marlstone.llm.common import n_words, staged
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -71,13 +71,19 @@ def random_offset(source: Column, seed: int = SEED) -> Column:
 def mix_sources(
     docs: DataFrame, keep=None, weights=WEIGHTS, share=SHARE, most=MOST_COPIES, seed=SEED, sub_buckets=SUB_BUCKETS
 ) -> DataFrame:
-    """Columns ``keep`` of ``docs`` (all by default) as struct ``row``; size, source_size, target, copies."""
+    """Columns ``keep`` of ``docs`` (all by default) as struct ``row``; size, source_size, target, copies.
+
+    Columns to keep are meant to be few and short, such as an id: they are stored.
+    """
     sized = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row"),
         "doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"),
         F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(sub_buckets)).alias("sub"),
     )
-    cells = sized.groupBy("source", "size", "sub").agg(F.count(F.lit(1)).alias("n"))
+    # Words are counted once where rows are thin enough to be stored, else once for the cells and once for the rows.
+    if keep is not None:
+        sized = staged(sized, "sized")
+    cells = staged(sized.groupBy("source", "size", "sub").agg(F.count(F.lit(1)).alias("n")), "cells")
     in_size = cells.select(
         "source", "size", "sub",
         F.coalesce(F.sum("n").over(_before(["source", "size"], "sub")), F.lit(0)).alias("before_sub"),
