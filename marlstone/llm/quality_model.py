@@ -149,8 +149,17 @@ def held_out(doc_id: Column) -> Column:
 def train(measured: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Trees:
     """Trees fitted on at most ``most`` rows of ``labels`` (doc_id, quality) that are not held out."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = usable.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").join(measured, "doc_id")
-    chosen = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id", "quality").limit(most).select("x", "quality").toArrow()
+    usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 31))
+    # Of hashes, spread evenly, a limit leaves about twice the wanted rows, so what the tasks send does not grow with
+    # their number. Where few ids make up most labels it is raised until it leaves enough.
+    n, share = usable.count(), 2 * most + 64
+    while True:
+        least = usable.withColumn("slot", slot).where(F.col("slot") * F.lit(float(n)) <= F.lit(float(share)) * (1 << 31))
+        if share >= n or least.count() >= most:
+            break
+        share *= 8
+    chosen = least.join(measured, "doc_id").orderBy("slot", "doc_id", "quality").limit(most).select("x", "quality").toArrow()
     x = np.array(chosen["x"].to_pylist(), float).reshape(-1, len(FEATURES))
     return fit(x, chosen["quality"].to_numpy().astype(float))
 
