@@ -22,12 +22,15 @@ def test_jobs_by_name_equal_one_run(spark, database, tmp_path):
     source = ["--jdbc-url", database, "--readers", "2"]
 
     def job(root, *argv):
-        return cli.execute(spark, ["--root", str(tmp_path / root), "--run-ts", END.isoformat(), "--run-id", "r1", *argv])
+        layout = ["--day-directories", "orders"] if root == "steps" else []
+        return cli.execute(spark, ["--root", str(tmp_path / root), "--run-ts", END.isoformat(), "--run-id", "r1", *layout, *argv])
 
     whole = job("whole", "run", *source)
     assert whole.filter("stage = 'silver'").count() == len(TABLES)
     assert job("steps", "extract", *source).filter("rows_written > 0").count() == len(TABLES)
     assert job("steps", "silver").filter("rows_written > 0").count() == len(TABLES)
+    levels = {root: sum("day=" in str(p) for p in (tmp_path / root / "silver" / "orders").rglob("*.parquet")) for root in ("whole", "steps")}
+    assert levels["whole"] == 0 < levels["steps"]
     assert job("steps", "quality", "orders").first().rows_rejected == 0
     assert job("steps", "gold").count() == 4
     for report in ("daily_revenue", "customer_ltv", "top_products", "funnel_analysis"):

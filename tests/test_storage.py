@@ -12,8 +12,8 @@ from marlstone.plans.silver import silver
 from marlstone.schemas import TABLES
 from marlstone.sinks.tables import overwrite_partitions, overwrite_table, read_partitions
 from marlstone.sources import watermarks
-from marlstone.sources.bronze import CSV_OPTIONS, day_predicate
-from marlstone.storage import clear_scratch, path_exists, scratch_path
+from marlstone.sources.bronze import CSV_OPTIONS, day_predicate, read_manifest, run_directory
+from marlstone.storage import clear_scratch, list_files, path_exists, scratch_path
 
 RUN = datetime(2024, 5, 6, 3, 0, tzinfo=timezone.utc)
 
@@ -71,6 +71,20 @@ def test_two_runs_on_one_day_keep_both(spark, tmp_path):
     assert back.groupBy("run_id").count().orderBy("run_id").collect() == [("r1", 2), ("r2", 4)]
 
 
+def test_long_rows_make_more_files(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    monkeypatch.setattr("marlstone.sinks.bronze.FILE_BYTES", 20_000)
+    texts = [f'{k} "said",\n' + "x" * (900 if k < 60 else 10) for k in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, address string").withColumn("created_at", F.lit(RUN)).coalesce(1)
+    assert ms.write_bronze(df, root, RUN, "r1").rows == 200
+    path = run_directory(root, RUN.date(), "r1")
+    sizes = [length for _, length in list_files(spark, path)]
+    assert len(sizes) > 3 and max(sizes) <= 60_000 and len(read_manifest(spark, path)) == len(sizes)
+    back = ms.read_bronze(spark, root, ["id", "address", "created_at"])
+    assert sorted((int(r.id), r.address) for r in back.collect()) == list(enumerate(texts))
+    assert back.select(F.col("created_at").cast("timestamp")).distinct().first()[0] is not None
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     root = str(tmp_path / "bronze")
     df = spark.range(0).withColumn("created_at", F.lit(RUN))
