@@ -11,8 +11,9 @@ from marlstone.storage import scratch_path
 BLANKS = " \t\n\x0b\x0c\r"
 _BLANK_RUN = r"[\x20\x09-\x0D]+"
 
-#: Bytes of one Arrow batch; long texts otherwise make batches of any size.
-ARROW_BATCH_BYTES = 32 << 20
+#: Bytes of one Arrow batch; long texts otherwise make batches of any size. A core holds a few copies of a batch,
+#: in direct memory of its executor and in its Python worker.
+ARROW_BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

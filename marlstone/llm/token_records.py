@@ -44,8 +44,8 @@ LENGTH_BYTES, CHECK_BYTES = struct.calcsize(LENGTH), struct.calcsize(CHECK)
 FRAME_BYTES = LENGTH_BYTES + 2 * CHECK_BYTES
 #: A file is closed once it holds this much.
 FILE_BYTES = 16 << 20
-#: A worker forgets the words it has encoded beyond this many; that only costs time.
-CACHED_WORDS = 1_000_000
+#: A worker forgets the runs it has encoded once they take this much, at ``ENTRY_BYTES`` each besides their own; that only costs time.
+CACHED_BYTES, ENTRY_BYTES = 128 << 20, 120
 END_ID = 2
 
 
@@ -110,6 +110,7 @@ class Encoder(dict):
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.letter = {2: "H", 4: "I"}[self.width]
+        self.held = 0
         self.bytes = _byte_characters()
 
     def packed(self, ids: list[int]) -> bytes:
@@ -118,6 +119,16 @@ class Encoder(dict):
             numbers.byteswap()
         return numbers.tobytes()
 
+    def remember(self, run: bytes, value: bytes) -> bytes:
+        size = ENTRY_BYTES + len(run) + len(value)
+        if self.held + size > CACHED_BYTES:
+            self.clear()
+            self.held = 0
+        if size <= CACHED_BYTES:
+            self[run] = value
+            self.held += size
+        return value
+
     def __missing__(self, run: bytes) -> bytes:
         stem = run.rstrip(_PUNCTUATION)
         if stem.isalpha():  # ASCII letters
@@ -125,26 +136,23 @@ class Encoder(dict):
         elif (plain := _PLAIN.fullmatch(text := run.decode())) and plain[1]:
             stem, tail = plain[1].lower().encode(), plain[2].encode()
         else:
-            value = self[run] = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            return value
+            return self.remember(run, self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
         value = self.get(stem)
         seen = value is not None
         if not seen:
             piece = stem.decode() if stem.isascii() else "".join([self.bytes[b] for b in stem])
-            value = self[stem] = self.packed([token.id for token in self.model.tokenize(piece)])
+            value = self.remember(stem, self.packed([token.id for token in self.model.tokenize(piece)]))
         if stem != run:
             if tail:
                 value += self[tail]
             if seen:  # spellings of a word met for the first time would only fill the memory
-                self[run] = value
+                self.remember(run, value)
         return value
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         if not self.by_runs:
             found = self.tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
             return [self.packed(encoding.ids) for encoding in found]
-        if len(self) > CACHED_WORDS:
-            self.clear()
         return [b"".join(map(self.__getitem__, (text or "").encode().split())) for text in texts]
 
 
@@ -160,23 +168,23 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
     def write(batches):
         encoder = encoder_for(tokenizer_file)
         end = np.array([end_id], encoder.kind).tobytes()
-        parts, size = [], 0
+        unsized = MAGIC + struct.pack(HEAD, encoder.width, 0)
+        file = bytearray(unsized)
 
-        def closed():
-            head = MAGIC + struct.pack(HEAD, encoder.width, size)
-            return pa.RecordBatch.from_arrays([pa.array([b"".join([head, *parts])], pa.binary())], names=["file"])
+        def closed():  # Arrow takes the file where it lies
+            struct.pack_into(HEAD, file, len(MAGIC), encoder.width, len(file) - len(unsized))
+            ends = pa.py_buffer(np.array([0, len(file)], "<i4").tobytes())
+            return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(file)])], names=["file"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 ids, texts = (column.to_pylist() for column in batch.slice(at, 500).columns)
                 for doc_id, tokens in zip(ids, encoder(texts)):
-                    record = framed(struct.pack(OWNER, doc_id is not None, doc_id or 0) + tokens + end)
-                    parts.append(record)
-                    size += len(record)
-                    if size >= file_bytes:
+                    file += framed(struct.pack(OWNER, doc_id is not None, doc_id or 0) + tokens + end)
+                    if len(file) - len(unsized) >= file_bytes:
                         yield closed()
-                        parts, size = [], 0
-        if parts:
+                        file = bytearray(unsized)
+        if len(file) > len(unsized):
             yield closed()
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
@@ -189,16 +197,17 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
     _scanned(docs.sparkSession, path, check=False).drop("ids_crc32").write.parquet(f"{path}/index")
 
 
-def parse_file(data: bytes, check: bool) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
+def parse_file(data, check: bool) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
     """Offset, record length, document id and ids of each record; checksums are verified if ``check``."""
-    if not data.strip():
+    view = memoryview(data)
+    if view[: len(MAGIC)] != MAGIC:
+        if bytes(view).strip():
+            raise ValueError("not a file of token records")
         return
-    if not data.startswith(MAGIC):
-        raise ValueError("not a file of token records")
-    width, size = struct.unpack_from(HEAD, data, len(MAGIC))
+    width, size = struct.unpack_from(HEAD, view, len(MAGIC))
     at = len(MAGIC) + struct.calcsize(HEAD)
-    end, view = at + size, memoryview(data)
-    if len(data) < end:
+    end = at + size
+    if len(view) < end:
         raise ValueError("the file is cut off")
     while at < end:
         yield parse_record(view, at, width, check)
@@ -223,11 +232,12 @@ _SCANNED = "file string, doc_id long, offset long, length long, n_tokens long, s
 
 def _scanned(spark: SparkSession, path: str, check: bool) -> DataFrame:
     def scan(batches):
+        encoder_for.cache_clear()  # a worker that has written needs its room for files now
         for batch in batches:
             for name, content in zip(*batch.columns):
                 rows, start = [], 0
-                for at, length, doc_id, ids in parse_file(content.as_py(), check):
-                    crc = zlib.crc32(ids.astype("<u4").tobytes()) if check else None
+                for at, length, doc_id, ids in parse_file(content.as_buffer(), check):
+                    crc = zlib.crc32(ids.astype("<u4")) if check else None
                     rows.append((doc_id, at, length, len(ids), start, crc))
                     start += len(ids)
                 if rows:

@@ -412,6 +412,17 @@ def test_encoder_agrees_with_the_library():
         assert encoder([text]) == [encoder.packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids)], repr(text)
 
 
+def test_encoder_s_memory_is_bounded_in_bytes(monkeypatch):
+    encoder = token_records.Encoder(public_tokenizers.path(TOKENIZER))
+    monkeypatch.setattr(token_records, "CACHED_BYTES", 20_000, raising=False)
+    most = 0
+    for k in range(60):  # the last runs are too long to be remembered at all
+        text = " ".join(f"w{k}x{n}{'q' * k * 10}, Abc{n}" for n in range(10)) + " é" * (k > 55) + "9z" * 200 * k
+        assert encoder([text]) == [encoder.packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids)]
+        most = max(most, sum(len(run) + len(ids) for run, ids in encoder.items()))
+    assert 0 < most <= 20_000
+
+
 def test_damaged_record_is_noticed():
     data = token_records.framed(token_records.struct.pack(token_records.OWNER, True, 7) + b"\x01\x00")
     head = token_records.MAGIC + token_records.struct.pack(token_records.HEAD, 2, len(data))
