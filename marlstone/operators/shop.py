@@ -130,6 +130,8 @@ def _line_total() -> Column:
 
 #: Tables that hold an order's parts, dealt alike by its id.
 DETAIL_TABLES = ("heads", "lines", "paid")
+#: Rows of one of them that a bucket holds about, so that a bucket's task sorts as many however large the tables are.
+ROWS_PER_BUCKET = 500_000
 
 
 def store_order_parts(
@@ -137,8 +139,11 @@ def store_order_parts(
 ) -> None:
     """Store what ``stored_order_detail`` reads: three catalog tables ``name``_… below ``path``, bucketed by order.
 
-    Products are attached to the lines here, once. A bucket should fit a task; one task writes it, as one sorted file.
+    Products are attached to the lines here, once. One task writes a bucket, as one sorted file; there are at least
+    ``buckets`` of them, and as many as keep each near ``ROWS_PER_BUCKET``.
     """
+    largest = max(part.count() for part in (orders, items, payments))
+    buckets = max(buckets, -(-largest // ROWS_PER_BUCKET))
     heads, lines, paid = _order_parts(orders, items, products, payments)
     for table, df in zip(DETAIL_TABLES, (heads, lines, paid)):
         dealt = df.repartition(buckets, "order_id").write.mode("overwrite").option("path", f"{path}/{table}")

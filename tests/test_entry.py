@@ -6,6 +6,7 @@ import subprocess
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import marlstone as ms
@@ -37,3 +38,17 @@ def test_stored_order_detail_shuffles_nothing(spark, tmp_path):
     assert sorted(map(str, rows)) == sorted(map(str, expected.select(*detail.columns).collect()))
     for table in ("heads", "lines", "paid"):
         spark.sql(f"DROP TABLE detail_test_{table}")
+
+
+def test_buckets_of_stored_order_detail_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    tables = [view(spark, SF_DIR, f"fx_{name}") for name in ("orders", "order_items", "products", "payments")]
+    rows = tables[1].count()
+    monkeypatch.setattr("marlstone.operators.shop.ROWS_PER_BUCKET", rows // 6, raising=False)
+    store_order_parts(*tables, "detail_grown", str(tmp_path / "detail"), buckets=2)
+    detail = stored_order_detail(spark, "detail_grown")
+    assert detail.count() == ms.order_detail(*tables).count()
+    assert "Exchange" not in detail._jdf.queryExecution().executedPlan().toString()
+    per_bucket = [r["count"] for r in spark.table("detail_grown_lines").groupBy(F.input_file_name()).count().collect()]
+    assert len(per_bucket) >= 6 and max(per_bucket) < rows / 3
+    for table in ("heads", "lines", "paid"):
+        spark.sql(f"DROP TABLE detail_grown_{table}")
