@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import marlstone as ms
-from marlstone.fixtures import oracle, view
+from marlstone.fixtures import input_bytes, oracle, view
 from marlstone.functions.measures import days_between, safe_ratio, since
 from marlstone.operators.joins import left_join
 from marlstone.operators.metrics import summary_frame
@@ -68,8 +68,12 @@ def _query(name: str, sql: str, gaps: Sequence[str] = ()):
 
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            def load(table: str) -> DataFrame:
+                ms.tune(spark, shuffle_bytes=input_bytes(spark, sf_dir, table))
+                return view(spark, sf_dir, table)
+
             ms.tune(spark)
-            return _portable(build(lambda table: view(spark, sf_dir, table), spark), gaps)
+            return _portable(build(load, spark), gaps)
 
         _QUERIES[name] = run
         _ORACLES[name] = oracle(sql)

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marlstone.storage import list_files
+
 _STATUS = "case o_orderstatus when 'O' then 'confirmed' when 'P' then 'shipped' else 'delivered' end"
 _TOTAL = "cast(o_totalprice as decimal(10,2))"
 _TAX = f"cast({_TOTAL} * cast(0.09 as decimal(3,2)) as decimal(10,2))"
@@ -153,6 +155,12 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **inputs)
 
 
+def input_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Length of the files a view reads, each table counted as often as the view delivers it."""
+    tables = _INPUT.findall(VIEWS[name]) if name in VIEWS else [name]
+    return sum(length for t in tables for _, length in list_files(spark, f"{sf_dir}/{t}.parquet"))
+
+
 def oracle(body: str) -> str:
     """``body`` with the fixture views it names in front, for an engine that has the tables."""
     used = [name for name in VIEWS if re.search(rf"\b{name}\b", body)]

@@ -19,11 +19,12 @@ SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": str((1 << 31) - 1),
     # Hot output partitions: see sinks.tables.balanced.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Short rows of a few numbers take ten times their shuffled size and more where a join sorts them.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
 }
 
 #: Shuffle bytes one task should handle before adaptive execution has seen any.
-BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
+BYTES_PER_SHUFFLE_TASK = 32 * 1024 * 1024
 
 
 def tune(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:

@@ -52,3 +52,15 @@ def test_buckets_of_stored_order_detail_grow_with_the_tables(spark, tmp_path, mo
     assert len(per_bucket) >= 6 and max(per_bucket) < rows / 3
     for table in ("heads", "lines", "paid"):
         spark.sql(f"DROP TABLE detail_grown_{table}")
+
+
+def test_shuffle_partitions_of_a_query_follow_its_inputs(spark, monkeypatch):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    size = sum(os.path.getsize(f"{SF_DIR}/orders.parquet") for _ in range(2))  # delivered twice
+    monkeypatch.setattr("marlstone.session.BYTES_PER_SHUFFLE_TASK", size // 9)
+    try:
+        assert contract.queries()["silver_orders"](spark, SF_DIR).count() > 0
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 9
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "32m"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
