@@ -60,10 +60,14 @@ def run_directory(root: str, day: date, run_id: str | None = None) -> str:
 MANIFEST = "_files.json"
 
 
+def header_bytes(columns: Sequence[str]) -> int:
+    """Length of a Bronze file without rows."""
+    return len(",".join(columns).encode()) + 1
+
+
 def write_manifest(spark: SparkSession, path: str, columns: Sequence[str]) -> None:
     """Note which files of a run's directory hold rows; written last, so its presence says that the run is whole."""
-    header = len(",".join(columns).encode()) + 1
-    names = [name for name, length in list_files(spark, path) if length > header]
+    names = [name for name, length in list_files(spark, path) if length > header_bytes(columns)]
     write_text(spark, f"{path}/{MANIFEST}", json.dumps(names))
 
 

@@ -105,6 +105,23 @@ def test_a_resumed_stream_takes_all_it_had_set_aside_by_one_merge(spark, tmp_pat
     assert pending(spark, lake) == [] and pipeline.refine_table(spark, lake, "order_items", "b").rows_read == 0
 
 
+def test_micro_batches_note_files_and_the_merge_reads_them_side_by_side(spark, tmp_path, monkeypatch):
+    lake = ms.LakeConfig(str(tmp_path))
+    path = bronze_items(spark, lake, "r1", range(8), files=4)
+    keep, load, noted, tasks = bronze_stream.set_aside, pipeline.load_silver, [], []
+
+    def aside(batch, n, path):
+        keep(batch, n, path)
+        noted.extend(spark.read.parquet(f"{path}/batch={n:09d}").collect())
+
+    monkeypatch.setattr(bronze_stream, "set_aside", aside)
+    monkeypatch.setattr(
+        bronze_stream, "load_silver", lambda s, l, t, raw, *a: tasks.append(len(raw.inputFiles())) or load(s, l, t, raw, *a))
+    assert stream(spark, lake, max_files_per_trigger=1).rows_read == 8 and silver_ids(spark, lake) == list(range(8))
+    assert {r[bronze_stream.FILE] for r in noted} == read_manifest(spark, path) and len(noted) == 4  # a row per file, none of its rows
+    assert tasks == [4]
+
+
 def test_a_run_seen_in_part_is_finished_by_a_batch_run(spark, tmp_path):
     lake = ms.LakeConfig(str(tmp_path))
     path = bronze_items(spark, lake, "r1", range(9), files=3, bad=1)
