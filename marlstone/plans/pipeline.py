@@ -201,13 +201,13 @@ def load_silver(
             before = read_silver(spark, lake, spec.name)
             note({day for df in (before, batch) for day in partition_values(df, spec.partition_by)} if spec.partition_by else {()})
             overwrite_table(dedup_latest(batch, spec.keys, spec.newest_by), output, directories, cluster_by)
+            written = spark.read.schema(batch.schema).parquet(output).count()
         else:
             with changes.recorded(spark, lake, spec.name, run_id) as feed:
-                merge_stored(
+                written = merge_stored(
                     batch, output, spec.keys, spec.newest_by, directories,
                     lake.track_moves and bool(spec.partition_by), note, cluster_by, feed,
                 )
-        written = batch.select(*spec.keys).distinct().count()
     finally:
         remove_path(spark, staged)
     return RunSummary(

@@ -6,8 +6,9 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from marlstone.operators.dedup import dedup_latest
@@ -113,37 +114,53 @@ def merge_stored(
     announce: Callable[[set[tuple]], None] | None = None,
     cluster_by: Sequence[str] = (),
     changes: str | None = None,
-) -> None:
-    """``merge_partitions`` for a batch that is already stored, and so cheap to read repeatedly.
+) -> int:
+    """``merge_partitions`` for a batch that is already stored, and so cheap to read repeatedly; returns its number of keys.
 
     ``announce`` is called with the values of ``partition_cols`` and ``cluster_by`` that
-    are about to change. ``changes`` is where to keep what the merge changes, see ``signed_changes``.
+    are about to change. ``changes`` is where to keep what the merge changes, see ``batch_changes``.
     """
     spark, schema = batch.sparkSession, batch.schema
     keys, partition_cols, parts = list(keys), list(partition_cols), [*partition_cols, *cluster_by]
+    level, stored = len(partition_cols), path_exists(spark, path)
     # One pass over the batch tells both the partitions it touches and the range of its keys.
-    extent = batch.agg(F.collect_set(F.struct(*parts)), F.min(keys[0]), F.max(keys[0])).first()
-    touched, holding = {tuple(row) for row in extent[0]}, set()
-    stored = path_exists(spark, path)
-    if stored and track_moves:
-        current = key_range(spark.read.schema(schema).parquet(path), keys[0], *extent[1:])
-        versions = current.join(batch.select(*keys).distinct(), keys, "left_semi")
-        holding = set(partition_values(versions, parts))
-    if announce is not None:
-        announce(touched | holding)
-    level = len(partition_cols)
-    directories = {row[:level] for row in touched | holding}
-    present = read_partitions(spark, path, schema, directories, partition_cols)
-    if changes is not None:
-        before = key_range(present, keys[0], *extent[1:]).join(batch.select(*keys).distinct(), keys, "left_semi")
-        after = dedup_latest(before.unionByName(batch), keys, order_by)
-        signed_changes(before, after).write.mode("overwrite").parquet(changes)
-    merged = dedup_latest(present.unionByName(batch) if stored else batch, keys, order_by)
-    # Only a partition a row has moved out of can end up empty.
-    replace_partitions(merged, path, partition_cols, {row[:level] for row in holding}, cluster_by)
-
-
-#: In a table of changes: +1 for a row that appeared, -1 for one that went.
+    extent = batch.groupBy(*parts).agg(F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")).collect()
+    touched, holding, old = {tuple(row[: len(parts)]) for row in extent}, set(), None
+    bounds = min((r.low for r in extent), default=None), max((r.high for r in extent), default=None)
+    try:
+        if stored and (track_moves or changes is not None):
+            current = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+            if not track_moves:
+                current = read_partitions(spark, path, schema, {row[:level] for row in touched}, partition_cols)
+            versions = key_range(current, keys[0], *bounds).join(batch.select(*keys).distinct(), keys, "left_semi")
+            if changes is not None:  # whole rows, for the comparison below
+                old = stage(versions.select(*schema.fieldNames()), path, "old")
+                versions = spark.read.schema(schema).parquet(old)
+            if track_moves:
+                holding = set(partition_values(versions, parts))
+        if announce is not None:
+            announce(touched | holding)
+        present = read_partitions(spark, path, schema, {row[:level] for row in touched | holding}, partition_cols)
+        if changes is None:
+            merged = dedup_latest(present.unionByName(batch) if stored else batch, keys, order_by)
+        else:
+            made, met = batch_changes(versions if stored else None, batch, keys, order_by)
+            made.write.mode("overwrite").parquet(changes)
+            signed = T.StructType([*schema.fields, T.StructField(SIGN, T.IntegerType())])
+            merged = _changed(present if stored else None, spark.read.schema(signed).parquet(changes), keys)
+        # Only a partition a row has moved out of can end up empty.
+        replace_partitions(merged, path, partition_cols, {row[:level] for row in holding}, cluster_by)
+        if not stored:  # the files' footers tell
+            return spark.read.schema(schema).parquet(path).count()
+        if changes is not None and touched:
+            return met.get["keys"]
+        return batch.select(*keys).distinct().count()
+    finally:
+        if old is not None:
+            remove_path(spark, old)
+
+
+#: In a table of changes: +1 for a row that appeared, -1 for one that went; 0 for one that is to stay although others of its key go.
 SIGN = "_sign"
 
 
@@ -156,6 +173,45 @@ def signed_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     return rows.groupBy(*before.columns).agg(F.sum(SIGN).cast("int").alias(SIGN)).filter(F.col(SIGN) != 0)
 
 
+def batch_changes(
+    before: DataFrame | None, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+) -> tuple[DataFrame, Observation]:
+    """The signed changes that a batch makes to a table which holds ``before`` of the batch's keys; observes the number of ``keys``.
+
+    The batch is reduced to its newest rows and these meet the table's by key, dealt alike, so rows are shuffled
+    once. A merge that failed half-way may have left a key with several rows. The newest counts; where
+    the batch does not replace it, it is repeated with sign 0, so that the others can be cut.
+    """
+    columns = batch.columns
+    newest, met = dedup_latest(batch, keys, order_by), Observation()
+    counted = F.count(F.lit(1)).alias("keys")
+    if before is None:
+        return newest.withColumn(SIGN, F.lit(1)).observe(met, counted), met
+    rest = [c for c in columns if c not in keys]
+    order = [*order_by, *(c for c in rest if c not in order_by)]
+    held = before.withColumn("_held", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    held = dedup_latest(held, keys, order)
+    old = held.select(*keys, F.struct(*rest).alias("_old"), "_held")
+    both = newest.select(*keys, F.struct(*rest).alias("_new")).join(old, keys, "left").observe(met, counted)
+    # NULL is oldest, as in ``dedup_latest``; so it is in comparisons of structs.
+    new_wins = F.struct(*[F.col("_new")[c] for c in order]) > F.struct(*[F.col("_old")[c] for c in order])
+    came = F.struct(F.col("_new").alias("row"), F.lit(1).alias(SIGN))
+    went = F.struct(F.col("_old").alias("row"), F.lit(-1).alias(SIGN))
+    stays = F.struct(F.col("_old").alias("row"), F.lit(0).alias(SIGN))
+    made = F.when(F.col("_old").isNull(), F.array(came)).when(new_wins, F.array(went, came)).when(F.col("_held") > 1, F.array(stays))
+    changed, change = both.select(*keys, F.explode(made).alias("_change")), F.col("_change")
+    return changed.select(*[F.col(c) if c in keys else change["row"][c].alias(c) for c in columns], change[SIGN].alias(SIGN)), met
+
+
+def _changed(present: DataFrame | None, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``present`` after ``batch_changes``."""
+    put = changed.filter(F.col(SIGN) >= 0).drop(SIGN)
+    if present is None:
+        return put
+    cut = changed.filter(F.col(SIGN) <= 0).select(*keys).distinct()
+    return present.join(cut, list(keys), "left_anti").select(*put.columns).unionByName(put)
+
+
 def within_range(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
     """Rows of ``df`` whose ``column`` lies in the range of ``other_column``, as a join partner must."""
     return key_range(df, column, *other.agg(F.min(other_column), F.max(other_column)).first())
