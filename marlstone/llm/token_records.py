@@ -33,7 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marlstone.storage import scratch_path
@@ -254,6 +254,11 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/index")
 
 
+def file_order(name: Column) -> list[Column]:
+    """Task and number within the task of a file; the job's id between them may hold ``-c`` and digits too."""
+    return [F.regexp_extract(name, pattern, 1).cast("long") for pattern in (r"^part-(\d+)", r"-c(\d+)\.[^-]*$")]
+
+
 def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     """Per record, from the files: doc_id, start (ids of all records before it), n_tokens, ids_crc32, file, offset.
 
@@ -261,8 +266,7 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     number per file is summed up in order.
     """
     totals = read_index(spark, path).groupBy("file").agg(F.sum("n_tokens").alias("ids"))
-    part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long"), F.regexp_extract("file", r"-c(\d+)", 1).cast("long")
-    before = Window.partitionBy().orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy().orderBy(*file_order(F.col("file"))).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("file_start"))
     return _scanned(spark, path, check=True).join(starts, "file").select(
         "doc_id", (F.col("file_start") + F.col("start_in_file")).alias("start"), "n_tokens", "ids_crc32", "file", "offset"

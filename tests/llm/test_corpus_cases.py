@@ -403,6 +403,12 @@ def test_token_files(docs, nothing, spark):
     assert token_records.round_trip(nothing, tokenizer).count() == 0
 
 
+def test_files_are_in_order_whatever_the_job_s_id(spark):
+    names = [f"part-{task:05}-{job}-c{n:03}.txt" for task in (0, 1, 12) for job in ("7d0e51aa-c41b-4f0c-9c1d-c0ffee123456",) for n in (0, 1, 2, 1000)]
+    table = spark.createDataFrame([(name,) for name in reversed(names)], "file string").coalesce(1)
+    assert [r.file for r in table.orderBy(*token_records.file_order(F.col("file"))).collect()] == names
+
+
 def test_encoder_agrees_with_the_library():
     encoder = token_records.Encoder(public_tokenizers.path(TOKENIZER))
     rng = random.Random(5)
