@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +49,13 @@ def n_words(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
     return F.transform(F.array(value), body)[0]
+
+
+def release_memory() -> None:
+    """Give what this process has freed back to the system.
+
+    A Python worker serves the tasks of several steps, and what its allocators keep for later counts beside what the next step needs.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's; Arrow does not call it for the memory of others
+        trim(0)

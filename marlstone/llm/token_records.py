@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from marlstone.llm.common import release_memory
 from marlstone.storage import scratch_path
 
 MAGIC = b"TOKREC1\n"
@@ -45,7 +46,8 @@ FRAME_BYTES = LENGTH_BYTES + 2 * CHECK_BYTES
 #: A file is closed once it holds this much.
 FILE_BYTES = 16 << 20
 #: A worker forgets the runs it has encoded once they take this much, at ``ENTRY_BYTES`` each besides their own; that only costs time.
-CACHED_BYTES, ENTRY_BYTES = 128 << 20, 120
+#: An executor holds it once per core, beside a JVM whose heap may be full.
+CACHED_BYTES, ENTRY_BYTES = 64 << 20, 120
 END_ID = 2
 
 
@@ -166,6 +168,7 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
     """Write the files below ``path``/data and the index below ``path``/index."""
 
     def write(batches):
+        release_memory()  # of earlier steps
         encoder = encoder_for(tokenizer_file)
         end = np.array([end_id], encoder.kind).tobytes()
         unsized = MAGIC + struct.pack(HEAD, encoder.width, 0)
@@ -233,6 +236,7 @@ _SCANNED = "file string, doc_id long, offset long, length long, n_tokens long, s
 def _scanned(spark: SparkSession, path: str, check: bool) -> DataFrame:
     def scan(batches):
         encoder_for.cache_clear()  # a worker that has written needs its room for files now
+        release_memory()
         for batch in batches:
             for name, content in zip(*batch.columns):
                 rows, start = [], 0

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from marlstone.llm import chat, decontaminate, jaccard, mixing, pii, quality_model, quality_rules, secrets, token_records, warc
+from marlstone.llm import chat, common, decontaminate, jaccard, mixing, pii, quality_model, quality_rules, secrets, token_records, warc
 from marlstone.storage import scratch_path
 from marlstone.llm.components import components
 from marlstone.llm.queries import TOKENIZER
@@ -429,6 +429,30 @@ def test_encoder_s_memory_is_bounded_in_bytes(monkeypatch):
     assert 0 < most <= 20_000
 
 
+def test_a_worker_gives_back_what_earlier_steps_freed():
+    def held():
+        with open("/proc/self/smaps_rollup") as file:
+            return sum(int(line.split()[1]) for line in file if line.startswith("Pss_Anon:")) / 1024
+
+    texts = [bytes(5_000) for _ in range(40_000)]
+    last = bytes(5_000)  # lies behind them, so that the C library cannot shorten its heap by itself
+    full = held()
+    del texts
+    common.release_memory()
+    assert len(last) == 5_000 and full - held() > 150
+
+
+def test_token_steps_begin_by_giving_memory_back(docs, tmp_path, monkeypatch):
+    def noted():
+        with open(f"{folder}/notes", "a") as file:
+            file.write("x\n")
+
+    folder = str(tmp_path)
+    monkeypatch.setattr(token_records, "release_memory", noted, raising=False)
+    assert token_records.round_trip(docs, public_tokenizers.path(TOKENIZER)).count() == len(ROWS)
+    assert len(open(f"{folder}/notes").readlines()) >= 3  # files written, index made, files read
+
+
 def test_damaged_record_is_noticed():
     data = token_records.framed(token_records.struct.pack(token_records.OWNER, True, 7) + b"\x01\x00")
     head = token_records.MAGIC + token_records.struct.pack(token_records.HEAD, 2, len(data))
