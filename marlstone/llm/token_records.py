@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
 import sys
 import zlib
@@ -33,6 +32,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +45,9 @@ LENGTH_BYTES, CHECK_BYTES = struct.calcsize(LENGTH), struct.calcsize(CHECK)
 FRAME_BYTES = LENGTH_BYTES + 2 * CHECK_BYTES
 #: A file is closed once it holds this much.
 FILE_BYTES = 16 << 20
-#: A worker forgets the runs it has encoded once they take this much, at ``ENTRY_BYTES`` each besides their own; that only costs time.
+#: Texts that are encoded at a time, of an Arrow batch of any size.
+TEXTS = 2_500
+#: A worker remembers the pieces that are no plain words up to this much, at ``ENTRY_BYTES`` each besides their own; forgetting only costs time.
 #: An executor holds it once per core, beside a JVM whose heap may be full.
 CACHED_BYTES, ENTRY_BYTES = 64 << 20, 120
 END_ID = 2
@@ -69,9 +71,13 @@ def _byte_characters() -> list[str]:
     return [chr(b if b in printable else next(rest)) for b in range(256)]
 
 
-_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Latin letters, then ASCII punctuation without the apostrophe of contractions.
-_PLAIN = re.compile(r"([A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]*)([!-&(-/:-@\[-`{-~]*)")
+#: Latin letters but the dotted capital I, then ASCII punctuation without the apostrophe of contractions.
+_PLAIN = (
+    "^(?P<stem>[A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F]+)"
+    r"(?P<tail>[!-&(-/:-@\[-`{-~]*)$"
+)
+#: Stands behind each of so many words that are encoded together: a token that letters never make.
+_BETWEEN, TOGETHER = "!", 100
 
 
 # The parts of a tokenizer file that decide where its pieces begin and end, for which encoding by runs is right.
@@ -89,31 +95,40 @@ _BY_RUNS = {
 
 
 class Encoder(dict):
-    """Texts to packed token ids; as a dictionary, from runs of characters without ASCII white space to theirs.
+    """Texts to packed token ids; as a dictionary, from pieces of text without ASCII white space to theirs.
 
     A tokenizer file that splits texts in any other way than ``_BY_RUNS`` says encodes whole texts. One that does
-    drops white space and never joins across it, so each distinct
-    run is encoded once and remembered. Letters with punctuation behind them are two of its
-    pieces, and such letters are lower-cased one by one and already in
-    composed form, so the library's model takes them as they are; all else goes
-    through its whole encoder.
+    drops white space and never joins across it, so each distinct run of a batch is encoded once. Letters with
+    punctuation behind them are two of its pieces. Such letters are lower-cased one by one and already in composed
+    form, so the library's model takes them as they are, many words at a time, and none is remembered: most words
+    of a large table are rare. All else goes through the whole encoder, one by one, and is
+    remembered here until it takes half of ``CACHED_BYTES``; then it becomes the older half, of which only what is met again is kept.
     """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.model = self.tokenizer.model
         with open(tokenizer_file, encoding="utf-8") as file:
             described = json.load(file)
-        self.by_runs = described["model"]["type"] == "BPE" and all(described.get(part) == known for part, known in _BY_RUNS.items())
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = f"<u{self.width}"
         self.letter = {2: "H", 4: "I"}[self.width]
         self.held = 0
-        self.bytes = _byte_characters()
+        self.older: dict[bytes, bytes] = {}
+        self.bare = Tokenizer(self.model)  # takes words as they are
+        self.bare.pre_tokenizer = WhitespaceSplit()
+        self.characters = np.array([ord(" ") if byte == ord(" ") else ord(c) for byte, c in enumerate(_byte_characters())], "<u4")
+        self.after = f" {_BETWEEN} ".encode()
+        self.between = [token.id for token in self.model.tokenize(_BETWEEN)]
+        self.by_runs = (
+            described["model"]["type"] == "BPE" and len(self.between) == 1
+            and all(described.get(part) == known for part, known in _BY_RUNS.items())
+        )
 
     def packed(self, ids: list[int]) -> bytes:
         numbers = array(self.letter, ids)
@@ -121,41 +136,58 @@ class Encoder(dict):
             numbers.byteswap()
         return numbers.tobytes()
 
-    def remember(self, run: bytes, value: bytes) -> bytes:
-        size = ENTRY_BYTES + len(run) + len(value)
-        if self.held + size > CACHED_BYTES:
+    def remember(self, piece: bytes, value: bytes) -> bytes:
+        size = ENTRY_BYTES + len(piece) + len(value)
+        if self.held + size > CACHED_BYTES // 2:
+            self.older = dict(self)
             self.clear()
             self.held = 0
-        if size <= CACHED_BYTES:
-            self[run] = value
+        if size <= CACHED_BYTES // 2:
+            self[piece] = value
             self.held += size
         return value
 
-    def __missing__(self, run: bytes) -> bytes:
-        stem = run.rstrip(_PUNCTUATION)
-        if stem.isalpha():  # ASCII letters
-            tail, stem = run[len(stem) :], stem.lower()
-        elif (plain := _PLAIN.fullmatch(text := run.decode())) and plain[1]:
-            stem, tail = plain[1].lower().encode(), plain[2].encode()
-        else:
-            return self.remember(run, self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids))
-        value = self.get(stem)
-        seen = value is not None
-        if not seen:
-            piece = stem.decode() if stem.isascii() else "".join([self.bytes[b] for b in stem])
-            value = self.remember(stem, self.packed([token.id for token in self.model.tokenize(piece)]))
-        if stem != run:
-            if tail:
-                value += self[tail]
-            if seen:  # spellings of a word met for the first time would only fill the memory
-                self.remember(run, value)
-        return value
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
+    def __missing__(self, piece: bytes) -> bytes:
+        value = self.older.pop(piece, None)
+        if value is None:
+            value = self.packed(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids)
+        return self.remember(piece, value)
+
+    def words(self, stems: pa.Array) -> pa.Array:
+        """Packed ids of words of lower-case letters."""
+        groups = pa.ListArray.from_arrays(np.append(np.arange(0, len(stems), TOGETHER), len(stems)).astype("i4"), stems.cast(pa.binary()))
+        joined = [group.as_py() + self.after for group in pc.binary_join(groups, self.after)]
+        texts = [self.characters[np.frombuffer(group, "u1")].tobytes().decode("utf-32-le") for group in joined]
+        found = self.bare.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array(encoding.ids, self.kind) for encoding in found] or [np.empty(0, self.kind)])
+        ends = np.flatnonzero(ids == self.between[0])
+        offsets = np.append(0, ends - np.arange(len(ends))) * self.width
+        return pa.Array.from_buffers(
+            pa.large_binary(), len(stems), [None, pa.py_buffer(offsets), pa.py_buffer(np.delete(ids, ends))]
+        )
+
+    def __call__(self, texts: list[str | None] | pa.Array) -> list[bytes]:
         if not self.by_runs:
+            texts = texts.to_pylist() if isinstance(texts, pa.Array) else texts
             found = self.tokenizer.encode_batch([text or "" for text in texts], add_special_tokens=False)
             return [self.packed(encoding.ids) for encoding in found]
-        return [b"".join(map(self.__getitem__, (text or "").encode().split())) for text in texts]
+        by_text = pc.ascii_split_whitespace(pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), ""))
+        runs = by_text.flatten().dictionary_encode()
+        split = pc.extract_regex(runs.dictionary, _PLAIN)
+        stems = pc.utf8_lower(pc.struct_field(split, "stem")).dictionary_encode()
+        others = pc.if_else(pc.is_valid(split), pc.struct_field(split, "tail"), runs.dictionary).dictionary_encode()
+        heads = self.words(stems.dictionary).take(stems.indices)
+        rests = pa.array([self[other] for other in _listed(others.dictionary)], pa.large_binary()).take(others.indices)
+        joined = pc.binary_join_element_wise(pc.fill_null(heads, b""), rests, pa.scalar(b"", pa.large_binary()))
+        found = joined.take(runs.indices)
+        ends, data = np.frombuffer(found.buffers()[1], "i8", len(found) + 1), found.buffers()[2]
+        bounds = ends[by_text.offsets.to_numpy() - by_text.offsets[0].as_py()].tolist()
+        packed = memoryview(data or b"")
+        return [bytes(packed[start:end]) for start, end in zip(bounds, bounds[1:])]
+
+
+def _listed(column: pa.Array) -> list[bytes]:
+    return column.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
 
 
 @lru_cache(maxsize=1)
@@ -180,9 +212,9 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_file: str, end_id: int
             return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), 1, [None, ends, pa.py_buffer(file)])], names=["file"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                ids, texts = (column.to_pylist() for column in batch.slice(at, 500).columns)
-                for doc_id, tokens in zip(ids, encoder(texts)):
+            for at in range(0, batch.num_rows, TEXTS):
+                ids, texts = batch.slice(at, TEXTS).columns
+                for doc_id, tokens in zip(ids.to_pylist(), encoder(texts)):
                     file += framed(struct.pack(OWNER, doc_id is not None, doc_id or 0) + tokens + end)
                     if len(file) - len(unsized) >= file_bytes:
                         yield closed()

@@ -429,6 +429,36 @@ def test_encoder_s_memory_is_bounded_in_bytes(monkeypatch):
     assert 0 < most <= 20_000
 
 
+def test_plain_words_are_encoded_once_a_batch_without_memory(monkeypatch):
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.words = inner, 0
+
+        def tokenize(self, word):
+            self.words += 1
+            return self.inner.tokenize(word)
+
+        def encode_batch_fast(self, texts, **options):
+            self.words += sum(text.count("!") for text in texts)
+            return self.inner.encode_batch_fast(texts, **options)
+
+    encoder = token_records.Encoder(public_tokenizers.path(TOKENIZER))
+    monkeypatch.setattr(token_records, "CACHED_BYTES", 2_000)
+    words = [f"{a}{b}{c}" for a in ("stone", "über", "née") for b in "abcdefghij" for c in "klmnopqrst"]
+    texts = [" ".join(word.title() + "!" * (k % 3) if k % 2 else word for word in words) for k in range(20)]
+    expected = [encoder.packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids) for text in texts]
+    encoder.model, encoder.bare = Counted(encoder.model), Counted(getattr(encoder, "bare", None))
+    assert encoder(texts) == expected and encoder.model.words + encoder.bare.words == len(words) == 300
+
+
+def test_plain_letters_are_lowered_as_the_library_does():
+    encoder = token_records.Encoder(public_tokenizers.path(TOKENIZER))
+    texts = [f"a{chr(code)}b {chr(code)} {chr(code)}," for code in range(0x21, 0x2AF)]
+    for text, ids in zip(texts, encoder(texts)):
+        assert ids == encoder.packed(encoder.tokenizer.encode(text, add_special_tokens=False).ids), repr(text)
+    assert encoder([None, "", " \n"]) == [b"", b"", b""] and encoder(["", "one", None]) == [b"", *encoder(["one"]), b""]
+
+
 def test_a_worker_gives_back_what_earlier_steps_freed():
     def held():
         with open("/proc/self/smaps_rollup") as file:
